@@ -314,6 +314,12 @@ best AS (SELECT node_id, ptr_ord, source_cluster_id, start_char, v, pos FROM (SE
 SELECT g4.node_id, g4.ptr_ord, g4.source_cluster_id, CASE WHEN t0 <> 'open' THEN t0 WHEN pos IS NOT NULL THEN 'search' ELSE 'lost' END AS tier,
   CAST(CASE WHEN t0 = 'same' THEN g4.start_char WHEN t0 = 'contain' THEN greatest(g4.start_char, 0) WHEN t0 = 'open' THEN pos END AS INT) AS new_start, CAST(CASE WHEN t0 = 'same' THEN end_char WHEN t0 = 'contain' THEN greatest(past - 1, -1) WHEN t0 = 'open' THEN pos + length(g4.v) - 1 END AS INT) AS new_end
 FROM g4 LEFT JOIN best b ON b.node_id = g4.node_id AND b.ptr_ord = g4.ptr_ord AND b.source_cluster_id = g4.source_cluster_id AND b.start_char IS NOT DISTINCT FROM g4.start_char AND b.v = g4.v AND g4.t0 = 'open'""",
+        "legacy_unit_ids": "SELECT DISTINCT node_id, ptr_ord, CASE WHEN EXISTS (SELECT 1 FROM text_clusters t WHERE t.document_id || '|p' || t.pdf_page_num || '_t' || t.cluster_number = source_cluster_id) THEN source_cluster_id ELSE replace(split_part(source_cluster_id, '|', 2), '_t', '_c') END AS source_cluster_id FROM node_pointers WHERE source_cluster_id IS NOT NULL",
+        "legacy_units": """
+WITH s AS (SELECT DISTINCT document_id, pdf_page_num, OCR_text_clusters AS t, non_text_objects AS o FROM split_pages)
+SELECT document_id, 'p' || pdf_page_num || '_c' || (i - 1) AS unit_id, 'text' AS kind FROM (SELECT document_id, pdf_page_num, unnest(range(1, len(t) + 1)) AS i FROM s) UNION ALL SELECT document_id, 'p' || pdf_page_num || '_c' || (i - 1), 'object' FROM (SELECT document_id, pdf_page_num, unnest(range(1, len(o) + 1)) AS i FROM s)""",
+        "mention_pointers": f"WITH {_PTR} SELECT node_id, ptr_ord, source_cluster_id, start_char, greatest(end_char + 1, start_char + greatest(length(coalesce(verbatim_text, '')), 1)) - 1 AS end_char FROM q SEMI JOIN semantic_nodes USING (node_id) WHERE start_char IS NOT NULL AND end_char IS NOT NULL AND source_cluster_id IS NOT NULL",
+        "flags_as_words": "SELECT CASE WHEN contains_table THEN 'Yes' WHEN NOT contains_table THEN 'No' END AS contains_table, CASE WHEN incomplete_text THEN 'Yes' WHEN NOT incomplete_text THEN 'No' END AS incomplete_text, count(*) AS n FROM (SELECT DISTINCT page_id, contains_table, incomplete_text FROM split_pages) GROUP BY 1, 2",
         "delimiter_resolve": rf"""
 WITH {_PAGES}, z AS (SELECT doc_id, page_text AS t, list_filter(string_split(page_text, chr(10)), lambda x: {_strip("x")} <> '') AS ls FROM p WHERE page_number = 1),
 y AS (SELECT doc_id, t, ls[1] AS f, ls[-1] AS l, (length(t) - length(replace(t, ls[1], ''))) / length(ls[1]) AS nf, (length(t) - length(replace(t, ls[-1], ''))) / length(ls[-1]) AS nl FROM z),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions import text as X
-from ..operators import batching, graph, grounding, hierarchy, intervals, layers, nested, segment, state, telemetry, units, versions
+from ..operators import batching, graph, grounding, hierarchy, intervals, layers, legacy, nested, segment, state, telemetry, units, versions
 from ..session import cut
 from ..sources.tables import read_table as read
 
@@ -675,6 +675,39 @@ def fuzzy_thresholds(spark, base) -> DataFrame:
     return p.groupBy(X.fuzzy_threshold(F.length("verbatim_text")).alias("threshold"), X.preserve_threshold(F.length("verbatim_text")).alias("preserve")).agg(F.count(F.lit(1)).alias("n"))
 
 
+# older forms
+
+
+def legacy_unit_ids(spark, base) -> DataFrame:
+    """Pointers in the older form of unit ids, brought back to the current one."""
+    u = read(spark, base, "text_clusters", "document_id", "pdf_page_num", "cluster_number").distinct().select(F.col("document_id").alias("collection_id"), F.col("pdf_page_num").alias("page_number"), "cluster_number", _unit_key().alias("unit_id"))
+    p = read(spark, base, "node_pointers", "node_id", "ptr_ord", "source_cluster_id").where("source_cluster_id IS NOT NULL").distinct()
+    old = p.select("node_id", "ptr_ord", F.substring_index("source_cluster_id", "|", 1).alias("collection_id"), F.regexp_replace(F.substring_index("source_cluster_id", "|", -1), "_t", "_c").alias("source_cluster_id"))
+    return legacy.canonical_pointers(old, legacy.legacy_aliases(u)).select("node_id", "ptr_ord", "source_cluster_id")
+
+
+def legacy_units(spark, base) -> DataFrame:
+    """Units by position, both lists."""
+    return legacy.legacy_units(read(spark, base, "split_pages", "document_id", "pdf_page_num", "OCR_text_clusters", "non_text_objects")).select("document_id", "unit_id", "kind")
+
+
+def mention_pointers(spark, base) -> DataFrame:
+    """Exported spans read back as pointers."""
+    p = read(spark, base, "node_pointers").distinct().where("start_char IS NOT NULL AND end_char IS NOT NULL")
+    return legacy.pointers_of_mentions(graph.graph_nodes(_tree(spark, base), p)).select("node_id", "ptr_ord", "source_cluster_id", "start_char", "end_char")
+
+
+def flags_as_words(spark, base) -> DataFrame:
+    """Page flags as words, counted."""
+    f = legacy.booleans_as_words(read(spark, base, "split_pages", "page_id", "contains_table", "incomplete_text").distinct())
+    return f.groupBy("contains_table", "incomplete_text").agg(F.count(F.lit(1)).alias("n"))
+
+
+def lost_elsewhere(spark, base) -> DataFrame:
+    """Texts of lost pointers found in another unit of their document."""
+    return legacy.same_page_first(cut(_grounded(spark, base)).where("tier IN ('lost', 'unknown')"), _cluster_units(spark, base))
+
+
 #: What isn't a query of its own.
 _NOT = {"flagship", "read", "cut", "queries"}
 
