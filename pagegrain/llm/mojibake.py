@@ -164,7 +164,8 @@ def repairs(tokens: DataFrame, ratio: float = 2.0, swap_ratio: float = 20.0) ->
     """(token, original, chain) of all garbled tokens among ``document_tokens``.
 
     A form that only swaps one-byte encodings looks like an ordinary word, so its original must be ``swap_ratio``
-    times as common and the token must hold a letter or a replacement character.
+    times as common and the token must hold a letter or a replacement character. Tokens with a replacement character that
+    no original explains are lost: their original is null.
     """
     words = cut(tokens.groupBy("token").agg(F.sum("n").alias("n")))
     whole = _known_forms(words, ratio)
@@ -182,7 +183,9 @@ def repairs(tokens: DataFrame, ratio: float = 2.0, swap_ratio: float = 20.0) ->
     mended = pieces.join(hit, "token", "left_semi").join(b, "piece", "left").groupBy("token").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("_as", "piece").alias("p")))), lambda x: x["p"]), "").alias("original"), F.max("chain").alias("chain")
     )
-    return whole.unionByName(mended.join(whole.select("token"), "token", "left_anti"))
+    known = cut(whole.unionByName(mended.join(whole.select("token"), "token", "left_anti")))
+    lost = words.where(F.contains(F.col("token"), F.lit("\ufffd"))).join(known, "token", "left_anti").select("token", F.lit(None).cast("string").alias("original"), F.lit("lost").alias("chain"))
+    return known.unionByName(lost)
 
 
 def garbled_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,7 +207,7 @@ def restored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         for batch in batches:
             ids, texts, done, lost = [], [], [], []
             for i, t, pairs in zip(*(batch.column(c).to_pylist() for c in range(3))):
-                to, n = {p["token"]: p["original"] for p in pairs}, 0
+                to, n = {p["token"]: p["original"] for p in pairs if p["original"] is not None}, 0
 
                 def sub(m: re.Match) -> str:
                     nonlocal n

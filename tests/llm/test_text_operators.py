@@ -222,12 +222,12 @@ def test_garbled_forms_round_trip():
 def test_mojibake(make):
     clean = "Le procédé révisé est daté à l’hôtel près du marché, où l’été déjà passé."
     bad = clean.encode().decode("latin-1")
-    docs = [(i, clean) for i in range(40)] + [(100, bad), (101, "Only " + "été".encode().decode("latin-1")), (102, clean.encode("cp1252").decode("cp1251")), (103, "procédé".encode("latin-1").decode("utf-8", "replace") + " ok"), (104, "½ × ¾ · SÃO"), (105, None), (106, ""), (107, "“new’s”".encode().decode("latin-1"))]
+    docs = [(i, clean) for i in range(40)] + [(100, bad), (101, "Only " + "été".encode().decode("latin-1")), (102, clean.encode("cp1252").decode("cp1251")), (103, "procédé".encode("latin-1").decode("utf-8", "replace") + " ok"), (104, "½ × ¾ · SÃO"), (105, None), (106, ""), (107, "“new’s”".encode().decode("latin-1")), (108, "zz\ufffdq")]
     df = make(docs + [docs[41]], "doc_id long, text string")
     # 107 has no clean form in this corpus, but its apostrophe has
-    assert [r[0] for r in rows(mojibake.garbled_documents(df))] == [100, 101, 102, 103, 107]
+    assert [r[0] for r in rows(mojibake.garbled_documents(df))] == [100, 101, 102, 103, 107, 108]
     got = {r.doc_id: (r.restored_text, r.n_lost) for r in mojibake.restored(df).collect()}
-    assert got[100] == (clean, 0) and got[101] == ("Only été", 0) and got[102][0] == clean and got[103] == ("procédé ok", 0)
+    assert got[100] == (clean, 0) and got[101] == ("Only été", 0) and got[102][0] == clean and got[103] == ("procédé ok", 0) and got[108] == ("zz\ufffdq", 1)
     assert mojibake.garbled_documents(df.limit(0)).count() == 0
 
 
