@@ -25,6 +25,10 @@ from ..session import cut
 from .repetition import _encoder, default_vocabulary
 
 
+#: Most tokens of a shard, which one task shuffles; there are 64 shards at least.
+SHARD_TOKENS = 10**9
+
+
 def token_sizes(df: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """(doc_id, source, n_tokens); null and empty texts have 0."""
     path = vocabulary or default_vocabulary()
@@ -81,7 +85,7 @@ def _unit(seed: int, salt: int) -> F.Column:
     return F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
 
 
-def mix(sizes: DataFrame, targets: DataFrame, shards: int = 64, block_tokens: int = 16384, total: int | None = None, seed: int = 7) -> DataFrame:
+def mix(sizes: DataFrame, targets: DataFrame, shards: int | None = None, block_tokens: int = 16384, total: int | None = None, seed: int = 7) -> DataFrame:
     """(shard, pos, doc_id, source, copy, n_tokens): the drawn documents in their random order. ``targets`` has a row per source."""
     spark = sizes.sparkSession
     sizes = cut(sizes.where("n_tokens > 0 AND source IS NOT NULL").join(targets.select("source").distinct(), "source", "left_semi"))
@@ -89,6 +93,7 @@ def mix(sizes: DataFrame, targets: DataFrame, shards: int = 64, block_tokens: in
     want = quotas(have, {r["source"]: (r["target_share"], r["max_repeats"]) for r in targets.where("source IS NOT NULL").collect()}, total)
     if not want:
         return spark.createDataFrame([], "shard int, pos long, doc_id long, source string, copy int, n_tokens long")
+    shards = shards or max(64, -(-sum(want.values()) // SHARD_TOKENS))
     block = max(block_tokens, sum(want.values()) // 200_000)
     plan = [(s, have[s], q, q // have[s], q - q // have[s] * have[s], max(1, math.ceil(have[s] / block))) for s, q in want.items()]
     p = F.broadcast(spark.createDataFrame(plan, "source string, have long, quota long, passes int, rest long, n_blocks long"))  # a row per source with a target
@@ -109,12 +114,16 @@ def mix(sizes: DataFrame, targets: DataFrame, shards: int = 64, block_tokens: in
     counts = {r["source"]: r["count"] for r in blocks.groupBy("source").count().collect()}
     names = sorted(counts)
     share = split_blocks(np.array([counts[s] for s in names]), shards, seed)
-    ends = np.cumsum(share, axis=0)
-    runs = [(s, int(ends[k, i] - share[k, i]), int(ends[k, i]), k) for i, s in enumerate(names) for k in range(shards) if share[k, i]]
-    # shards x sources rows, whatever the documents
-    spans = F.broadcast(spark.createDataFrame(runs, "source string, first long, past long, shard int"))
+    ends = {s: np.cumsum(share[:, i]) for i, s in enumerate(names)}  # shards x sources numbers, whatever the documents
     nth = F.row_number().over(Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "source", "copy", "block"), "copy", "block")) - 1
-    placed = blocks.withColumn("nth", nth).join(spans, "source").where("nth >= first AND nth < past").select("source", "copy", "block", "shard")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own, n = b.column(0).to_pylist(), b.column(3).to_pylist()
+            at = [int(np.searchsorted(ends[s], k, side="right")) for s, k in zip(own, n)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(at, pa.int32())], ["source", "copy", "block", "shard"])
+
+    placed = blocks.select("source", F.col("copy").cast("int").alias("copy"), F.col("block").cast("long").alias("block"), nth.cast("long").alias("nth")).mapInArrow(place, "source string, copy int, block long, shard int")
     rows = drawn.join(placed, ["source", "copy", "block"])
     order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), F.lit(2), "doc_id", "copy"), "doc_id", "copy")
     return rows.select("shard", (F.row_number().over(order) - 1).cast("long").alias("pos"), "doc_id", "source", "copy", "n_tokens")
