@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import bitfilter
 from ..functions.textvec import Words, chunks, distinct_per_text, mix64, signed
 from ..operators.components import components
 from ..session import cut
@@ -125,6 +126,18 @@ def _bits(sets: DataFrame, t: float, counts: np.ndarray) -> DataFrame:
     return sets.mapInArrow(run, "bit long, id long, n int, f0 long, f1 long, inner boolean")
 
 
+def _only(sets: DataFrame, need: DataFrame) -> DataFrame:
+    """The sets whose id may be among the needed ones, before they are shuffled."""
+    sent = sets.sparkSession.sparkContext.broadcast(bitfilter.build(need, "id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(batch.schema.get_field_index("id")).to_numpy().view(_U)
+            yield batch.filter(pa.array(bitfilter.probe(sent.value, ids)))
+
+    return sets.select("id", "toks").mapInArrow(run, "id long, toks array<long>")
+
+
 def similar_pairs(sets: DataFrame, t: float) -> DataFrame:
     """(id_a, id_b, similarity), id_a < id_b, of all pairs of (id, toks) whose Jaccard similarity is at least ``t``."""
     sets = sets.where(F.size("toks") > 0)
@@ -137,7 +150,7 @@ def similar_pairs(sets: DataFrame, t: float) -> DataFrame:
     alike = apart <= (F.col("l_n") + F.col("r_n")) * F.lit((1 - t) / (1 + t)) + 1e-9
     found = cut(l.join(r, "bit").where(first & near & alike & (F.col("l_id") != F.col("r_id"))).select(F.least("l_id", "r_id").alias("id_a"), F.greatest("l_id", "r_id").alias("id_b")).distinct())
     need = found.select(F.col("id_a").alias("id")).union(found.select("id_b")).distinct()
-    held = cut(sets.join(need, "id", "left_semi"))
+    held = cut(_only(sets, need).join(need, "id", "left_semi"))
     a, b = (held.select(F.col("id").alias(f"id_{s}"), F.col("toks").alias(f"t_{s}")) for s in "ab")
     both = found.join(a, "id_a").join(b, "id_b").withColumn("_i", F.size(F.array_intersect("t_a", "t_b")))
     sim = F.col("_i") / (F.size("t_a") + F.size("t_b") - F.col("_i"))
