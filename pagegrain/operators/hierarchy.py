@@ -72,24 +72,61 @@ def loops(rows: DataFrame) -> DataFrame:
     return cur.join(low, "ptr").select("id", "loop_id").join(on, "id", "left").select("id", "loop_id", F.coalesce("on_loop", F.lit(False)).alias("on_loop"))
 
 
+def _keyed(tree: DataFrame) -> DataFrame:
+    """(id, k, p): ids and parents as even 64-bit numbers, different for different ids."""
+    total = tree.count()
+    for salt in range(64):
+        key = lambda c: F.shiftleft(F.xxhash64(F.lit(salt), c), 1)  # noqa: B023, E731
+        keyed = cut(tree.select("id", key("id").alias("k"), F.when(F.col("ptr").isNotNull(), key("ptr")).alias("p")))
+        if keyed.select("k").distinct().count() == total:
+            return keyed
+    raise RuntimeError("no salt tells all ids apart")
+
+
 def _tour(tree: DataFrame) -> DataFrame:
-    """Elements (e, next, d) of the Euler tours of (id, ptr): e = +id on the way down, -id on the way up."""
-    kids = tree.where("ptr IS NOT NULL").withColumn("_b", F.pmod(F.xxhash64("id"), F.lit(BUCKETS)))
-    own = Window.partitionBy("ptr", "_b").orderBy("id")
-    kids = kids.withColumn("_in", F.lead("id").over(own))
-    heads = kids.groupBy("ptr", "_b").agg(F.min("id").alias("_head"))
-    heads = heads.withColumn("_after", F.lead("_head").over(Window.partitionBy("ptr").orderBy("_b")))
-    sib = kids.join(heads.select("ptr", "_b", "_after"), ["ptr", "_b"]).select("id", F.coalesce("_in", "_after").alias("_sib"))
-    top = heads.groupBy("ptr").agg(F.min_by("_head", "_b").alias("_kid")).withColumnRenamed("ptr", "id")
-    base = tree.join(top, "id", "left").join(sib, "id", "left")
-    down, up = (lambda c: F.concat(F.lit("+"), c)), (lambda c: F.concat(F.lit("-"), c))
+    """Elements (e, next, d, head) of the Euler tours of (k, p): e = k on the way down, k + 1 on the way up; head: a root's first."""
+    kids = tree.where("p IS NOT NULL").select("k", "p", F.pmod(F.col("k") / 2, F.lit(BUCKETS)).cast("int").alias("_b"))
+    kids = kids.withColumn("_in", F.lead("k").over(Window.partitionBy("p", "_b").orderBy("k")))
+    heads = kids.groupBy("p", "_b").agg(F.min("k").alias("_head"))
+    heads = heads.withColumn("_after", F.lead("_head").over(Window.partitionBy("p").orderBy("_b")))
+    sib = kids.join(heads.select("p", "_b", "_after"), ["p", "_b"]).select("k", F.coalesce("_in", "_after").alias("_sib"))
+    top = heads.groupBy("p").agg(F.min_by("_head", "_b").alias("_kid")).withColumnRenamed("p", "k")
+    base = tree.select("k", "p").join(top, "k", "left").join(sib, "k", "left")
+    up = lambda c: F.col(c).bitwiseOR(F.lit(1).cast("long"))
+    root = F.col("p").isNull()
     both = F.array(
-        F.struct(down(F.col("id")).alias("e"), F.coalesce(down(F.col("_kid")), up(F.col("id"))).alias("next"), F.lit(1).cast("long").alias("d")),
-        F.struct(up(F.col("id")).alias("e"), F.when(F.col("ptr").isNotNull(), F.coalesce(down(F.col("_sib")), up(F.col("ptr")))).alias("next"), F.lit(-1).cast("long").alias("d")),
+        F.struct(F.col("k").alias("e"), F.coalesce("_kid", up("k")).alias("next"), F.lit(1).cast("long").alias("d"), root.alias("head")),
+        F.struct(up("k").alias("e"), F.when(~root, F.coalesce(F.col("_sib"), up("p"))).alias("next"), F.lit(-1).cast("long").alias("d"), F.lit(False).alias("head")),
     )
     return base.select(F.inline(both))
 
 
+def _ranked(tour: DataFrame) -> DataFrame:
+    """(e, last, hops, d): the last element of each element's list, and hops and sum of d from it to the end.
+
+    Pointer jumping doubles the hops each round. Lists that are through leave the table every third round, so the many
+    short ones don't accompany the longest to its end.
+    """
+    cols = ["e", "next", "last", "hops", "d", "head"]
+    cur = cut(tour.select("e", "next", F.coalesce("next", "e").alias("last"), F.lit(1).cast("long").alias("hops"), "d", "head"))
+    done, round_ = [], 0
+    while True:
+        b = cur.select(F.col("e").alias("_e"), F.col("next").alias("_n"), F.col("last").alias("_l"), F.col("hops").alias("_h"), F.col("d").alias("_d"))
+        open_ = cur.where("next IS NOT NULL").join(b, F.col("next") == F.col("_e")).select("e", F.col("_n").alias("next"), F.col("_l").alias("last"), (F.col("hops") + F.col("_h")).alias("hops"), (F.col("d") + F.col("_d")).alias("d"), "head")
+        cur = cut(cur.where("next IS NULL").select(*cols).unionByName(open_))
+        round_ += 1
+        ends = cur.where("head AND next IS NOT NULL").select(F.col("e").bitwiseOR(F.lit(1).cast("long")).alias("last"))
+        if not ends.limit(1).count():
+            break
+        if round_ % 3 == 0:
+            closed = cur.where("next IS NULL")
+            done.append(closed.join(ends, "last", "left_anti").select(*cols))
+            cur = cut(cur.where("next IS NOT NULL").unionByName(closed.join(ends, "last", "left_semi").select(*cols)))
+    for part in done:
+        cur = cur.unionByName(part)
+    return cur.select("e", "last", "hops", "d")
+
+
 def hierarchy(rows: DataFrame, separator: str = "/") -> DataFrame:
     """(id, root, depth, path, ancestors, entry, exit, n_descendants) of every id whose line of parents ends.
 
@@ -98,23 +135,19 @@ def hierarchy(rows: DataFrame, separator: str = "/") -> DataFrame:
     """
     rows = cut(rows)
     bad = loops(rows).select("id")
-    known = _known(rows).select("id", "ptr")
-    tree = cut(rows.select("id").join(bad, "id", "left_anti").join(known, "id", "left"))
-    # ranks: hop counts and depth sums to the end of the tour, doubling the hops
-    cur = cut(_tour(tree).select("e", "next", F.when(F.col("next").isNull(), F.col("e")).otherwise(F.col("next")).alias("last"), F.lit(1).cast("long").alias("hops"), F.col("d")))
-    left = cur.where("next IS NOT NULL").count()
-    while left:
-        b = cur.select(F.col("e").alias("_e"), F.col("next").alias("_n"), F.col("last").alias("_l"), F.col("hops").alias("_h"), F.col("d").alias("_d"))
-        open_ = cur.where("next IS NOT NULL").join(b, F.col("next") == F.col("_e")).select("e", F.col("_n").alias("next"), F.col("_l").alias("last"), (F.col("hops") + F.col("_h")).alias("hops"), (F.col("d") + F.col("_d")).alias("d"))
-        cur = cut(cur.where("next IS NULL").unionByName(open_))
-        left = cur.where("next IS NOT NULL").count()
-    id_of = F.expr("substring(e, 2)")
-    down = cur.where("e LIKE '+%'").select(id_of.alias("id"), F.expr("substring(last, 2)").alias("root"), F.col("hops").alias("_down"), (-F.col("d")).alias("depth"))
-    up = cur.where("e LIKE '-%'").select(id_of.alias("id"), F.col("hops").alias("_up"))
-    nodes = down.join(up, "id")
-    length = nodes.where("id = root").select("root", F.col("_down").alias("_all"))
-    ranked = nodes.join(length, "root").select("id", "root", "depth", (F.col("_all") - F.col("_down")).alias("entry"), (F.col("_all") - F.col("_up")).alias("exit"))
-    return ranked.join(_paths(tree, separator), "id").select("id", "root", "depth", "path", "ancestors", "entry", "exit", ((F.col("exit") - F.col("entry") - 1) / 2).cast("long").alias("n_descendants"))
+    tree = cut(rows.select("id").join(bad, "id", "left_anti").join(_known(rows), "id", "left"))
+    keyed = _keyed(tree)
+    ranked = cut(_ranked(_tour(keyed)))
+    odd = F.col("e").bitwiseAND(F.lit(1).cast("long")) == 1
+    down = ranked.where(~odd).select(F.col("e").alias("k"), (F.col("last") - 1).alias("r"), F.col("hops").alias("_down"), (-F.col("d")).alias("depth"))
+    up = ranked.where(odd).select((F.col("e") - 1).alias("k"), F.col("hops").alias("_up"))
+    nodes = down.join(up, "k")
+    length = ranked.where(~odd & (F.col("last") - 1 == F.col("e"))).select(F.col("e").alias("r"), F.col("hops").alias("_all"))
+    names = keyed.select("id", "k")
+    own = nodes.join(length, "r").join(names, "k").join(names.select(F.col("id").alias("root"), F.col("k").alias("r")), "r")
+    entry, exit_ = F.col("_all") - F.col("_down"), F.col("_all") - F.col("_up")
+    own = own.select("id", "root", "depth", entry.alias("entry"), exit_.alias("exit"), ((exit_ - entry - 1) / 2).cast("long").alias("n_descendants"))
+    return own.join(_paths(tree, separator), "id").select("id", "root", "depth", "path", "ancestors", "entry", "exit", "n_descendants")
 
 
 def _paths(tree: DataFrame, separator: str) -> DataFrame:
