@@ -120,7 +120,7 @@ def frontier(nodes: DataFrame, max_depth: int | None = None, expandable: Callabl
     Each round pops the whole smallest depth and queues its expandable children behind it; lineage is cut each round.
     Nodes that no root reaches aren't visited.
     """
-    n = nodes.select("node_id", "parent_id", "node_type").distinct()
+    n = cut(nodes.select("node_id", "parent_id", "node_type").distinct())
     wave = cut(n.where("parent_id IS NULL OR parent_id = ''").select("node_id", "node_type", F.lit(0).alias("depth")))
     out, depth = wave, 0
     while wave.limit(1).count() and (max_depth is None or depth + 1 < max_depth):

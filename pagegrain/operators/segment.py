@@ -25,8 +25,13 @@ LEVELS = 16
 
 
 def pages(documents: DataFrame, key: str = "doc_id", text: str = "text", fmt: str = "source_format") -> DataFrame:
-    """(key, source_format, page_number, page_text)."""
-    d = documents.select(key, F.col(fmt).alias("source_format") if fmt in documents.columns else F.lit("text").alias("source_format"), F.split(F.col(text), PAGE_BREAK).alias("_p"))
+    """(key, source_format, page_number, page_text).
+
+    Texts move once, by document; lines, blocks, nesting and sums per document or page need no exchange after that.
+    """
+    n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = documents.select(key, F.col(fmt).alias("source_format") if fmt in documents.columns else F.lit("text").alias("source_format"), F.col(text).alias("_t")).repartition(n, key)
+    d = d.select(key, "source_format", F.split("_t", PAGE_BREAK).alias("_p"))
     d = d.select(key, "source_format", F.filter(F.transform("_p", lambda p: F.regexp_replace(p, r"^\n+|\n+$", "")), lambda p: X.strip(p) != "").alias("_p"))
     return d.select(key, "source_format", F.posexplode("_p").alias("_n", "page_text")).select(key, "source_format", (F.col("_n") + 1).alias("page_number"), "page_text")
 
