@@ -95,6 +95,33 @@ def overlap_tolerance(df: DataFrame, keys: list[str], start: str, end: str, tole
     return df.withColumn("prior_end", before).where(F.col("prior_end") - F.col(start) + 1 > tolerance)
 
 
+def _unit_texts(clusters: DataFrame) -> DataFrame:
+    unit = F.format_string("%s|p%d_t%d", "document_id", "pdf_page_num", "cluster_number").alias("source_cluster_id")
+    return clusters.where("text IS NOT NULL AND document_id IS NOT NULL").select(unit, "text")
+
+
+def _lengths(texts: DataFrame) -> DataFrame:
+    return texts.groupBy("source_cluster_id").agg(F.max(F.length("text")).cast("long").alias("n"))
+
+
+def _resolved(pointers: DataFrame, lengths: DataFrame, how: str) -> DataFrame:
+    """(source_cluster_id, span_start, span_end): distinct pointers with both bounds, ends resolved and clipped where the length is known."""
+    e = F.col("end_char").cast("long")
+    open_end = (e == -1) | (e >= 100_000_000)
+    p = pointers.where("start_char IS NOT NULL AND end_char IS NOT NULL").select("source_cluster_id", "start_char", "end_char").distinct().join(lengths, "source_cluster_id", how)
+    end = F.when(open_end, F.col("n") - 1).otherwise(F.least(e, F.col("n") - 1))  # least() passes over a null
+    return p.select("source_cluster_id", F.greatest(F.col("start_char").cast("long"), F.lit(0).cast("long")).alias("span_start"), end.alias("span_end"))
+
+
+def merged_pointers(pointers: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(source_cluster_id, span_start, span_end): the continuous stretches that all pointers with both bounds cover, per source unit.
+
+    Ends count as in pointer_stretches. Where the unit's text is null or unknown a proper end stays as it is; an open
+    end can't be told there and covers nothing, as does any pointer into an empty text.
+    """
+    return merge_intervals(_resolved(pointers, _lengths(_unit_texts(clusters)), "left"), ["source_cluster_id"], "span_start", "span_end")
+
+
 def pointer_stretches(pointers: DataFrame, clusters: DataFrame, notes: DataFrame) -> DataFrame:
     """Per source unit the merged conflict and missing spans of the notes and the gaps between pointers.
 
@@ -102,17 +129,8 @@ def pointer_stretches(pointers: DataFrame, clusters: DataFrame, notes: DataFrame
     -1 or of 100,000,000 and more is the unit's last character; spans are clipped to the unit. Units whose text is
     null, empty or unknown have no gaps.
     """
-    unit = F.format_string("%s|p%d_t%d", "document_id", "pdf_page_num", "cluster_number").alias("source_cluster_id")
-    texts = clusters.where("text IS NOT NULL AND document_id IS NOT NULL").select(unit, "text")
-    lengths = texts.groupBy("source_cluster_id").agg(F.max(F.length("text")).cast("long").alias("n"))
-    resolve = lambda c: F.when((F.col(c) == -1) | (F.col(c) >= 100_000_000), F.col("n") - 1).otherwise(F.least(F.col(c).cast("long"), F.col("n") - 1))
-    spans = (
-        pointers.where("start_char IS NOT NULL AND end_char IS NOT NULL")
-        .select("source_cluster_id", "start_char", "end_char")
-        .distinct()
-        .join(lengths.where("n > 0"), "source_cluster_id")
-        .select("source_cluster_id", F.greatest(F.col("start_char").cast("long"), F.lit(0).cast("long")).alias("span_start"), resolve("end_char").alias("span_end"))
-    )
+    texts = _unit_texts(clusters)
+    spans = _resolved(pointers, _lengths(texts).where("n > 0"), "inner")
     holes = interval_gaps(spans, ["source_cluster_id"], "span_start", "span_end")
     held = holes.join(texts, "source_cluster_id").where(F.expr("substring(text, span_start + 1, span_end - span_start + 1)").rlike(r"(?U)\S"))
     gaps = held.select(F.lit("gap").alias("span_kind"), "source_cluster_id", "span_start", "span_end").distinct()

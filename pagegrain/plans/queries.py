@@ -80,9 +80,8 @@ def p6_found(spark, base) -> DataFrame:
 
 
 def p6_merged(spark, base) -> DataFrame:
-    """The continuous stretches that pointers with a proper end cover, per source unit."""
-    p = read(spark, base, "node_pointers", "source_cluster_id", "start_char", "end_char").where("end_char >= 0 AND end_char < 100000000")
-    return intervals.merge_intervals(p, ["source_cluster_id"], "start_char", "end_char").select("source_cluster_id", F.col("start_char").alias("span_start"), F.col("end_char").alias("span_end"))
+    """The continuous stretches that pointers cover, per source unit, open ends included."""
+    return intervals.merged_pointers(read(spark, base, "node_pointers", "source_cluster_id", "start_char", "end_char"), read(spark, base, "text_clusters", "document_id", "pdf_page_num", "cluster_number", "text"))
 
 
 # sources and units

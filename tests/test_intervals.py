@@ -3,6 +3,7 @@ import random
 from conftest import rows
 
 from pagegrain.operators import intervals as I
+from pagegrain.plans import queries
 
 
 def brute(spans):
@@ -59,3 +60,12 @@ def test_pointer_stretches(make):
 def test_tolerance(make):
     df = make([("u", 0, 10), ("u", 8, 20), ("u", 20, 25)], "u string, s int, e int")
     assert rows(I.overlap_tolerance(df, ["u"], "s", "e", 1)) == [("u", 8, 20, 10)]
+
+
+def test_p6_merged_resolves_open_ends(spark, make, tmp_path):
+    p = [("d|p1_t0", 0, 1), ("d|p1_t0", 2, -1), ("d|p1_t1", -3, 1), ("d|p1_t1", 4, 200_000_000), ("d|p1_t1", 1, 2), ("d|p1_t1", None, 5), ("d|p1_t1", 3, None), ("d|p1_t2", 0, 5), ("d|p1_t2", 7, -1), ("d|p1_t3", 0, 0), ("x", 3, 99_999_999), ("x", 0, -1)]
+    make(p, "source_cluster_id string, start_char int, end_char int").write.parquet(f"{tmp_path}/node_pointers.parquet")
+    c = [("d", 1, 0, "abcdefghij"), ("d", 1, 0, "abcdefghij"), ("d", 1, 1, "ab  cd"), ("d", 1, 2, None), ("d", 1, 3, "")]
+    make(c, "document_id string, pdf_page_num int, cluster_number int, text string").write.parquet(f"{tmp_path}/text_clusters.parquet")
+    want = [("d|p1_t0", 0, 9), ("d|p1_t1", 0, 2), ("d|p1_t1", 4, 5), ("d|p1_t2", 0, 5), ("x", 3, 99_999_999)]
+    assert rows(queries.p6_merged(spark, str(tmp_path))) == want
