@@ -291,11 +291,11 @@ def fuzzy_ground(spark, base) -> DataFrame:
 
 
 def delimiter_resolve(spark, base) -> DataFrame:
-    """Spans between the first and last line of each document's first page, where both are unique."""
-    p = _pages(spark, base).where("page_number = 1")
+    """Spans between the first and last line of every page, where both are unique on it."""
+    p = _pages(spark, base)
     ls = F.filter(F.split("page_text", "\n"), lambda x: X.strip(x) != "")
     d = p.withColumns({"first_line": F.get(ls, F.lit(0)), "last_line": F.element_at(ls, -1)})
-    return grounding.resolve_delimiters(d, "page_text", "first_line", "last_line").select("doc_id", "span_start", "span_end", "error")
+    return grounding.resolve_delimiters(d, "page_text", "first_line", "last_line").select("doc_id", "page_number", "span_start", "span_end", "error")
 
 
 def leaf_completeness(spark, base) -> DataFrame:

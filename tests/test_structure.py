@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from pagegrain.functions import text as X
 from pagegrain.operators import batching, graph, grounding, layers, segment, units
+from pagegrain.plans import queries
 
 TEXT = """Page Index Document
 
@@ -134,6 +135,13 @@ def test_delimiters(make):
     assert got[1] == (0, 48, None) and "not unique" in got[2][2] and "start not found" == got[3][2] and got[4][2] == "end before start" and got[5][2] is not None
 
 
+def test_delimiter_resolve_covers_every_page(spark, make, tmp_path):
+    d = [(1, "Top\nbody\nEnd\f\n\fHead\nHead again\nTail\n--- PAGE BREAK ---\n\nOnly", "text"), (2, "One\nTwo", "text"), (3, None, "text")]
+    make(d, "doc_id long, text string, source_format string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.doc_id, r.page_number): (r.span_start, r.span_end, r.error) for r in queries.delimiter_resolve(spark, str(tmp_path)).collect()}
+    assert got == {(1, 1): (0, 11, None), (1, 2): (None, None, "start is not unique"), (1, 3): (0, 3, None), (2, 1): (0, 6, None)}
+
+
 def test_fuzzy(make):
     t = "The quick brown fox jumps over the lazy dog near the river bank today"
     assert grounding.fuzzy_find(t, "quick brovn fox jumps over the lazy dog")[2] > 0.9
