@@ -1,10 +1,11 @@
 """Noise in text from scanned pages: what is wrong with each text, and the text put right.
 
-Candidates for a misread word are retrieved completely: a Levenshtein automaton over characters, with the merges and
-splits that recognition makes (rn for m, cl for d), is run against a trie of the corpus vocabulary. One wrong place leaves
-a word's first or its last character whole, so words and vocabulary meet by either, per length; each task holds the
-trie of one such group of distinct words. Of the candidates those that are far more common count, and neighbouring words
-decide between several. Words broken over a line end are told from compounds by which form the corpus has. Running
+Candidates for a misread word are retrieved completely: a Levenshtein automaton over characters, in which the merges and
+splits that recognition makes (rn for m, cl for d) are one place as well, is run against tries of the corpus vocabulary.
+Words meet the vocabulary by what is left of both when characters are left out, which is complete for one wrong place in
+a word and for two from five characters on; shorter words would keep less than they lose. Where a single confusion of the table
+explains a word, a far more common candidate decides; any other candidate must also be far more common between the same
+two neighbouring words, so a rare word that merely looks like a common one stays. Words of one character have no candidates. Words broken over a line end are told from compounds by which form the corpus has. Running
 headers and footers are the short first lines that return on several pages of one document; page numbers are texts
 that say nothing but the number of their page.
 
@@ -36,6 +37,8 @@ CONFUSIONS = (
     ("ri", "n"), ("ii", "u"), ("ii", "n"), ("li", "h"), ("nn", "m"), ("m", "in"), ("in", "m"), ("m", "ni"), ("j", "i"), ("v", "y"), ("s", "5"), ("l", "1"), ("o", "0"),
 )
 
+#: Characters from which on a word may have two wrong places.
+TWO = 5
 HEADER_WORDS = 7
 _HYPHENS = "-‐¬\u00ad"
 _BREAK = re.compile(rf"([^\W_]+)([{_HYPHENS}])[ \t]*\r?\n[ \t]*([^\W_]+)")
@@ -97,7 +100,7 @@ def texts_of(clusters: DataFrame, responses: DataFrame) -> DataFrame:
     boxes = json_objects(responses).where("kind = 'raw_text' AND text IS NOT NULL").select("record_id", "object_id", "text")
     pages = responses.select(F.col("response_id").cast("long").alias("record_id"), "document_id", F.col("pdf_page_num").cast("int").alias("page")).distinct()
     raw = boxes.join(pages, "record_id").select(F.lit("box").alias("origin"), "record_id", F.col("object_id").alias("item_id"), "document_id", "page", "text")
-    return own.unionByName(raw)
+    return own.unionByName(cut(raw))  # the texts are read several times, their JSON once
 
 
 SCHEMA = "what string, origin string, record_id long, item_id long, document_id string, page int, text string, key long, pair long, n long, glued boolean"
@@ -144,7 +147,7 @@ def _profile(texts: list[str], part: dict) -> list[tuple]:
         same = np.flatnonzero((w.doc[:-1] == w.doc[1:]) & hyphen[:-1] & ~newline[:-1] & (w.start[1:] == w.end[:-1] + 1))
         u, c = np.unique(_pair_key(w.hash[same], w.hash[same + 1]), return_counts=True)
         rows += [("pair", *[None] * 6, None, k, v, None) for k, v in zip(signed(u).tolist(), c.tolist())]
-        ok = np.flatnonzero(~piece & (w.end - w.start >= 3) & (w.end - w.start <= 40))
+        ok = np.flatnonzero(~piece & (w.end - w.start >= 2) & (w.end - w.start <= 40))
         u, first, c = np.unique(w.hash[ok], return_index=True, return_counts=True)
         for k, i, v in zip(signed(u).tolist(), ok[first].tolist(), c.tolist()):
             word = texts[w.doc[i]][w.start[i] : w.end[i]].lower()
@@ -204,39 +207,129 @@ def build_trie(words: list[str]) -> dict:
     return root
 
 
-def candidates(trie: dict, word: str, most: int = 1) -> list[tuple[str, int]]:
+def candidates(trie: dict, word: str, most: int = 1, free: bool = True) -> list[tuple[str, int]]:
     """All words of the trie that ``word`` can be a misreading of, with the number of wrong places (1 to ``most``).
 
-    States are (trie node, position in the word, wrong places): the automaton's transitions are a match or one confusion,
-    taken only where the trie has them, so nothing outside the vocabulary is ever formed.
+    States are (trie node, position in the word, wrong places): the automaton's transitions are a match, one confusion, or,
+    if ``free``, any substitution, insertion or deletion, taken only where the trie has them, so nothing outside the
+    vocabulary is ever formed.
     """
     out: dict[str, int] = {}
     todo = [(trie, 0, 0)]
+    seen: dict[tuple[int, int], int] = {}
     table = _pieces()
     end = len(word)
     while todo:
         node, i, k = todo.pop()
-        if i == end:
-            if k and "" in node and out.get(node[""], most + 1) > k:
-                out[node[""]] = k
+        if seen.get((id(node), i), most + 1) <= k:
             continue
-        if (nxt := node.get(word[i])) is not None:
+        seen[id(node), i] = k
+        if i == end and k and "" in node and out.get(node[""], most + 1) > k:
+            out[node[""]] = k
+        if i < end and (nxt := node.get(word[i])) is not None:
             todo.append((nxt, i + 1, k))
-        if k < most:
-            for size in (1, 2):
-                for meant in table.get(word[i : i + size], ()) if i + size <= end else ():
-                    at = node
-                    for c in meant:
-                        at = at.get(c)
-                        if at is None:
-                            break
-                    if at is not None:
-                        todo.append((at, i + size, k + 1))
+        if k == most:
+            continue
+        for size in (1, 2) if i < end else ():
+            for meant in table.get(word[i : i + size], ()) if i + size <= end else ():
+                at = node
+                for c in meant:
+                    at = at.get(c)
+                    if at is None:
+                        break
+                if at is not None:
+                    todo.append((at, i + size, k + 1))
+        if free:
+            if i < end:
+                todo.append((node, i + 1, k + 1))
+            for c, nxt in node.items():
+                if c:
+                    todo.append((nxt, i, k + 1))
+                    if i < end and c != word[i]:
+                        todo.append((nxt, i + 1, k + 1))
+    out.pop(word, None)
     return sorted(out.items())
 
 
+def _left_out(word: str, most: int) -> set[str]:
+    """The word without up to ``most`` of its characters; never empty strings."""
+    out = last = {word}
+    for _ in range(most):
+        last = {x[:i] + x[i + 1 :] for x in last for i in range(len(x))}
+        out = out | last
+    return out - {""}
+
+
+def _put_back(word: str, most: int) -> dict[str, int]:
+    """The word with up to ``most`` merges and splits of the table put back, each with their number."""
+    out = {word: 0}
+    todo = [("", word, 0)]
+    while todo:
+        done, rest, k = todo.pop()
+        for i in range(len(rest)):
+            for size in (1, 2):
+                for meant in _pieces().get(rest[i : i + size], ()) if i + size <= len(rest) else ():
+                    if max(size, len(meant)) > 1:
+                        head, tail = done + rest[:i] + meant, rest[i + size :]
+                        if out.get(head + tail, most + 1) > k + 1:
+                            out[head + tail] = k + 1
+                        if k + 1 < most:
+                            todo.append((head, tail, k + 1))
+    return out
+
+
+def meeting_forms(word: str, asked: bool) -> set[str]:
+    """What a word and the words it may be misread from have in common: at least one form, of ``word`` as asked and of each of those as known."""
+    if not asked:
+        return _left_out(word, 2)
+    most = 2 if len(word) >= TWO else 1
+    return {x for form, k in _put_back(word, most).items() for x in _left_out(form, most - k)}
+
+
+def _forms(words: DataFrame, asked: bool) -> DataFrame:
+    """(form, word, n) of (word, n)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                rows = [(f, w, n) for w, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) for f in meeting_forms(w, asked)]
+                cols = list(zip(*rows)) if rows else [()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()))], ["form", "word", "n"])
+
+    return words.select("word", "n").mapInArrow(run, "form string, word string, n long")
+
+
+def near_words(vocab: DataFrame, sure: DataFrame, ratio: float = 10.0) -> DataFrame:
+    """(key, word, meant, n_meant, rank): words that ``sure`` has not, with all words within the automaton's reach at least ``ratio`` times as common.
+
+    rank is higher the fewer places are wrong and, among these, where confusions alone explain them.
+    """
+    letters = vocab.where(F.col("word").rlike(r"\p{L}"))
+    known = _forms(letters.where(F.col("n") >= ratio).where(~F.col("word").rlike(r"\d")), False).select("form", F.col("word").alias("meant"), F.col("n").alias("n_meant"))
+    met = _forms(letters.join(sure.select("key").distinct(), "key", "left_anti"), True).join(known, "form").where((F.col("n_meant") >= F.col("n") * ratio) & (F.col("word") != F.col("meant")))
+    by = met.groupBy("word").agg(F.collect_set(F.struct("meant", "n_meant")).alias("near"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for w, near in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                common = {x["meant"]: x["n_meant"] for x in near}
+                trie, most = build_trie(list(common)), 2 if len(w) >= TWO else 1
+                plain = dict(candidates(trie, w, most, free=False))
+                rows += [(w, m, common[m], 2 * (most - k) + (plain.get(m) == k)) for m, k in candidates(trie, w, most)]
+            cols = list(zip(*rows)) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int32()))], ["word", "meant", "n_meant", "rank"])
+
+    found = by.mapInArrow(run, "word string, meant string, n_meant long, rank int")
+    return found.join(vocab.select("word", "key"), "word").select("key", "word", "meant", "n_meant", "rank")
+
+
 def misreadings(vocab: DataFrame, ratio: float = 10.0) -> DataFrame:
-    """(key, word, meant, n_meant): words with the words at least ``ratio`` times as common that they may be misread from."""
+    """(key, word, meant, n_meant): words with the words at least ``ratio`` times as common that one confusion of the table makes them from.
+
+    One confusion leaves a word's first or its last character whole, so words and vocabulary meet by either, per length.
+    """
     side = lambda i: F.struct(F.lit(i).alias("side"), (F.substring("word", 1, 1) if i == 0 else F.substring("word", -1, 1)).alias("c"))
     two = F.explode(F.array(side(0), side(1))).alias("s")
     letters = vocab.where(F.length("word") >= 3)
@@ -252,7 +345,7 @@ def misreadings(vocab: DataFrame, ratio: float = 10.0) -> DataFrame:
             trie, common, top = build_trie(words), dict(zip(words, counts)), max(counts)
             for k, w, n in zip(*(asked.column(c).to_pylist() for c in ("key", "word", "n"))):
                 if n * ratio <= top:
-                    rows += [(k, w, m, common[m], c) for m, c in candidates(trie, w) if common[m] >= n * ratio]
+                    rows += [(k, w, m, common[m], c) for m, c in candidates(trie, w, free=False) if common[m] >= n * ratio]
         cols = list(zip(*rows)) if rows else [()] * 5
         kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int32()]
         return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)], ["key", "word", "meant", "n_meant", "places"])
@@ -262,8 +355,11 @@ def misreadings(vocab: DataFrame, ratio: float = 10.0) -> DataFrame:
     return found.distinct()
 
 
-def occurrences(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """(origin, record_id, item_id, key, before, after): where words with such keys stand, pieces of broken words left out."""
+def occurrences(texts: DataFrame, keys: DataFrame, phrase: bool = False) -> DataFrame:
+    """(origin, record_id, item_id, key, before, after): where words with such keys stand, pieces of broken words left out.
+
+    before and after are 0 where there is no neighbour, with ``phrase`` also where a mark stands between.
+    """
     sent = texts.sparkSession.sparkContext.broadcast(bitfilter.build(keys, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,8 +376,15 @@ def occurrences(texts: DataFrame, keys: DataFrame) -> DataFrame:
                 i = np.flatnonzero(hit)
                 near = np.concatenate([[_U(0)], w.hash, [_U(0)]]).astype(_U)
                 own = np.concatenate([[-1], w.doc, [-1]])
-                before = np.where(own[i] == w.doc[i], near[i], _U(0))
-                after = np.where(own[i + 2] == w.doc[i], near[i + 2], _U(0))
+                left, right = own[i] == w.doc[i], own[i + 2] == w.doc[i]
+                if phrase and len(i):
+                    blank = lambda k: np.isin(w.cp[k], (32, 10, 13, 9, 160))
+                    first = w.base[w.doc] + w.start
+                    last = len(w.hash) - 1
+                    left &= blank(first[i] - 1) & blank(at[np.maximum(i - 1, 0)])
+                    right &= blank(at[i]) & blank(first[np.minimum(i + 1, last)] - 1)
+                before = np.where(left, near[i], _U(0))
+                after = np.where(right, near[i + 2], _U(0))
                 row = pa.array(w.doc[i])
                 cols = [part.column(c).take(row) for c in ("origin", "record_id", "item_id")]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(signed(w.hash[i])), pa.array(signed(before)), pa.array(signed(after))], ["origin", "record_id", "item_id", "key", "before", "after"])
@@ -348,6 +451,36 @@ def corrections(texts: DataFrame, wrong: DataFrame) -> DataFrame:
     return both.groupBy("origin", "record_id", "item_id", "word").agg(F.max_by("meant", F.struct(near, "n_meant", "meant")).alias("meant"))
 
 
+def near_misreadings(texts: DataFrame, at: DataFrame, near: DataFrame, vocab: DataFrame, ratio: float = 10.0) -> DataFrame:
+    """(origin, record_id, item_id, word, meant): the words of ``near_words`` in places where a candidate fits both neighbours ``ratio`` times as often. at: their ``occurrences``.
+
+    Numbers say nothing about the word beside them (26 marzo 2012, 26 March 2012): a place
+    without two neighbouring words, or with a mark between, is not judged.
+    """
+    words = vocab.where(F.col("word").rlike(r"\p{L}"))
+    at = at.where("before <> 0 AND after <> 0").join(words.select(F.col("key").alias("before")), "before", "left_semi").join(words.select(F.col("key").alias("after")), "after", "left_semi")
+    spots = cut(_context_pairs(at.join(near.select("key", "word", "meant", "n_meant"), "key")).join(near.select("key", "meant", "rank"), ["key", "meant"]))
+    own = _own_pairs(spots)
+    wanted = own.select(F.explode(F.array("pair_l", "pair_r", "own_l", "own_r")).alias("pair")).distinct()
+    n = cut(bigram_counts(texts, wanted))
+    count = lambda c: n.select(F.col("pair").alias(c), F.col("n").alias(f"n_{c}"))
+    both = own.join(count("pair_l").where(F.col("n_pair_l") >= ratio), "pair_l").join(count("pair_r").where(F.col("n_pair_r") >= ratio), "pair_r")
+    both = both.join(count("own_l"), "own_l").join(count("own_r"), "own_r").where((F.col("n_pair_l") >= F.col("n_own_l") * ratio) & (F.col("n_pair_r") >= F.col("n_own_r") * ratio))
+    return both.groupBy("origin", "record_id", "item_id", "word").agg(F.max_by("meant", F.struct("rank", F.col("n_pair_l") + F.col("n_pair_r"), "n_meant", "meant")).alias("meant"))
+
+
+def _own_pairs(spots: DataFrame) -> DataFrame:
+    """Adds the pair keys of the word itself with the word before and after it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            left, own, right = (b.column(c).to_numpy().view(_U) for c in ("before", "key", "after"))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(signed(_pair_key(left, own))), pa.array(signed(_pair_key(own, right)))], [*b.schema.names, "own_l", "own_r"])
+
+    cols = "origin string, record_id long, item_id long, key long, before long, after long, word string, meant string, n_meant long, pair_l long, pair_r long, rank int"
+    return spots.select(*[c.split()[0] for c in cols.split(", ")]).mapInArrow(run, cols + ", own_l long, own_r long")
+
+
 def _same_case(word: str, like: str) -> str:
     if like.isupper() and len(like) > 1:
         return word.upper()
@@ -372,7 +505,9 @@ def repaired(clusters: DataFrame, responses: DataFrame) -> DataFrame:
     seen = cut(profile(texts))
     vocab = cut(vocabulary(seen))
     item = ["origin", "record_id", "item_id"]
-    fixes = corrections(texts, cut(misreadings(vocab))).groupBy(*item).agg(F.map_from_entries(F.collect_set(F.struct("word", "meant"))).alias("fixes"))
+    sure = cut(misreadings(vocab))
+    near = cut(near_words(vocab, sure))
+    fixes = corrections(texts, sure).unionByName(near_misreadings(texts, occurrences(texts, near, phrase=True), near, vocab)).groupBy(*item).agg(F.map_from_entries(F.collect_set(F.struct("word", "meant"))).alias("fixes"))
     whole = broken_words(seen, vocab).where("is_word").groupBy(*item).agg(F.collect_set("key").alias("joined"))
     run = seen.where("what = 'line'").join(running_lines(seen), ["origin", "document_id", "text"], "left_semi").select(*item, F.lit(True).alias("header")).distinct()
     number = seen.where("what = 'number'").select(*item, F.lit(True).alias("number")).distinct()
@@ -403,5 +538,7 @@ def noise(clusters: DataFrame, responses: DataFrame) -> DataFrame:
     wrong = cut(misreadings(vocab).select("key").distinct())
     run = seen.where("what = 'line'").join(running_lines(seen), ["origin", "document_id", "text"], "left_semi")
     out = kind(broken_words(seen, vocab).where("is_word"), "hyphen")
-    out = out.unionByName(kind(occurrences(texts, wrong), "misread"))
+    near = cut(near_words(vocab, wrong))
+    at = cut(occurrences(texts, wrong.unionByName(near.select("key")), phrase=True))
+    out = out.unionByName(kind(at.join(wrong, "key", "left_semi").select(*item).unionByName(near_misreadings(texts, at, near, vocab).select(*item)), "misread"))
     return out.unionByName(kind(run, "running")).unionByName(kind(seen.where("what = 'number'"), "page_number"))

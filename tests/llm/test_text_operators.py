@@ -123,6 +123,37 @@ def test_candidates_are_complete():
     assert scan_noise.candidates(trie, "zzz") == [] and scan_noise.candidates({}, "a") == []
 
 
+def test_levenshtein_automaton_is_complete():
+    def edits(w):
+        out = {w[:i] + c + w[i + n :] for i in range(len(w) + 1) for n in (0, 1) if i + n <= len(w) for c in ("", "é", "x")}
+        return out | {w[: m.start()] + seen + w[m.end() :] for seen, meant in scan_noise.CONFUSIONS for m in re.finditer(re.escape(meant), w)} - {w}
+
+    rnd = random.Random(5)
+    vocab = ["of", "it", "été", "größe", "modern", "clarify", "register", "władza", "under"]
+    trie = scan_noise.build_trie(vocab)
+    for w in vocab:
+        known, once = scan_noise.meeting_forms(w, False), sorted(edits(w) - {""})
+        for x in set(once) - {w}:
+            assert w in dict(scan_noise.candidates(trie, x)), (w, x)
+            assert len(x) < 2 or known & scan_noise.meeting_forms(x, True), (w, x)
+        twice = sorted({x + y for i in range(1, len(w)) for x in edits(w[:i]) for y in edits(w[i:])} - {w, ""})
+        for x in rnd.sample(twice, min(150, len(twice))):
+            assert dict(scan_noise.candidates(trie, x, 2))[w] <= 2, (w, x)
+            assert len(x) < scan_noise.TWO or known & scan_noise.meeting_forms(x, True), (w, x)
+
+
+def test_misreadings_beyond_the_table(make):
+    rnd = random.Random(6)
+    texts = [prose(rnd, 6) for _ in range(60)] + ["See 26 marzo 2012 here."] * 2 + [f"See {i % 28} march 2012 here." for i in range(60)]
+    wrong = ["Thus the kéeper signs the seal before noon.", "Thus the kceqer signs the seal before noon.", "No crane may bc moved without the seal.", "A beeper is loud and the beeper was sold.", "Every seal follows its ovn meter."]
+    rows_ = [(i, i, f"d{i}", 1, 0, t, "m") for i, t in enumerate(texts)] + [(900 + i, 900 + i, f"w{i}", 1, 0, t, "m") for i, t in enumerate(wrong)]
+    clusters, raw = make(rows_, CL), make([], RAW)
+    got = {r.record_id for r in scan_noise.noise(clusters, raw).where("kind = 'misread'").collect()}
+    assert got == {900, 901, 902, 904}
+    fixed = {r.record_id: r.repaired_text for r in scan_noise.repaired(clusters, raw).where("record_id >= 900").collect()}
+    assert fixed[900] == fixed[901] == "Thus the keeper signs the seal before noon." and "may be moved" in fixed[902] and fixed[903] == wrong[3] and "its own meter" in fixed[904]
+
+
 def test_page_numbers():
     ok = [("- 4 -", 4), ("Page 4 of 9", 4), ("[12]", 12), ("xiv", 14), ("— 3 —", 3), ("Folio 7", 7), ("5 / 8", 5)]
     assert all(scan_noise.is_page_number(t, p) for t, p in ok)
