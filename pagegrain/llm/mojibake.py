@@ -2,7 +2,8 @@
 
 Every distinct corpus token with a character beyond ASCII is sent through all encoding chains; what comes out is
 joined by hash with the tokens themselves. A match is accepted when the supposed original is much the more common
-of the two. Inside tokens the same is done for runs of characters beyond ASCII, which repairs words whose clean form
+of the two, or when several tokens of one text are explained alike, so a source that is garbled in many rows is found too.
+For the latter tokens are counted once per distinct text. Inside tokens the same is done for runs of characters beyond ASCII, which repairs words whose clean form
 never occurs. Tables are keyed by distinct tokens, never by documents; nothing is collected.
 
 Null and empty texts have no tokens and come back as they are; repeated rows are each repaired.
@@ -96,7 +97,8 @@ def garbled_forms(word: str) -> dict[str, str]:
             if a == b and len(word) <= 40:
                 put(_misread(twice, a), f"utf-8>{a}>{a}>{a}")
     for a in ("cp1252", "mac_roman", "cp850", "iso8859-2", "cp1250"):
-        put(_replaced(word, a), f"{a}>utf-8")
+        if (form := _replaced(word, a)) and "\ufffd" in form:  # else it is UTF-8 and reading it so the repair
+            put(form, f"{a}>utf-8")
     for a in ONE_BYTE[0]:
         for b in ONE_BYTE[1]:
             if a != b:
@@ -124,18 +126,18 @@ def _tokens(texts: list[str | None]) -> Iterator[list[str]]:
 
 
 def document_tokens(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, token, n): the distinct tokens beyond ASCII of each text."""
+    """(key, token, n, same): the distinct tokens beyond ASCII of each text; same is equal for equal texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, text):
-                ids, toks, ns = [], [], []
-                for i, found in zip(part.column(key).to_pylist(), _tokens(part.column(text).to_pylist())):
+                ids, toks, ns, same = [], [], [], []
+                for i, h, found in zip(part.column(key).to_pylist(), part.column("same").to_pylist(), _tokens(part.column(text).to_pylist())):
                     for t, n in Counter(found).items():
-                        ids.append(i), toks.append(t), ns.append(n)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(toks, pa.string()), pa.array(ns, pa.int64())], [key, "token", "n"])
+                        ids.append(i), toks.append(t), ns.append(n), same.append(h)
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(toks, pa.string()), pa.array(ns, pa.int64()), pa.array(same, pa.int64())], [key, "token", "n", "same"])
 
-    return df.select(F.col(key).cast("long").alias(key), text).mapInArrow(run, f"{key} long, token string, n long")
+    return df.select(F.col(key).cast("long").alias(key), text, F.xxhash64(text).alias("same")).mapInArrow(run, f"{key} long, token string, n long, same long")
 
 
 def _garble(vocabulary: DataFrame) -> DataFrame:
@@ -152,6 +154,28 @@ def _garble(vocabulary: DataFrame) -> DataFrame:
     return vocabulary.select("token", "n").mapInArrow(run, "form string, original string, n_original long, chain string")
 
 
+def _words(tokens: DataFrame) -> DataFrame:
+    """(token, n) over all distinct texts."""
+    return tokens.select("token", "same", "n").distinct().groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def explained_texts(tokens: DataFrame, key: str, least: int = 3) -> DataFrame:
+    """(key, token, original, chain) of the texts in which several distinct tokens are garbled alike, however common that is.
+
+    Alike: all UTF-8 chains, or all swaps of one-byte encodings. It takes ``least`` tokens, or two that are half of the
+    text's. A word misread as UTF-8 bytes can't be the original of the other, so counts don't matter; which side of a swap is
+    the original only counts can tell: it must be the more common one.
+    """
+    words = cut(_words(tokens))
+    utf = F.col("chain").startswith("utf-8>")
+    hit = _garble(words).join(words, F.col("form") == F.col("token")).where(utf | (F.col("token").rlike(r"\p{L}") & (F.col("n_original") > F.col("n"))))
+    best = hit.groupBy("token", F.when(utf, "utf-8").otherwise("swap").alias("kind")).agg(F.max_by(F.struct("original", "chain"), F.struct("n_original", "original")).alias("b"))
+    per = cut(tokens.select(key, "token").distinct().join(best, "token").select(key, "token", "kind", "b.original", "b.chain"))
+    size = tokens.join(per.select(key).distinct(), key, "left_semi").groupBy(key).agg(F.countDistinct("token").alias("size"))
+    many = per.groupBy(key, "kind").agg(F.count(F.lit(1)).alias("k")).join(size, key).where((F.col("k") >= least) | ((F.col("k") >= 2) & (2 * F.col("k") >= F.col("size"))))
+    return per.join(many.select(key, "kind"), [key, "kind"], "left_semi").groupBy(key, "token").agg(F.min_by(F.struct("original", "chain"), F.struct(F.col("kind") != "utf-8", "original")).alias("b")).select(key, "token", "b.original", "b.chain")
+
+
 def _known_forms(vocabulary: DataFrame, ratio: float) -> DataFrame:
     """(token, original, chain) of the tokens that are a garbled form of a token at least ``ratio`` times as common."""
     forms = _garble(vocabulary)
@@ -191,7 +215,8 @@ def repairs(tokens: DataFrame, ratio: float = 2.0, swap_ratio: float = 20.0) ->
 def garbled_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key): the rows that hold a garbled token, each once."""
     tokens = cut(document_tokens(df, key, text))
-    return tokens.join(repairs(tokens).select("token"), "token", "left_semi").select(key).distinct()
+    alone = tokens.join(repairs(tokens).select("token"), "token", "left_semi").select(key)
+    return alone.unionByName(explained_texts(tokens, key).select(key)).distinct()
 
 
 def restored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,7 +225,9 @@ def restored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     n_lost counts replacement characters left over: what stood there can't be told.
     """
     tokens = cut(document_tokens(df, key, text))
-    own = tokens.join(repairs(tokens), "token").groupBy(key).agg(F.collect_list(F.struct("token", "original")).alias("pairs"))
+    alone = cut(tokens.join(repairs(tokens), "token").select(key, "token", "original"))
+    alike = explained_texts(tokens, key).select(key, "token", "original").join(alone.where("original IS NOT NULL"), [key, "token"], "left_anti")
+    own = alone.join(alike, [key, "token"], "left_anti").unionByName(alike).groupBy(key).agg(F.collect_list(F.struct("token", "original")).alias("pairs"))
     rows = df.select(F.col(key).cast("long").alias(key), text).join(own, key)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

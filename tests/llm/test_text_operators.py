@@ -262,6 +262,17 @@ def test_mojibake(make):
     assert mojibake.garbled_documents(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("write, read, share", [("cp1252", "cp1250", 3), ("cp1252", "mac_roman", 3), ("utf-8", "cp1252", 3), ("utf-8", "cp1252", 1.4)])
+def test_heavily_garbled_source(make, write, read, share):
+    clean = "El niño señaló la función del jardín en otoño según la razón pública número {0}"
+    texts = [clean.format(i) for i in range(60)]
+    bad = set(range(int(60 / share)))
+    df = make([(i, t.encode(write).decode(read) if i in bad else t) for i, t in enumerate(texts)] + [(100 + i, texts[0].encode(write).decode(read)) for i in range(50)], "doc_id long, text string")
+    assert {r.doc_id for r in mojibake.garbled_documents(df).collect()} == bad | set(range(100, 150))
+    got = {r.doc_id: r.restored_text for r in mojibake.restored(df).collect()}
+    assert all(got[i] == texts[i] for i in bad)
+
+
 def test_every_found_query_has_its_columns():
     assert {"p1_found", "p4_found", "p5_found", "p7_found", "p8_found", "p10_found", "p9_mix"} <= set(queries.queries())
     assert all(v.__doc__ for v in queries.queries().values())
