@@ -82,6 +82,14 @@ def test_truncation(make):
     assert truncation.truncated(df.limit(0)).count() == 0
 
 
+def test_opening_after_many_headings(make):
+    rnd = random.Random(4)
+    head = ["Repair of the Boiler", "ledger | AB-12 | 4", "Care of the Seal", "- the crane", "Use of the Annex"]
+    data = [(i, 1000 + i, f"d{i}", 1, 0, prose(rnd), "m") for i in range(150)] + [(212, 1, "e", 1, 0, "Every seal follows its own meter. Where the docket meets", None)]
+    data += [(300 + i, 2, "e", 2, i, t, None) for i, t in enumerate([*head, "the annex, a fee is due. The keeper signs the seal before noon."])]
+    assert truncation.truncated(make(data, CL)).count() == 0
+
+
 def test_goes_on():
     a = "one two three four five six seven eight nine ten eleven twelve"
     assert truncation.goes_on(a[:-7], a) and not truncation.goes_on(a, a[:-7]) and not truncation.goes_on(a, a) and not truncation.goes_on("x", a)
