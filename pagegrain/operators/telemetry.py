@@ -14,7 +14,7 @@ PRICES = {
     "gemini-3-flash-preview": (0.0005, 0.003, 0.0),
     "gemini-3.0-pro": (0.002, 0.012, 0.00031),
     "gemini-2.0-flash": (0.0001, 0.0004, 0.0),
-    "gemini-1.5-pro": (0.00125, 0.005, 0.00031),
+    "gemini-1.5-pro": (0.00125, 0.005, 0.0),
     "gemini-2.5-flash-preview-04-17": (0.00015, 0.0035, 0.0000375),
     "gemini-2.5-flash": (0.0003, 0.0025, 0.0000375),
     "gemini-2.5-pro-preview-03-25": (0.00125, 0.01, 0.00031),
@@ -57,9 +57,9 @@ def event_time(events: DataFrame) -> DataFrame:
 
 
 def usage_totals(events: DataFrame, *by: str) -> DataFrame:
-    """Calls, tokens, cost and errors per group."""
+    """Calls, tokens, cost and errors per group. Cost is added up as a decimal, so the order of the rows doesn't show in it."""
     return events.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("event_name") == "llm_end").alias("n_calls"), F.count_if(F.col("event_name") == "llm_error").alias("n_errors"), F.sum("token_count").alias("tokens"), F.sum("cost_usd").alias("cost")
+        F.count(F.lit(1)).alias("n_events"), F.count_if(F.col("event_name") == "llm_end").alias("n_calls"), F.count_if(F.col("event_name") == "llm_error").alias("n_errors"), F.sum("token_count").alias("tokens"), F.sum(F.col("cost_usd").cast("decimal(24,10)")).alias("cost")
     )
 
 

@@ -284,8 +284,13 @@ WITH p AS (SELECT DISTINCT document_id, pdf_page_num, page_id, incomplete_text F
 SELECT p.document_id, count(*) AS n_pages, count(*) FILTER (WHERE d.page_id = p.page_id) AS n_skipped FROM p LEFT JOIN done d ON d.document_id = p.document_id AND d.pdf_page_num = p.pdf_page_num GROUP BY 1""",
         "candidate_ladder": f"WITH {_ATTEMPTS} SELECT document_id, page_number, arg_min_null(model_name, CASE WHEN status = 'completed' THEN id END) AS model_name, count(*) AS n_tried, bool_or(status = 'completed') AS succeeded FROM att GROUP BY 1, 2",
         "input_fingerprints": "SELECT count(DISTINCT document_id) AS n_documents, count(DISTINCT document_id) AS n_fingerprints FROM split_pages",
-        "event_cost": f"WITH {_EVENTS} SELECT id, regexp_replace(model_name, '^models/', '') AS model, round((token_count * 0.00000125 + trunc(token_count / 4) * 0.000005) / 1000, 12) AS cost, false AS priced FROM ev WHERE event_name = 'llm_end'",
-        "usage_by_model": f"WITH {_EVENTS} SELECT regexp_replace(model_name, '^models/', '') AS model, count(*) AS n_events, count(*) FILTER (WHERE event_name = 'llm_end') AS n_calls, count(*) FILTER (WHERE event_name = 'llm_error') AS n_errors, CAST(sum(token_count) AS BIGINT) AS tokens, round(sum(cost_usd), 6) AS cost FROM ev GROUP BY 1",
+        "event_cost": f"WITH {_EVENTS} SELECT id, regexp_replace(model_name, '^models/', '') AS model, round(token_count * 0.00000125 / 1000, 12) AS cost, false AS priced FROM ev WHERE event_name = 'llm_end'",
+        "listed_prices": f"""
+WITH {_EVENTS}, pr(model_name, i, o, c) AS (VALUES ('gemini-3-flash-preview', 0.0005, 0.003, 0.0), ('gemini-3.0-pro', 0.002, 0.012, 0.00031), ('gemini-2.0-flash', 0.0001, 0.0004, 0.0), ('gemini-1.5-pro', 0.00125, 0.005, 0.0), ('gemini-2.5-flash-preview-04-17', 0.00015, 0.0035, 0.0000375),
+  ('gemini-2.5-flash', 0.0003, 0.0025, 0.0000375), ('gemini-2.5-pro-preview-03-25', 0.00125, 0.01, 0.00031), ('gemini-2.5-pro', 0.00125, 0.01, 0.00031), ('models/gemini-2.5-pro', 0.00125, 0.01, 0.00031), ('gemini-2.5-flash-lite', 0.0001, 0.004, 0.00025), (NULL, 0.00000125, 0.000005, 0.0)),
+n AS (SELECT CAST(floor(avg(token_count)) AS BIGINT) AS n FROM ev WHERE event_name = 'llm_end'), t(a, b, d) AS (VALUES (1, 0, 0), (0, 1, 0), (1, 0, 1), (2, 1, 1))
+SELECT model_name, n * a AS input_tokens, n * b AS output_tokens, n * d AS cached_tokens, round(CAST(n * (a - d) * i + n * d * c + n * b * o AS DOUBLE) / 1000, 9) AS cost, model_name IS NOT NULL AS priced FROM pr, n, t""",
+        "usage_by_model": f"WITH {_EVENTS} SELECT regexp_replace(model_name, '^models/', '') AS model, count(*) AS n_events, count(*) FILTER (WHERE event_name = 'llm_end') AS n_calls, count(*) FILTER (WHERE event_name = 'llm_error') AS n_errors, CAST(sum(token_count) AS BIGINT) AS tokens, CAST(round(sum(CAST(cost_usd AS DECIMAL(24,10))), 6) AS DOUBLE) AS cost FROM ev GROUP BY 1",
         "events_by_run": f"WITH {_EVENTS} SELECT run_id, count(*) AS n_events, min(id) AS first_id, max(id) AS last_id, arg_max(event_name, id) AS last_event FROM ev GROUP BY 1",
         "event_windows": f"WITH {_EVENTS} SELECT strftime(CAST(try_cast(ts_iso AS TIMESTAMPTZ) AT TIME ZONE 'UTC' AS TIMESTAMP), '%Y-%m-%d %H') AS hour, event_name, count(*) AS n_events, CAST(sum(token_count) AS BIGINT) AS tokens FROM ev WHERE try_cast(ts_iso AS TIMESTAMPTZ) IS NOT NULL GROUP BY 1, 2",
         "stream_event_counts": "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1",

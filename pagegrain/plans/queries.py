@@ -587,16 +587,26 @@ def input_fingerprints(spark, base) -> DataFrame:
 
 
 def event_cost(spark, base) -> DataFrame:
-    """Cost of every call's tokens; the log's models have no listed price and cost the fallback."""
+    """Cost of every call's tokens, which the log doesn't split into input and output; its models have no listed price and cost the fallback."""
     e = telemetry.distinct_events(read(spark, base, "ingest_events")).where("event_name = 'llm_end'")
-    calls = e.select("id", "model_name", F.col("token_count").alias("input_tokens"), (F.col("token_count") / 4).cast("int").alias("output_tokens"), F.lit(0).alias("cached_tokens"))
+    calls = e.select("id", "model_name", F.col("token_count").alias("input_tokens"), F.lit(0).alias("output_tokens"), F.lit(0).alias("cached_tokens"))
     return telemetry.with_cost(calls, telemetry.price_table(spark)).select("id", telemetry.model_key("model_name").alias("model"), F.round("cost", 12).alias("cost"), "priced")
 
 
+def listed_prices(spark, base) -> DataFrame:
+    """Cost of the log's average call on every listed model, as input, output, cached input, and all of them; and of one without a name."""
+    n = telemetry.distinct_events(read(spark, base, "ingest_events")).where("event_name = 'llm_end'").agg(F.floor(F.avg("token_count")).cast("long").alias("n"))
+    models = spark.createDataFrame([(m,) for m in [*telemetry.PRICES, "models/gemini-2.5-pro", None]], "model_name string")
+    t = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(o).alias("o"), F.lit(c).alias("c")) for i, o, c in ((1, 0, 0), (0, 1, 0), (1, 0, 1), (2, 1, 1))])).alias("t")
+    calls = models.join(F.broadcast(n)).select("model_name", "n", t)  # one row beside a row per model
+    calls = calls.select("model_name", *[(F.col("n") * F.col(f"t.{k}")).alias(c) for k, c in (("i", "input_tokens"), ("o", "output_tokens"), ("c", "cached_tokens"))])
+    return telemetry.with_cost(calls, telemetry.price_table(spark)).select("model_name", "input_tokens", "output_tokens", "cached_tokens", F.round("cost", 9).alias("cost"), "priced")
+
+
 def usage_by_model(spark, base) -> DataFrame:
     """Calls, tokens and cost per model."""
     e = telemetry.distinct_events(read(spark, base, "ingest_events")).withColumn("model", telemetry.model_key("model_name"))
-    return telemetry.usage_totals(e, "model").withColumn("cost", F.round("cost", 6))
+    return telemetry.usage_totals(e, "model").withColumn("cost", F.round("cost", 6).cast("double"))
 
 
 def events_by_run(spark, base) -> DataFrame:
