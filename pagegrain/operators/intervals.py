@@ -2,8 +2,8 @@
 
 Spans are clipped to shards of ``width`` positions and merged inside (entity, shard); only coverage that touches
 a shard boundary is stitched per entity afterwards. However many spans one entity has, a task of the first level
-holds those of one shard, and the second level sees at most two rows a shard. Spans with a null or reversed bound
-are nothing; repeated spans change nothing; an empty table gives an empty table.
+holds those of one shard, and the second level sees at most two rows a shard. Shards that a span fills are not
+listed one by one but as blocks of doubling size. Spans with a null or reversed bound or a null key are nothing; repeated spans change nothing; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -11,16 +11,36 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut
+
 SHARD = 4096
 
 
-def _clip(df: DataFrame, keys: list[str], start: str, end: str, width: int) -> DataFrame:
+def _pieces(df: DataFrame, keys: list[str], start: str, end: str, width: int) -> tuple[DataFrame, DataFrame | None]:
+    """(keys, _k, _s, _e) and (keys, _l, _b, _s, _e): a span's pieces in its first and last shard, and the shards it fills between.
+
+    Filled shards come as blocks of 2**_l shards, number _b of their level: two a level at most, however long the span.
+    Where no span fills a shard, which one aggregate tells, there is no second table and the plans stay short.
+    """
     s, e = F.col(start).cast("long"), F.col(end).cast("long")
     spans = df.select(*keys, s.alias("_s"), e.alias("_e")).where("_s <= _e").distinct()
-    k = F.explode(F.sequence(F.floor(F.col("_s") / width), F.floor(F.col("_e") / width)))
-    cut = spans.withColumn("_k", k)
-    lo = F.col("_k") * width
-    return cut.select(*keys, "_k", F.greatest("_s", lo).alias("_s"), F.least("_e", lo + (width - 1)).alias("_e"))
+    spans = cut(spans.withColumns({"_a": F.floor(F.col("_s") / width), "_z": F.floor(F.col("_e") / width)}))
+    first = F.struct(F.col("_a").alias("k"), F.col("_s").alias("s"), F.least("_e", F.col("_a") * width + (width - 1)).alias("e"))
+    last = F.struct(F.col("_z").alias("k"), (F.col("_z") * width).alias("s"), F.col("_e").alias("e"))
+    ends = spans.select(*keys, F.explode(F.when(F.col("_a") == F.col("_z"), F.array(first)).otherwise(F.array(first, last))).alias("p"))
+    ends = ends.select(*keys, F.col("p.k").alias("_k"), F.col("p.s").alias("_s"), F.col("p.e").alias("_e"))
+    if (spans.agg(F.max(F.col("_z") - F.col("_a"))).first()[0] or 0) < 2:
+        return ends, None
+    # segment tree over the shards from _a + 1 up to _z: at each level the odd ends stand alone, the rest goes up
+    lo = lambda l: F.ceil((F.col("_a") + 1) / F.pow(F.lit(2.0), l)).cast("long")
+    hi = lambda l: F.floor(F.col("_z") / F.pow(F.lit(2.0), l)).cast("long")
+    odd = lambda x: F.pmod(x, F.lit(2)) == 1
+    block = lambda l, b: F.struct(l.alias("l"), b.alias("b"))
+    levels = F.sequence(F.lit(0), F.floor(F.log2((F.col("_z") - F.col("_a") - 1).cast("double"))).cast("int"))
+    pick = F.flatten(F.transform(levels, lambda l: F.array(F.when((lo(l) < hi(l)) & odd(lo(l)), block(l, lo(l))), F.when((lo(l) < hi(l)) & odd(hi(l)), block(l, hi(l) - 1)))))
+    full = spans.where("_z > _a + 1").select(*keys, F.explode(F.filter(pick, lambda x: x.isNotNull())).alias("x")).select(*keys, "x.l", "x.b").distinct()
+    size = F.pow(F.lit(2.0), F.col("l")).cast("long") * width
+    return ends, full.select(*keys, F.col("l").alias("_l"), F.col("b").alias("_b"), (F.col("b") * size).alias("_s"), ((F.col("b") + 1) * size - 1).alias("_e"))
 
 
 def _islands(df: DataFrame, by: list[str]) -> DataFrame:
@@ -36,23 +56,49 @@ def _edge(width: int) -> Column:
     return (F.col("_s") == F.col("_k") * width) | (F.col("_e") == F.col("_k") * width + (width - 1))
 
 
+def _open_shards(local: DataFrame, full: DataFrame | None, keys: list[str]) -> DataFrame:
+    """The rows of ``local`` in shards that no block fills: a shard meets the blocks above it by level and number."""
+    if full is None:
+        return local
+    top = full.agg(F.max("_l").alias("_top"))
+    shards = local.select(*keys, "_k").distinct().join(F.broadcast(top.where("_top IS NOT NULL")))  # one row
+    up = shards.select(*keys, "_k", F.explode(F.sequence(F.lit(0), "_top")).alias("_l")).withColumn("_b", F.floor(F.col("_k") / F.pow(F.lit(2.0), F.col("_l"))))
+    filled = up.join(full.select(*keys, "_l", "_b"), [*keys, "_l", "_b"], "left_semi").select(*keys, "_k").distinct()
+    return local.join(filled, [*keys, "_k"], "left_anti")
+
+
 def merge_intervals(df: DataFrame, keys: list[str], start: str, end: str, width: int = SHARD) -> DataFrame:
-    """Continuous stretches per key: (keys, start, end); spans that overlap or touch (next start = end + 1) become one."""
-    local = _islands(_clip(df, keys, start, end, width), [*keys, "_k"])
-    inner = local.where(~_edge(width)).select(*keys, "_s", "_e")
-    stitched = _islands(local.where(_edge(width)).select(*keys, "_s", "_e"), keys)
+    """Continuous stretches per key: (keys, start, end); spans that overlap or touch (next start = end + 1) become one.
+
+    Keys must not be null: a row with a null key joins nothing and is left out.
+    """
+    ends, full = _pieces(_keyed(df, keys), keys, start, end, width)
+    local = _islands(ends, [*keys, "_k"])
+    inner = _open_shards(local.where(~_edge(width)), full, keys).select(*keys, "_s", "_e")
+    stitched = _islands(_with(local.where(_edge(width)).select(*keys, "_s", "_e"), full, keys), keys)
     return inner.unionByName(stitched).select(*keys, F.col("_s").alias(start), F.col("_e").alias(end))
 
 
+def _with(rows: DataFrame, full: DataFrame | None, keys: list[str]) -> DataFrame:
+    return rows if full is None else rows.unionByName(full.select(*keys, "_s", "_e"))
+
+
+def _keyed(df: DataFrame, keys: list[str]) -> DataFrame:
+    for k in keys:
+        df = df.where(F.col(k).isNotNull())
+    return df
+
+
 def interval_gaps(df: DataFrame, keys: list[str], start: str, end: str, width: int = SHARD) -> DataFrame:
     """Stretches between the first and the last covered position of a key that no span covers: (keys, start, end)."""
-    local = _islands(_clip(df, keys, start, end, width), [*keys, "_k"])
+    ends, full = _pieces(_keyed(df, keys), keys, start, end, width)
+    local = _islands(ends, [*keys, "_k"])
     w = Window.partitionBy(*keys, "_k").orderBy("_s")
-    inside = local.withColumn("_n", F.lead("_s").over(w))
-    inner = inside.where("_n > _e + 1").select(*keys, (F.col("_e") + 1).alias(start), (F.col("_n") - 1).alias(end))
-    shards = local.groupBy(*keys, "_k").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
-    across = shards.withColumn("_n", F.lead("_s").over(Window.partitionBy(*keys).orderBy("_k")))
-    outer = across.where("_n > _e + 1").select(*keys, (F.col("_e") + 1).alias(start), (F.col("_n") - 1).alias(end))
+    inside = local.withColumn("_n", F.lead("_s").over(w)).where("_n > _e + 1")
+    inner = _open_shards(inside, full, keys).select(*keys, (F.col("_e") + 1).alias(start), (F.col("_n") - 1).alias(end))
+    shards = local.groupBy(*keys, "_k").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e")).select(*keys, "_s", "_e")
+    before = F.max("_e").over(Window.partitionBy(*keys).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, -1))
+    outer = _with(shards, full, keys).withColumn("_p", before).where("_s > _p + 1").select(*keys, (F.col("_p") + 1).alias(start), (F.col("_s") - 1).alias(end))
     return inner.unionByName(outer)
 
 
@@ -90,9 +136,14 @@ def cover_ratio(per_unit: DataFrame) -> DataFrame:
 
 def overlap_tolerance(df: DataFrame, keys: list[str], start: str, end: str, tolerance: int) -> DataFrame:
     """Spans that reach more than ``tolerance`` positions into what earlier spans of the key cover."""
-    w = Window.partitionBy(*keys).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.max(end).over(w)
-    return df.withColumn("prior_end", before).where(F.col("prior_end") - F.col(start) + 1 > tolerance)
+    shard = df.where(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("_k", F.floor(F.col(start) / SHARD))
+    w = lambda *by: Window.partitionBy(*by)
+    back = (Window.unboundedPreceding, -1)
+    # what the earlier shards reach, a row a shard, and what the earlier spans of the same shard do
+    per = shard.groupBy(*keys, "_k").agg(F.max(end).alias("_m")).withColumn("_far", F.max("_m").over(w(*keys).orderBy("_k").rowsBetween(*back))).drop("_m")
+    near = shard.withColumn("_near", F.max(end).over(w(*keys, "_k").orderBy(start, end).rowsBetween(*back)))
+    both = near.join(per, [*keys, "_k"]).withColumn("prior_end", F.greatest("_near", "_far"))
+    return both.where(F.col("prior_end") - F.col(start) + 1 > tolerance).select(*df.columns, "prior_end")
 
 
 def _unit_texts(clusters: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import cut
-from .intervals import interval_gaps, overlaps
+from .intervals import SHARD, interval_gaps, overlaps
 
 SPAN = "struct(source_cluster_id, start_char, end_char)"
 
@@ -50,10 +50,13 @@ def layer_gaps(parent_spans: DataFrame, child_spans: DataFrame, units: DataFrame
     """
     keys = ["parent_id", "source_cluster_id"]
     have = child_spans.select("parent_id").distinct()
-    p = parent_spans.join(have, "parent_id", "left_semi").select(*keys, F.col("start_char").cast("long").alias("p_s"), F.col("end_char").cast("long").alias("p_e")).distinct()
-    # the parent's span framed by one position on each side, so that its own ends count as covered neighbours
+    p = parent_spans.where("start_char <= end_char").join(have, "parent_id", "left_semi").select(*keys, F.col("start_char").cast("long").alias("p_s"), F.col("end_char").cast("long").alias("p_e")).distinct()
     c = child_spans.select(*keys, F.col("start_char").cast("long").alias("s"), F.col("end_char").cast("long").alias("e"))
-    clipped = p.join(c, keys).where("s <= p_e AND e >= p_s").select(*keys, "p_s", "p_e", F.greatest("s", "p_s").alias("s"), F.least("e", "p_e").alias("e"))
+    # parents and children meet shard by shard, so a wide parent is spread over tasks
+    shards = lambda d, a, b: d.withColumn("_k", F.explode(F.sequence(F.floor(F.col(a) / SHARD), F.floor(F.col(b) / SHARD))))
+    at = F.col("_k") * SHARD
+    clipped = shards(p, "p_s", "p_e").join(shards(c.where("s <= e").distinct(), "s", "e"), [*keys, "_k"]).select(*keys, "p_s", "p_e", F.greatest("s", "p_s", at).alias("s"), F.least("e", "p_e", at + (SHARD - 1)).alias("e")).where("s <= e")
+    # the parent's span framed by one position on each side, so that its own ends count as covered neighbours
     frame = p.select(*keys, "p_s", "p_e", F.explode(F.array(F.struct((F.col("p_s") - 1).alias("s"), (F.col("p_s") - 1).alias("e")), F.struct((F.col("p_e") + 1).alias("s"), (F.col("p_e") + 1).alias("e")))).alias("f")).select(*keys, "p_s", "p_e", "f.s", "f.e")
     holes = interval_gaps(clipped.unionByName(frame), [*keys, "p_s", "p_e"], "s", "e")
     held = holes.join(units.select("source_cluster_id", "text"), "source_cluster_id").where(F.expr("substring(text, cast(s + 1 as int), cast(e - s + 1 as int))").rlike(rf"[^\s\x{{a0}}]"))

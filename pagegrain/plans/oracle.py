@@ -168,7 +168,8 @@ SELECT DISTINCT 'gap' AS span_kind, source_cluster_id, CAST(span_start AS BIGINT
   WHERE span_end IS NOT NULL AND regexp_matches(substring(text, CAST(span_start + 1 AS BIGINT), CAST(span_end - span_start + 1 AS BIGINT)), '[^\\s\\x{{a0}}]')
 UNION ALL SELECT span_kind, source_cluster_id, CAST(span_start AS BIGINT), CAST(span_end AS BIGINT) FROM nti""",
         "p6_merged": f"""
-WITH r AS (SELECT DISTINCT source_cluster_id, start_char, end_char FROM node_pointers WHERE end_char >= 0 AND end_char < 100000000), {_islands("r", "source_cluster_id", "start_char", "end_char")}
+WITH {_UNITS}, q AS (SELECT DISTINCT source_cluster_id, start_char, end_char FROM node_pointers WHERE start_char IS NOT NULL AND end_char IS NOT NULL AND source_cluster_id IS NOT NULL),
+r AS (SELECT source_cluster_id, greatest(start_char, 0) AS s, CASE WHEN end_char = -1 OR end_char >= 100000000 THEN length(text) - 1 ELSE least(end_char, coalesce(length(text) - 1, end_char)) END AS e FROM q LEFT JOIN u USING (source_cluster_id)), {_islands("r", "source_cluster_id", "s", "e")}
 SELECT source_cluster_id, CAST(span_start AS BIGINT) AS span_start, CAST(span_end AS BIGINT) AS span_end FROM isl""",
         "p2_pages": """
 SELECT DISTINCT page_id, document_id, pdf_page_num, printed_page_number, contains_table, is_empty_page, incomplete_text, scan_quality, metadata.ocr_model_name AS ocr_model_name, metadata.ocr_datetime AS ocr_datetime, metadata.ocr_json_version AS ocr_json_version,
@@ -326,9 +327,9 @@ SELECT document_id, 'p' || pdf_page_num || '_c' || (i - 1) AS unit_id, 'text' AS
         "mention_pointers": f"WITH {_PTR} SELECT node_id, ptr_ord, source_cluster_id, start_char, greatest(end_char + 1, start_char + greatest(length(coalesce(verbatim_text, '')), 1)) - 1 AS end_char FROM q SEMI JOIN semantic_nodes USING (node_id) WHERE start_char IS NOT NULL AND end_char IS NOT NULL AND source_cluster_id IS NOT NULL",
         "flags_as_words": "SELECT CASE WHEN contains_table THEN 'Yes' WHEN NOT contains_table THEN 'No' END AS contains_table, CASE WHEN incomplete_text THEN 'Yes' WHEN NOT incomplete_text THEN 'No' END AS incomplete_text, count(*) AS n FROM (SELECT DISTINCT page_id, contains_table, incomplete_text FROM split_pages) GROUP BY 1, 2",
         "delimiter_resolve": rf"""
-WITH {_PAGES}, z AS (SELECT doc_id, page_text AS t, list_filter(string_split(page_text, chr(10)), lambda x: {_strip("x")} <> '') AS ls FROM p WHERE page_number = 1),
-y AS (SELECT doc_id, t, ls[1] AS f, ls[-1] AS l, (length(t) - length(replace(t, ls[1], ''))) / length(ls[1]) AS nf, (length(t) - length(replace(t, ls[-1], ''))) / length(ls[-1]) AS nl FROM z),
+WITH {_PAGES}, z AS (SELECT doc_id, page_number, page_text AS t, list_filter(string_split(page_text, chr(10)), lambda x: {_strip("x")} <> '') AS ls FROM p),
+y AS (SELECT doc_id, page_number, t, ls[1] AS f, ls[-1] AS l, (length(t) - length(replace(t, ls[1], ''))) / length(ls[1]) AS nf, (length(t) - length(replace(t, ls[-1], ''))) / length(ls[-1]) AS nl FROM z),
 x AS (SELECT *, CASE WHEN nf = 0 THEN 'start not found' WHEN nf > 1 THEN 'start is not unique' WHEN nl = 0 THEN 'end not found' WHEN nl > 1 THEN 'end is not unique' WHEN strpos(t, l) + length(l) - 2 < strpos(t, f) - 1 THEN 'end before start' END AS error FROM y)
-SELECT doc_id, CASE WHEN error IS NULL THEN CAST(strpos(t, f) - 1 AS INT) END AS span_start, CASE WHEN error IS NULL THEN CAST(strpos(t, l) + length(l) - 2 AS INT) END AS span_end, error FROM x""",
+SELECT doc_id, page_number, CASE WHEN error IS NULL THEN CAST(strpos(t, f) - 1 AS INT) END AS span_start, CASE WHEN error IS NULL THEN CAST(strpos(t, l) + length(l) - 2 AS INT) END AS span_end, error FROM x""",
     }
     return out

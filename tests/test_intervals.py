@@ -69,3 +69,19 @@ def test_p6_merged_resolves_open_ends(spark, make, tmp_path):
     make(c, "document_id string, pdf_page_num int, cluster_number int, text string").write.parquet(f"{tmp_path}/text_clusters.parquet")
     want = [("d|p1_t0", 0, 9), ("d|p1_t1", 0, 2), ("d|p1_t1", 4, 5), ("d|p1_t2", 0, 5), ("x", 3, 99_999_999)]
     assert rows(queries.p6_merged(spark, str(tmp_path))) == want
+
+
+def test_very_long_spans_stay_few_rows(make):
+    day = 86_400_000_000
+    data = [("u", 0, day - 1), ("u", day, day + 5), ("u", day + 9, day + 12), ("u", 40, 50), ("u", 5 * day, 5 * day), ("v", -day, day), ("v", 3 * day, 4 * day), ("v", 3 * day + 7, 3 * day + 8), (None, 1, 2)]
+    df = make(data, "k string, s long, e long")
+    assert sum(x.count() for x in I._pieces(df.where("k IS NOT NULL"), ["k"], "s", "e", I.SHARD)) < 300 and I._pieces(df.where("e - s < 9"), ["k"], "s", "e", I.SHARD)[1] is None
+    assert rows(I.merge_intervals(df, ["k"], "s", "e")) == sorted([("u", 0, day + 5), ("u", day + 9, day + 12), ("u", 5 * day, 5 * day), ("v", -day, day), ("v", 3 * day, 4 * day)], key=lambda t: tuple((True, str(x)) for x in t))
+    assert set(rows(I.interval_gaps(df, ["k"], "s", "e"))) == {("u", day + 6, day + 8), ("u", day + 13, 5 * day - 1), ("v", day + 1, 3 * day - 1)}
+
+
+def test_tolerance_over_shards_matches_brute_force(make):
+    rnd = random.Random(3)
+    data = sorted({("hot", s := rnd.randrange(40_000), s + rnd.randrange(6000)) for _ in range(300)})
+    want = [(*d, m) for i, d in enumerate(data) if i and (m := max(x[2] for x in data[:i])) - d[1] + 1 > 8]
+    assert set(rows(I.overlap_tolerance(make(data, "u string, s int, e int"), ["u"], "s", "e", 8))) == set(want)
