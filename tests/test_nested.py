@@ -71,3 +71,43 @@ def test_refined_members(make):
     assert rows(child_objects(pages, none)) == [("refined_object", 3, 6, -1), ("refined_text", 1, 5, -1)]
     assert page_table(pages).count() == 3
     assert child_objects(pages.limit(0), none).count() == 0
+
+
+def test_boxes_and_numbers_however_far_apart(make):
+    blank = " " * 200
+    far = '{"boxes_2d": [{"box_2d": [1,' + blank + "2," + "\n" * 300 + '3.5, 4e1], "label": "a", "id": ' + blank + "9007199254740993" + blank + '}, {"box_2d": "' + "5 , " + blank + '6,7,8", "label": "b", "id": "' + blank + '12"}]}'
+    deep = json.dumps({"boxes_2d": [{"box_2d": [10, 20, 30, 40], "label": "c", "id": 7}]}, indent=60)
+    beyond = '{"boxes_2d": [{"label": "d", "id": 99999999999999999999}, {"label": "e", "id": [4]}, {"label": "f", "id": 3, "box_2d": [1, 2]}]}'
+    r = json_objects(make([(1, far), (2, deep), (3, beyond)], "response_id int, response_json string")).collect()
+    assert sorted((x.record_id, x.object_id, x.y_min, x.x_max) for x in r if x.record_id < 3) == [(1, 12, 5.0, 8.0), (1, 9007199254740993, 1.0, 40.0), (2, 7, 10.0, 40.0)]
+    assert [(x.object_id, x.y_min) for x in r if x.record_id == 3] == [(3, None)]
+
+
+def test_completeness_is_that_of_a_json_parser():
+    from pagegrain.operators.nested import _Index
+
+    rnd = random.Random(11)
+
+    def value(d=0):
+        if d > 4 or rnd.random() < 0.4:
+            return rnd.choice([1, -2.5, 1e30, True, None, 'a"b', "\\", "é\n", "", {}, []])
+        if rnd.random() < 0.5:
+            return {rnd.choice(["id", "a", "b{", "c:", "d,"]): value(d + 1) for _ in range(rnd.randrange(4))}
+        return [value(d + 1) for _ in range(rnd.randrange(4))]
+
+    texts = ["", " ", "1 2", '{"a" 1}', '{"a":1,}', "[,]", '"\x01"', '"\\x"', '"\\u12g4"', "{]", "tru", "[01]", '{"a":{"b":1}} x']
+    for _ in range(1500):
+        t = json.dumps(value(), indent=rnd.choice([None, 2]), ensure_ascii=rnd.random() < 0.5)
+        for _ in range(rnd.randrange(3)):
+            j = rnd.randrange(len(t) + 1)
+            t = rnd.choice([t[:j], t[:j] + t[j + 1 :], t[:j] + rnd.choice('{}[]:,"\\ 1a\n\t') + t[j:]])
+        texts.append(t)
+
+    def parses(t):
+        try:
+            json.loads(t)
+        except ValueError:
+            return False
+        return True
+
+    assert _Index(texts).ok.tolist() == [parses(t) for t in texts]
