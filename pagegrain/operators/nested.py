@@ -101,13 +101,11 @@ class _Index:
         self._grammar(b, quote, inside, out, opens, live, depth, ok, text_of)
         self.ok = ok
         keep = ok[self.doc]
-        to = np.cumsum(keep) - 1
+        to = np.append(np.cumsum(keep) - 1, -1)  # -1, for none, stays -1
         alive = ok[text_of(self.colons)]
-        colon_to = np.cumsum(alive) - 1
+        colon_to = np.append(np.cumsum(alive) - 1, -1)
         self.colons, self.owner, self.value = self.colons[alive], to[self.owner[alive]], self.value[alive]
-        self.parent, self.colon = self.parent[keep], self.colon[keep]
-        self.parent = np.where(self.parent >= 0, to[self.parent], -1)
-        self.colon = np.where(self.colon >= 0, colon_to[self.colon], -1)
+        self.parent, self.colon = to[self.parent[keep]], colon_to[self.colon[keep]]
         self.open, self.close, self.level, self.doc = self.open[keep], self.close[keep], self.level[keep], self.doc[keep]
 
     def _finder(self, size: int):
