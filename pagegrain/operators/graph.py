@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import cut
+from .numbering import numbered
 
 
 def spans(pointers: DataFrame) -> DataFrame:
@@ -42,12 +43,8 @@ def with_temp_ids(ids: DataFrame, prefix: str) -> DataFrame:
 
     Numbers come from a range partition's own count plus the counts before it, so no task holds all ids.
     """
-    s = ids.select("id").distinct()
-    ranged = cut(s.repartitionByRange("id").sortWithinPartitions("id").withColumn("_p", F.spark_partition_id()))
-    per = ranged.groupBy("_p").count()
-    base = per.withColumn("_base", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row per partition
-    w = Window.partitionBy("_p").orderBy("id")
-    return ranged.withColumn("_n", F.row_number().over(w)).join(F.broadcast(base.select("_p", "_base")), "_p").select("id", F.concat(F.lit(f"{prefix}:"), (F.col("_n") + F.col("_base")).cast("string")).alias("temp_id"))
+    n = numbered(ids.select("id").distinct(), "id", "_n")
+    return n.select("id", F.concat(F.lit(f"{prefix}:"), (F.col("_n") + 1).cast("string")).alias("temp_id"))
 
 
 def rewrite_edges(gedges: DataFrame, temp: DataFrame) -> DataFrame:

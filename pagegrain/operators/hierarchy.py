@@ -1,10 +1,12 @@
 """Parent-child rows to full hierarchies.
 
 ``loops`` peels, in doubling steps, everything whose line of parents ends; what is left circles or hangs below a
-circle. ``hierarchy`` lays an Euler tour through each remaining tree, ranks the tour by parallel pointer jumping,
-and reads depth, root, subtree size and the entry and exit of every node from it: v lies below u exactly if u's
-interval holds v's. All rounds are joins on keys, their number is the logarithm of the longest line, and lineage
-is cut in shared storage. Wide parents are split by salted sibling buckets, so no task holds all children of one.
+circle. ``hierarchy`` lays an Euler tour through each remaining tree, ranks the tour by parallel list ranking over ruling
+sets, and reads depth, root, subtree size and the entry and exit of every node from it: v lies below u exactly if u's
+interval holds v's. Childless nodes take no part in the ranking; their place follows from their siblings. All rounds are
+joins on keys, their number is the logarithm of the longest list, and lineage is cut in shared storage. Wide parents
+are split by sibling buckets, so no window holds all children of one; joins on a wide parent's key are inner joins with one
+row of it, which adaptive execution splits on the side of the children.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut
+from .numbering import numbered
 
 BUCKETS = 64
 
@@ -23,6 +26,14 @@ def links(df: DataFrame, node: str, parent: str) -> DataFrame:
     return df.where(F.col(node).isNotNull()).groupBy(F.col(node).alias("id")).agg(F.min(p).alias("parent"))
 
 
+def other_parents(df: DataFrame, node: str, parent: str) -> DataFrame:
+    """(id, parent): the links that ``links`` doesn't follow, of ids with several different parents."""
+    p = F.when(F.col(parent) != "", F.col(parent))
+    all_ = df.where(F.col(node).isNotNull()).select(F.col(node).alias("id"), p.alias("parent")).where("parent IS NOT NULL").distinct()
+    first = all_.groupBy("id").agg(F.min("parent").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    return all_.join(first, "id").where("parent <> _first").select("id", "parent")
+
+
 def _known(rows: DataFrame) -> DataFrame:
     """(id, ptr) of the rows whose parent is itself a row."""
     ids = rows.select(F.col("id").alias("ptr"))
@@ -73,58 +84,91 @@ def loops(rows: DataFrame) -> DataFrame:
 
 
 def _keyed(tree: DataFrame) -> DataFrame:
-    """(id, k, p): ids and parents as even 64-bit numbers, different for different ids."""
-    total = tree.count()
-    for salt in range(64):
-        key = lambda c: F.shiftleft(F.xxhash64(F.lit(salt), c), 1)  # noqa: B023, E731
-        keyed = cut(tree.select("id", key("id").alias("k"), F.when(F.col("ptr").isNotNull(), key("ptr")).alias("p")))
-        if keyed.select("k").distinct().count() == total:
-            return keyed
-    raise RuntimeError("no salt tells all ids apart")
-
-
-def _tour(tree: DataFrame) -> DataFrame:
-    """Elements (e, next, d, head) of the Euler tours of (k, p): e = k on the way down, k + 1 on the way up; head: a root's first."""
-    kids = tree.where("p IS NOT NULL").select("k", "p", F.pmod(F.col("k") / 2, F.lit(BUCKETS)).cast("int").alias("_b"))
-    kids = kids.withColumn("_in", F.lead("k").over(Window.partitionBy("p", "_b").orderBy("k")))
-    heads = kids.groupBy("p", "_b").agg(F.min("k").alias("_head"))
-    heads = heads.withColumn("_after", F.lead("_head").over(Window.partitionBy("p").orderBy("_b")))
-    sib = kids.join(heads.select("p", "_b", "_after"), ["p", "_b"]).select("k", F.coalesce("_in", "_after").alias("_sib"))
-    top = heads.groupBy("p").agg(F.min_by("_head", "_b").alias("_kid")).withColumnRenamed("p", "k")
-    base = tree.select("k", "p").join(top, "k", "left").join(sib, "k", "left")
-    up = lambda c: F.col(c).bitwiseOR(F.lit(1).cast("long"))
-    root = F.col("p").isNull()
-    both = F.array(
-        F.struct(F.col("k").alias("e"), F.coalesce("_kid", up("k")).alias("next"), F.lit(1).cast("long").alias("d"), root.alias("head")),
-        F.struct(up("k").alias("e"), F.when(~root, F.coalesce(F.col("_sib"), up("p"))).alias("next"), F.lit(-1).cast("long").alias("d"), F.lit(False).alias("head")),
-    )
-    return base.select(F.inline(both))
+    """(id, k, p): ids and parents as numbers: consecutive, times four, plus two for a root; the lowest bit stays free."""
+    own = cut(numbered(tree, "id", "_n").select("id", "ptr", (F.col("_n") * 4 + F.when(F.col("ptr").isNull(), 2).otherwise(0)).alias("k")))
+    up = own.select(F.col("id").alias("ptr"), F.col("k").alias("p"))
+    return cut(own.join(up, "ptr", "left").select("id", "k", "p"))
+
+
+def _family(keyed: DataFrame) -> DataFrame:
+    """(k, p, inner, bucket, before, sib, skip, prev): each child among its siblings; inner: it has children itself.
+
+    before: childless siblings ahead of it; sib: the next sibling with children; skip: childless ones between (behind it, if
+    none follows); prev: the last sibling with children ahead of it. Siblings come bucket by bucket, so that the windows
+    over one parent's children hold a bucket each and those over its buckets a row each.
+    """
+    parents = keyed.where("p IS NOT NULL").select(F.col("p").alias("k"), F.lit(True).alias("inner")).distinct()
+    kids = keyed.where("p IS NOT NULL").select("k", "p", F.pmod(F.col("k") / 4, F.lit(BUCKETS)).cast("int").alias("bucket")).join(parents, "k", "left")
+    kids = kids.withColumn("inner", F.coalesce("inner", F.lit(False)))
+    w = Window.partitionBy("p", "bucket").orderBy("k")
+    ahead, behind = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    leaf = (~F.col("inner")).cast("long")
+    here = F.when(F.col("inner"), F.struct("k", "_before"))
+    kids = kids.withColumn("_before", F.coalesce(F.sum(leaf).over(ahead), F.lit(0)))
+    kids = kids.withColumns({"_next": F.first(here, ignorenulls=True).over(behind), "_prev": F.last(here, ignorenulls=True).over(ahead)})
+    per = kids.groupBy("p", "bucket").agg(F.sum(leaf).alias("_leaves"), F.min(here).alias("_first"), F.max(here).alias("_last"))
+    wb = Window.partitionBy("p").orderBy("bucket")
+    lead, rest = wb.rowsBetween(Window.unboundedPreceding, -1), wb.rowsBetween(1, Window.unboundedFollowing)
+    per = per.withColumn("_base", F.coalesce(F.sum("_leaves").over(lead), F.lit(0)))
+    at = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.col(f"{c}.k").alias("k"), (F.col(f"{c}._before") + F.col("_base")).alias("before")))
+    per = per.withColumns({"_after": F.first(at("_first"), ignorenulls=True).over(rest), "_ahead": F.last(at("_last"), ignorenulls=True).over(lead), "_all": F.sum("_leaves").over(Window.partitionBy("p"))})
+    own = kids.join(per.select("p", "bucket", "_base", "_after", "_ahead", "_all"), ["p", "bucket"])
+    sib, prev = F.coalesce(at("_next"), "_after"), F.coalesce(at("_prev"), "_ahead")
+    before = F.col("_before") + F.col("_base")
+    return own.select("k", "p", "inner", "bucket", before.alias("before"), sib["k"].alias("sib"), (F.coalesce(sib["before"], "_all") - before).alias("skip"), F.struct(prev["k"].alias("k"), prev["before"].alias("before")).alias("prev"))
+
+
+def _tour(keyed: DataFrame, family: DataFrame) -> DataFrame:
+    """Elements (e, next, w, d) of the Euler tours over the nodes with children: e = k on the way down, k + 1 on the way up.
+
+    Childless nodes are no elements; w counts the element and the two steps of each that follows before the next one.
+    """
+    inner = keyed.select("k", "p").join(family.select(F.col("p").alias("k")).distinct(), "k", "left_semi")
+    order = F.struct("bucket", "k")
+    first = family.groupBy("p").agg(F.min_by(F.struct("k", "before"), F.when(F.col("inner"), order)).alias("_kid"), F.sum((~F.col("inner")).cast("long")).alias("_leaves"), F.count_if("inner").alias("_inner")).withColumnRenamed("p", "k")
+    up = lambda c: F.col(c) + 1
+    some = F.col("_inner") > 0
+    base = inner.join(first, "k").join(family.where("inner").select("k", "sib", "skip"), "k", "left")
+    down = F.struct(F.col("k").alias("e"), F.when(some, F.col("_kid.k")).otherwise(up("k")).alias("next"), (1 + 2 * F.when(some, F.col("_kid.before")).otherwise(F.col("_leaves"))).cast("long").alias("w"), F.lit(1).cast("long").alias("d"))
+    back = F.struct(up("k").alias("e"), F.coalesce("sib", up("p")).alias("next"), (1 + 2 * F.coalesce("skip", F.lit(0))).cast("long").alias("w"), F.lit(-1).cast("long").alias("d"))
+    return base.select(F.inline(F.array(down, back)))
+
+
+#: One element in so many, by hash, rules the ones before it in the list.
+RULERS = 16
+
+
+def _rules(e: str) -> F.Column:
+    """Is the element a ruler? The last one of each list is."""
+    return (F.col(e).bitwiseAND(F.lit(3)) == 3) | (F.pmod(F.xxhash64(F.col(e)), F.lit(RULERS)) == 0)
+
+
+def _jumped(cur: DataFrame, open_: F.Column) -> DataFrame:
+    """One round: rows that ``open_`` selects take over where their pointer points."""
+    b = cur.select(F.col("e").alias("_e"), F.col("next").alias("_n"), F.col("w").alias("_w"), F.col("d").alias("_d"))
+    moved = cur.where(open_).join(b, F.col("next") == F.col("_e")).select("e", F.col("_n").alias("next"), (F.col("w") + F.col("_w")).alias("w"), (F.col("d") + F.col("_d")).alias("d"))
+    return cut(cur.where(~open_).unionByName(moved))
 
 
 def _ranked(tour: DataFrame) -> DataFrame:
-    """(e, last, hops, d): the last element of each element's list, and hops and sum of d from it to the end.
+    """(e, last, hops, d): the last element of each element's list, and the steps and the sum of d from it to the end.
 
-    Pointer jumping doubles the hops each round. Lists that are through leave the table every third round, so the many
-    short ones don't accompany the longest to its end.
+    Ruling sets: every element jumps to the next ruler, in as many rounds as the logarithm of the longest way between
+    two; the rulers alone, a short list, are ranked by pointer jumping; then each element adds its ruler's rank.
     """
-    cols = ["e", "next", "last", "hops", "d", "head"]
-    cur = cut(tour.select("e", "next", F.coalesce("next", "e").alias("last"), F.lit(1).cast("long").alias("hops"), "d", "head"))
-    done, round_ = [], 0
-    while True:
-        b = cur.select(F.col("e").alias("_e"), F.col("next").alias("_n"), F.col("last").alias("_l"), F.col("hops").alias("_h"), F.col("d").alias("_d"))
-        open_ = cur.where("next IS NOT NULL").join(b, F.col("next") == F.col("_e")).select("e", F.col("_n").alias("next"), F.col("_l").alias("last"), (F.col("hops") + F.col("_h")).alias("hops"), (F.col("d") + F.col("_d")).alias("d"), "head")
-        cur = cut(cur.where("next IS NULL").select(*cols).unionByName(open_))
-        round_ += 1
-        ends = cur.where("head AND next IS NOT NULL").select(F.col("e").bitwiseOR(F.lit(1).cast("long")).alias("last"))
-        if not ends.limit(1).count():
-            break
-        if round_ % 3 == 0:
-            closed = cur.where("next IS NULL")
-            done.append(closed.join(ends, "last", "left_anti").select(*cols))
-            cur = cut(cur.where("next IS NOT NULL").unionByName(closed.join(ends, "last", "left_semi").select(*cols)))
-    for part in done:
-        cur = cur.unionByName(part)
-    return cur.select("e", "last", "hops", "d")
+    cur = cut(tour)
+    end = F.col("next").isNull()
+    open_ = ~end & ~_rules("next")
+    while cur.where(open_).limit(1).count():
+        cur = _jumped(cur, open_)
+    short = cut(cur.where(_rules("e")))
+    far = ~end & (F.col("next").bitwiseAND(F.lit(3)) != 3)
+    while short.where(far).limit(1).count():
+        short = _jumped(short, far)
+    # a ruler that points at the end lacks the end's own step
+    rank = short.select(F.col("e").alias("_r"), F.coalesce("next", "e").alias("last"), (F.col("w") + F.when(end, 0).otherwise(1)).alias("_w"), (F.col("d") - F.when(end, 0).otherwise(1)).alias("_d"))
+    whole = cur.where(~end).join(rank, F.col("next") == F.col("_r")).select("e", "last", (F.col("w") + F.col("_w")).alias("hops"), (F.col("d") + F.col("_d")).alias("d"))
+    return whole.unionByName(cur.where(end).select("e", F.col("e").alias("last"), F.col("w").alias("hops"), "d"))
 
 
 def hierarchy(rows: DataFrame, separator: str = "/") -> DataFrame:
@@ -135,31 +179,39 @@ def hierarchy(rows: DataFrame, separator: str = "/") -> DataFrame:
     """
     rows = cut(rows)
     bad = loops(rows).select("id")
-    tree = cut(rows.select("id").join(bad, "id", "left_anti").join(_known(rows), "id", "left"))
-    keyed = _keyed(tree)
-    ranked = cut(_ranked(_tour(keyed)))
-    odd = F.col("e").bitwiseAND(F.lit(1).cast("long")) == 1
+    keyed = _keyed(rows.select("id").join(bad, "id", "left_anti").join(_known(rows), "id", "left"))
+    family = cut(_family(keyed))
+    ranked = cut(_ranked(_tour(keyed, family)))
+    odd = F.col("e").bitwiseAND(F.lit(1)) == 1
     down = ranked.where(~odd).select(F.col("e").alias("k"), (F.col("last") - 1).alias("r"), F.col("hops").alias("_down"), (-F.col("d")).alias("depth"))
     up = ranked.where(odd).select((F.col("e") - 1).alias("k"), F.col("hops").alias("_up"))
-    nodes = down.join(up, "k")
-    length = ranked.where(~odd & (F.col("last") - 1 == F.col("e"))).select(F.col("e").alias("r"), F.col("hops").alias("_all"))
-    names = keyed.select("id", "k")
-    own = nodes.join(length, "r").join(names, "k").join(names.select(F.col("id").alias("root"), F.col("k").alias("r")), "r")
-    entry, exit_ = F.col("_all") - F.col("_down"), F.col("_all") - F.col("_up")
-    own = own.select("id", "root", "depth", entry.alias("entry"), exit_.alias("exit"), ((exit_ - entry - 1) / 2).cast("long").alias("n_descendants"))
-    return own.join(_paths(tree, separator), "id").select("id", "root", "depth", "path", "ancestors", "entry", "exit", "n_descendants")
-
-
-def _paths(tree: DataFrame, separator: str) -> DataFrame:
-    """Path from the root to each id, joined over 2^k ancestors a round."""
-    cur = tree.select("id", "ptr", F.array("id").alias("path"))
-    left = cur.where("ptr IS NOT NULL").count()
-    while left:
-        b = cur.select(F.col("id").alias("_at"), F.col("ptr").alias("_next"), F.col("path").alias("_path"))
-        open_ = cur.where("ptr IS NOT NULL").join(b, F.col("ptr") == F.col("_at")).select("id", F.col("_next").alias("ptr"), F.concat("_path", "path").alias("path"))
+    length = ranked.where(F.col("last") - 1 == F.col("e")).select(F.col("e").alias("r"), F.col("hops").alias("_len"))
+    inner = cut(down.join(up, "k").join(length, "r").select("k", "r", "depth", (F.col("_len") - F.col("_down")).alias("entry"), (F.col("_len") - F.col("_up")).alias("exit")))
+    # childless nodes count on from the sibling with children before them, or from their parent
+    leaf = family.where("NOT inner").select("k", "p", "before", "prev")
+    at = inner.select(F.col("k").alias("p"), "r", "depth", F.col("entry").alias("_in"))
+    sib = inner.select(F.col("k").alias("_s"), F.col("exit").alias("_out"))
+    placed = leaf.join(at, "p").join(sib, F.col("prev.k") == F.col("_s"), "left")
+    entry = F.coalesce(F.col("_out") + 1 + 2 * (F.col("before") - F.col("prev.before")), F.col("_in") + 1 + 2 * F.col("before"))
+    leaves = placed.select("k", "r", (F.col("depth") + 1).alias("depth"), entry.alias("entry"), (entry + 1).alias("exit"))
+    alone = keyed.where("p IS NULL").join(inner.select("k"), "k", "left_anti").select("k", F.col("k").alias("r"), F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("entry"), F.lit(1).cast("long").alias("exit"))
+    nodes = inner.unionByName(leaves).unionByName(alone)
+    own = nodes.join(_paths(keyed, family), "k")
+    return own.select(
+        "id", F.get("ancestry", F.lit(0)).alias("root"), "depth", F.array_join("ancestry", separator).alias("path"), F.slice("ancestry", 1, F.size("ancestry") - 1).alias("ancestors"), "entry", "exit", ((F.col("exit") - F.col("entry") - 1) / 2).cast("long").alias("n_descendants")
+    )
+
+
+def _paths(keyed: DataFrame, family: DataFrame) -> DataFrame:
+    """(k, id, ancestry): the ids from the root down to each; joined over 2^k ancestors a round, for childless nodes once at the end."""
+    inner = family.select(F.col("p").alias("k")).distinct()
+    cur = cut(keyed.join(inner, "k", "left_semi").select("k", "id", F.col("p").alias("ptr"), F.array("id").alias("ancestry")))
+    while cur.where("ptr IS NOT NULL").limit(1).count():
+        b = cur.select(F.col("k").alias("_at"), F.col("ptr").alias("_next"), F.col("ancestry").alias("_path"))
+        open_ = cur.where("ptr IS NOT NULL").join(b, F.col("ptr") == F.col("_at")).select("k", "id", F.col("_next").alias("ptr"), F.concat("_path", "ancestry").alias("ancestry"))
         cur = cut(cur.where("ptr IS NULL").unionByName(open_))
-        left = cur.where("ptr IS NOT NULL").count()
-    return cur.select("id", F.array_join("path", separator).alias("path"), F.slice("path", 1, F.size("path") - 1).alias("ancestors"))
+    rest = keyed.join(inner, "k", "left_anti").join(cur.select(F.col("k").alias("p"), F.col("ancestry").alias("_up")), "p", "left")
+    return cur.select("k", "id", "ancestry").unionByName(rest.select("k", "id", F.concat(F.coalesce("_up", F.array().cast("array<string>")), F.array("id")).alias("ancestry")))
 
 
 def descendants(tree: DataFrame) -> DataFrame:

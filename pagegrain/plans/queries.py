@@ -63,6 +63,13 @@ def p3_tours(spark, base) -> DataFrame:
     return out
 
 
+def p3_other_parents(spark, base) -> DataFrame:
+    """Links to further parents of nodes and runs that name several, which the trees don't follow."""
+    part = lambda tree, df, node, parent: hierarchy.other_parents(df, node, parent).select(F.lit(tree).alias("tree"), F.col("id").alias("member_id"), F.col("parent").alias("parent_id"))
+    nodes = part("node", read(spark, base, "semantic_nodes", "node_id", "parent_id"), "node_id", "parent_id")
+    return nodes.unionByName(part("run", read(spark, base, "ingest_events", "run_id", "parent_run_id"), "run_id", "parent_run_id"))
+
+
 def p3_descendants(spark, base) -> DataFrame:
     """All pairs of ancestor and descendant."""
     out = None

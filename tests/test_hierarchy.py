@@ -91,3 +91,19 @@ def test_components_match_union_find(make):
     got = {r.id: r.component for r in components(make(edges, "id_a long, id_b long")).collect()}
     assert got == {x: find(x) for x in up}
     assert components(make([], "id_a long, id_b long")).count() == 0
+
+
+def test_further_parents_are_named(make):
+    df = make([("a", "x"), ("a", "y"), ("a", "y"), ("b", ""), ("b", "x"), (None, "x"), ("c", None)], "node_id string, parent_id string")
+    from pagegrain.operators.hierarchy import other_parents
+
+    assert rows(other_parents(df, "node_id", "parent_id")) == [("a", "y")]
+
+
+def test_entries_number_each_tour_without_holes(make):
+    rnd = random.Random(9)
+    parent = {f"m{i:03d}": f"m{rnd.randrange(max(0, i - 40), i):03d}" if i and i % 90 else None for i in range(300)} | {f"l{i}": "m001" for i in range(150)}
+    got = hierarchy(links(make(list(parent.items()), "id string, parent string"), "id", "parent")).collect()
+    for root in {r.root for r in got}:
+        own = [r for r in got if r.root == root]
+        assert sorted(x for r in own for x in (r.entry, r.exit)) == list(range(2 * len(own)))
