@@ -155,9 +155,6 @@ WITH RECURSIVE l AS (SELECT 'node' AS tree, node_id AS id, min(nullif(parent_id,
 g AS (SELECT tree, id, CAST([] AS VARCHAR[]) AS up FROM l WHERE parent IS NULL OR (tree, parent) NOT IN (SELECT (tree, id) FROM l)
   UNION ALL SELECT l.tree, l.id, list_append(g.up, g.id) FROM l JOIN g ON l.tree = g.tree AND l.parent = g.id)
 SELECT tree, unnest(up) AS ancestor, id AS descendant FROM g""",
-        "p3_other_parents": """
-WITH l AS (SELECT DISTINCT 'node' AS tree, node_id AS id, parent_id AS p FROM semantic_nodes WHERE node_id IS NOT NULL AND parent_id <> '' UNION SELECT DISTINCT 'run', run_id, parent_run_id FROM ingest_events WHERE run_id IS NOT NULL AND parent_run_id <> '')
-SELECT tree, id AS member_id, p AS parent_id FROM l WHERE p > (SELECT min(m.p) FROM l m WHERE m.tree = l.tree AND m.id = l.id)""",
         "p6_found": f"""
 WITH {_UNITS},
 u1 AS (SELECT source_cluster_id, text, length(text) AS n FROM u WHERE text <> ''),

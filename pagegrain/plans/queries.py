@@ -63,13 +63,6 @@ def p3_tours(spark, base) -> DataFrame:
     return out
 
 
-def p3_other_parents(spark, base) -> DataFrame:
-    """Links to further parents of nodes and runs that name several, which the trees don't follow."""
-    part = lambda tree, df, node, parent: hierarchy.other_parents(df, node, parent).select(F.lit(tree).alias("tree"), F.col("id").alias("member_id"), F.col("parent").alias("parent_id"))
-    nodes = part("node", read(spark, base, "semantic_nodes", "node_id", "parent_id"), "node_id", "parent_id")
-    return nodes.unionByName(part("run", read(spark, base, "ingest_events", "run_id", "parent_run_id"), "run_id", "parent_run_id"))
-
-
 def p3_descendants(spark, base) -> DataFrame:
     """All pairs of ancestor and descendant."""
     out = None
@@ -164,8 +157,12 @@ def embedding_space_counts(spark, base) -> DataFrame:
 # segmentation
 
 
+def _texts(spark, base) -> DataFrame:
+    return read(spark, base, "documents", "doc_id", "text", "source_format")
+
+
 def _pages(spark, base) -> DataFrame:
-    return segment.pages(read(spark, base, "documents", "doc_id", "text", "source_format"))
+    return segment.pages(_texts(spark, base))
 
 
 def document_pages(spark, base) -> DataFrame:
@@ -175,30 +172,22 @@ def document_pages(spark, base) -> DataFrame:
 
 def line_offsets(spark, base) -> DataFrame:
     """Every line with its offset in the page."""
-    return segment.lines(_pages(spark, base)).select("doc_id", "page_number", "line_no", "start", F.length("line").alias("n_chars"))
-
-
-def _typed(spark, base) -> DataFrame:
-    return segment.typed_lines(segment.lines(_pages(spark, base)))
+    return segment.lines(_texts(spark, base)).select("doc_id", "page_number", "line_no", "start", F.length("line").alias("n_chars"))
 
 
 def block_types(spark, base) -> DataFrame:
     """Type, level and title of every line that isn't blank."""
-    return _typed(spark, base).where("node_type <> 'BLANK'").select("doc_id", "page_number", "line_no", "node_type", "level", "title")
-
-
-def _blocks(spark, base) -> DataFrame:
-    return segment.blocks(_typed(spark, base))
+    return segment.typed_lines(_texts(spark, base)).where("node_type <> 'BLANK'").select("doc_id", "page_number", "line_no", "node_type", "level", "title")
 
 
 def paragraph_groups(spark, base) -> DataFrame:
     """Blocks with their spans."""
-    return _blocks(spark, base).select("doc_id", "page_number", "seq", "node_type", F.col("start").cast("long").alias("start_char"), F.col("end").cast("long").alias("end_char"), "n_lines")
+    return segment.blocks(_texts(spark, base)).select("doc_id", "page_number", "seq", "node_type", F.col("start").cast("long").alias("start_char"), F.col("end").cast("long").alias("end_char"), "n_lines")
 
 
 def heading_parents(spark, base) -> DataFrame:
     """The heading every block stands under."""
-    return segment.nested(_blocks(spark, base)).select("doc_id", "page_number", "seq", "level", "parent_seq")
+    return segment.blocks(_texts(spark, base)).select("doc_id", "page_number", "seq", "level", "parent_seq")
 
 
 def page_index_nodes(spark, base) -> DataFrame:
@@ -207,11 +196,20 @@ def page_index_nodes(spark, base) -> DataFrame:
 
 
 def page_index_summary(spark, base) -> DataFrame:
-    """Per document: pages, nodes, the most children a page has, and node types."""
-    n = segment.page_index(read(spark, base, "documents", "doc_id", "text", "source_format"))
-    kids = n.where("node_type NOT IN ('PAGE', 'DOCUMENT_ROOT')").groupBy("doc_id", "page_number").agg(F.count_if(~F.col("parent_id").contains("_b")).alias("k")).groupBy("doc_id").agg(F.max("k").alias("max_page_children"))
-    g = n.groupBy("doc_id").agg(F.count_if(F.col("node_type") == "PAGE").alias("n_pages"), F.count(F.lit(1)).alias("n_nodes"), F.countDistinct("node_type").alias("n_types"))
-    return g.join(kids, "doc_id", "left").select("doc_id", "n_pages", "n_nodes", "n_types", F.coalesce("max_page_children", F.lit(0)).alias("max_page_children"))
+    """Per document: pages, nodes, node types, and the most children a page has."""
+    b = segment.blocks(_texts(spark, base))
+    up = F.col("parent_seq").isNull()
+    per = b.groupBy("doc_id", "page_number").agg(F.count(F.lit(1)).alias("n"), F.count_if(up).alias("kids"), F.collect_set("node_type").alias("types"))
+    doc = per.groupBy("doc_id").agg(F.sum("n").alias("n"), F.max("kids").alias("kids"), F.size(F.array_distinct(F.flatten(F.collect_set("types")))).alias("types"))
+    p = _pages(spark, base).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"))
+    j = p.join(doc, "doc_id", "left")
+    z = lambda c: F.coalesce(c, F.lit(0))
+    return j.select("doc_id", "n_pages", (F.col("n_pages") + z("n") + 1).alias("n_nodes"), (z("types") + 2).cast("long").alias("n_types"), z("kids").alias("max_page_children"))
+
+
+def strict_spans(spark, base) -> DataFrame:
+    """Blocks of every page grounded one after another from a running cursor."""
+    return segment.strict_spans(_texts(spark, base))
 
 
 def fallback_tree(spark, base) -> DataFrame:
@@ -223,8 +221,7 @@ def fallback_tree(spark, base) -> DataFrame:
 def flagship(spark, base) -> DataFrame:
     """Per source: documents, pages, blocks of each type, and the share of characters that blocks cover."""
     docs = read(spark, base, "documents", "doc_id", "text", "source_format", "source")
-    p = segment.pages(docs)
-    b = segment.blocks(segment.typed_lines(segment.lines(p)))
+    p, b = segment.pages(docs), segment.blocks(docs)
     per = b.groupBy("doc_id").agg(*[F.count_if(F.col("node_type") == t).alias(f"n_{t.lower()}") for t in ("SECTION", "SUBSECTION", "PARAGRAPH", "TERM")], F.sum(F.col("end") - F.col("start") + 1).alias("covered"))
     size = p.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"), F.sum(F.length("page_text")).alias("total"))
     j = docs.select("doc_id", "source").join(size, "doc_id", "left").join(per, "doc_id", "left")
@@ -307,11 +304,9 @@ def delimiter_resolve(spark, base) -> DataFrame:
 
 def leaf_completeness(spark, base) -> DataFrame:
     """Do the page index leaves of a document hold its whole text?"""
-    docs = read(spark, base, "documents", "doc_id", "text", "source_format")
+    docs = _texts(spark, base)
     p = segment.pages(docs)
-    b = segment.blocks(segment.typed_lines(segment.lines(p)))
-    said = b.join(p.select("doc_id", "page_number", "page_text"), ["doc_id", "page_number"]).withColumn("t", F.expr("substring(page_text, cast(start + 1 as int), cast(end - start + 1 as int))"))
-    leaf = said.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "seq", "t"))), lambda x: x["t"]), "").alias("text"))
+    leaf = segment.blocks(docs, texts=True).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "seq", "said"))), lambda x: x["said"]), "").alias("text"))
     whole = p.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "page_text"))), lambda x: x["page_text"]), "").alias("text"))
     return grounding.completeness(leaf, whole, "doc_id").select("doc_id", "complete")
 
