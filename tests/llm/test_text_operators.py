@@ -93,6 +93,27 @@ def test_opening_after_many_headings(make):
 def test_goes_on():
     a = "one two three four five six seven eight nine ten eleven twelve"
     assert truncation.goes_on(a[:-7], a) and not truncation.goes_on(a, a[:-7]) and not truncation.goes_on(a, a) and not truncation.goes_on("x", a)
+    assert truncation.goes_on("one two three four five six", a) and not truncation.goes_on("zz yy xx ww vv one two three four five six", a)
+
+
+def test_copies_cut_to_any_share_are_found(make):
+    rnd = random.Random(21)
+    noun = lambda: rnd.choice(NOUN) + str(rnd.randrange(40))
+    data, want = [], set()
+    for i, share in enumerate((30, 50, 70, 80, 85, 95)):
+        words = [noun() for _ in range(100)]
+        whole = " ".join(words) + "."
+        some = list(words[: share])
+        some[7] = "edited"
+        data += [(1000 + i, whole), (2000 + i, " ".join(some))]
+        want.add(2000 + i)
+    hot = [noun() for _ in range(60)]
+    data += [(3000 + i, " ".join(hot) + f" end{i % 7} of it all.") for i in range(300)] + [(4000 + i, " ".join(hot[:45])) for i in range(300)]
+    df = make([(u, u, f"d{u}", 1, 0, t, "m") for u, t in data], CL)
+    got = {r.cluster_uid: r.evidence for r in truncation.truncated(df).collect()}
+    assert {u for u, e in got.items() if e == "copy"} == want | {4000 + i for i in range(300)}
+    cands = truncation._scan(df).where("kind = 'cut'")
+    assert truncation._copies(df, cands).count() < 40  # equal texts are one, and a group's longest stand for it
 
 
 RAW = "response_id long, document_id string, pdf_page_num int, response_json string"
