@@ -1,16 +1,18 @@
-"""All pairs of sets whose Jaccard similarity reaches a threshold, by parity sketches.
+"""Sets whose Jaccard similarity reaches a threshold, by parity sketches.
 
-A set's tokens are XOR-hashed into the bits of a sketch. The very wide sketch (2**64 bits) is kept as the list of its set
-bits, the narrow one is the same sketch folded to 128 bits; folding only ever lets differences cancel, so the narrow
+Equal sets are one class from the start, so a third of all rows being copies of one text is one class with many members. A
+set's tokens are XOR-hashed into the bits of a narrow sketch of 128 bits; differences can only cancel there, so the
 sketches' Hamming distance never exceeds the size of the sets' symmetric difference, which a similarity of t bounds
-by (1-t)/(1+t) * (|A|+|B|). Pigeonhole: a set of n tokens lacks at most n - ceil(t n) of a similar set's that is no larger,
-and at most n - ceil(2t/(1+t) n) of one that is no smaller; so of one more than that many bits, the rarest in one order
-for all records, at least one is shared. These are joined, each pair is tested on its sizes and narrow sketches inside
-the join, and what is left is verified on the whole sets. No pair is lost and no bucket is capped: bits that many records
-share come last in the order and are hardly ever joined on. The order comes from a count sketch of fixed size.
-
-Null and empty texts have no tokens and pair with nothing; repeated rows of one id count once; ids of equal sets are
-paired like any others. Ties in the order are broken by hash.
+by (1-t)/(1+t) * (|A|+|B|). The pigeonhole join is a prefix filter: a set of n tokens lacks at most n - ceil(t n) of a
+similar set's that is no larger, and at most n - ceil(2t/(1+t) n) of one that is no smaller; so of one more than that many
+tokens, the rarest in one order for all records, at least one is shared. These are joined, each pair is tested on its
+sizes and sketches inside the join, and what is left is verified on the whole sets. No pair is lost and no bucket is
+capped: tokens that many sets share come last in the order and are hardly ever joined on; where one is hot all the same,
+its sets are split and the parts meet in all combinations, a task each. The order comes from a count sketch of fixed size.
+
+Texts are tokenised three times (counts and classes, rare tokens, verification) and not stored in between: the
+sets are larger than the compressed texts. Null and empty texts have no tokens and pair with nothing; repeated rows of one
+id count once. Ties in the order are broken by hash.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from ..session import cut
 _U = np.uint64
 BUCKETS = 1 << 20  # of the count sketch, which is all that is sent to every task: 4 bytes each
 PARTS = 16
+#: Sets that share one token in a task; of a token with more, the sets are split into parts of about so many.
+HOT = 2000
 
 
 def word_sets(df: DataFrame, key: str, text: str, k: int, min_words: int) -> DataFrame:
@@ -77,40 +81,66 @@ def _bucket(toks: np.ndarray) -> np.ndarray:
     return (mix64(toks) >> _U(44)).astype(np.int64)
 
 
-def _counts(sets: DataFrame) -> np.ndarray:
-    """How many tokens fall into each bucket, over all records: BUCKETS numbers, whatever the number of records."""
+def _classes(n: np.ndarray, toks: np.ndarray) -> np.ndarray:
+    """Two 64-bit numbers for each set, whatever the order of its tokens; sets may not be empty."""
+    at = np.cumsum(n) - n
+    return np.stack([mix64(np.add.reduceat(mix64(toks ^ _U(k)), at) + _U(k)) for k in (0x5BD1E9955BD1E995, 0xC2B2AE3D27D4EB4F)], 1)
+
+
+def _keys(classes: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(16), len(classes), [None, pa.py_buffer(np.ascontiguousarray(classes).tobytes())]).cast(pa.binary())
+
+
+def _some(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``_arrays`` without empty sets."""
+    ids, n, toks = _arrays(batch)
+    return ids[n > 0], n[n > 0], toks
+
+
+def _surveyed(sets: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """(id, c) of all records, c being the class of equal sets; and how many tokens fall into each bucket, over all records."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(BUCKETS, np.int64)
+        names = ["id", "c", "part"]
         for batch in batches:
-            total += np.bincount(_bucket(_arrays(batch)[2]), minlength=BUCKETS)
+            ids, n, toks = _some(batch)
+            total += np.bincount(_bucket(toks), minlength=BUCKETS)
+            if len(n):
+                yield pa.RecordBatch.from_arrays([pa.array(ids), _keys(_classes(n, toks)), pa.nulls(len(n), pa.int32())], names)
         parts = [zlib.compress(p.tobytes(), 1) for p in np.split(total, PARTS)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(parts, pa.binary())], ["part", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(PARTS, pa.int64()), pa.array(parts, pa.binary()), pa.array(range(PARTS), pa.int32())], names)
 
     def add(key, pdf):
-        total = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in pdf["counts"])
-        return pd.DataFrame({"part": [key[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+        total = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in pdf["c"])
+        return pd.DataFrame({"part": [key[0]], "c": [zlib.compress(total.tobytes(), 1)]})
 
-    got = sets.mapInArrow(run, "part int, counts binary").groupBy("part").applyInPandas(add, "part int, counts binary").collect()
-    by = {r["part"]: np.frombuffer(zlib.decompress(bytes(r["counts"])), np.int64) for r in got}
-    return np.concatenate([by.get(i, np.zeros(BUCKETS // PARTS, np.int64)) for i in range(PARTS)])
+    seen = cut(sets.mapInArrow(run, "id long, c binary, part int"))
+    got = seen.where("part IS NOT NULL").groupBy("part").applyInPandas(add, "part int, c binary").collect()  # PARTS rows
+    by = {r["part"]: np.frombuffer(zlib.decompress(bytes(r["c"])), np.int64) for r in got}
+    return seen.where("part IS NULL").select("id", "c").distinct(), np.concatenate([by.get(i, np.zeros(BUCKETS // PARTS, np.int64)) for i in range(PARTS)])
 
 
 def _bits(sets: DataFrame, t: float, counts: np.ndarray) -> DataFrame:
-    """(bit, id, n, f0, f1, inner): the rarest bits of each record, its size and narrow sketch.
+    """(bit, c, n, f0, f1, inner): the rarest tokens of each class, its size and sketch.
 
-    inner marks the bits by which a record is found by those no smaller than itself.
+    inner marks the tokens by which a set is found by those no smaller than itself.
     """
     sent = sets.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, n, toks = _arrays(batch)
+            _, n, toks = _some(batch)
             if not len(toks):
                 continue
+            cls = _classes(n, toks)
+            first = np.unique(cls.view("u8,u8").ravel(), return_index=True)[1]  # equal sets of a batch go out once
+            if len(first) < len(n):
+                lo = (np.cumsum(n) - n)[first]
+                n, cls = n[first], cls[first]
+                toks = toks[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
             rec = np.repeat(np.arange(len(n)), n)
             h = mix64(toks ^ _U(0xA5A5A5A5A5A5A5A5))
-            fold = np.zeros((len(n), 128), np.bool_)
             odd = np.bincount(rec * 128 + (h & _U(127)).astype(np.int64), minlength=len(n) * 128) & 1
             fold = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(n), 2)
             outer = n - np.ceil(t * n - 1e-9).astype(np.int64) + 1
@@ -120,48 +150,97 @@ def _bits(sets: DataFrame, t: float, counts: np.ndarray) -> DataFrame:
             keep = order[rank < outer[rec[order]]]
             rank = rank[rank < outer[rec[order]]]
             own = rec[keep]
-            cols = [signed(toks[keep]), ids[own], n[own].astype(np.int32), fold[own, 0], fold[own, 1], rank < inner[own]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["bit", "id", "n", "f0", "f1", "inner"])
+            cols = [pa.array(signed(toks[keep])), _keys(cls[own]), *(pa.array(x) for x in (n[own].astype(np.int32), fold[own, 0], fold[own, 1], rank < inner[own]))]
+            yield pa.RecordBatch.from_arrays(cols, ["bit", "c", "n", "f0", "f1", "inner"])
 
-    return sets.mapInArrow(run, "bit long, id long, n int, f0 long, f1 long, inner boolean")
+    return sets.mapInArrow(run, "bit long, c binary, n int, f0 long, f1 long, inner boolean").distinct()
 
 
 def _only(sets: DataFrame, need: DataFrame) -> DataFrame:
-    """The sets whose id may be among the needed ones, before they are shuffled."""
-    sent = sets.sparkSession.sparkContext.broadcast(bitfilter.build(need, "id"))
+    """(c, toks): one set of each needed class; what can't be needed is dropped before anything is shuffled."""
+    sent = sets.sparkSession.sparkContext.broadcast(bitfilter.build(need.select(F.xxhash64("c").alias("k")), "k"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("id")).to_numpy().view(_U)
-            yield batch.filter(pa.array(bitfilter.probe(sent.value, ids)))
+            _, n, toks = _some(batch)
+            if len(n):
+                own = batch.filter(pa.array(_arrays(batch)[1] > 0))
+                yield pa.RecordBatch.from_arrays([_keys(_classes(n, toks)), own.column(own.schema.get_field_index("toks"))], ["c", "toks"])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(bitfilter.probe(sent.value, batch.column(2).to_numpy().view(_U))))
 
-    return sets.select("id", "toks").mapInArrow(run, "id long, toks array<long>")
+    held = sets.select("id", "toks").mapInArrow(run, "c binary, toks array<long>").select("c", "toks", F.xxhash64("c").alias("k")).mapInArrow(keep, "c binary, toks array<long>, k long")
+    return held.join(need.select("c"), "c", "left_semi").dropDuplicates(["c"]).select("c", "toks")
 
 
-def similar_pairs(sets: DataFrame, t: float) -> DataFrame:
-    """(id_a, id_b, similarity), id_a < id_b, of all pairs of (id, toks) whose Jaccard similarity is at least ``t``."""
-    sets = sets.where(F.size("toks") > 0)
-    bits = _bits(sets, t, _counts(sets))
-    l = bits.select("bit", *[F.col(c).alias(f"l_{c}") for c in ("id", "n", "f0", "f1")])
-    r = bits.where("inner").select("bit", *[F.col(c).alias(f"r_{c}") for c in ("id", "n", "f0", "f1")])
-    first = (F.col("r_n") < F.col("l_n")) | ((F.col("r_n") == F.col("l_n")) & (F.col("r_id") < F.col("l_id")))
+def _met(bits: DataFrame, t: float) -> DataFrame:
+    """Pairs of classes that share a bit and pass the tests of size and sketch.
+
+    Bits with a column s are hot: their sets fall into s parts, and each pair of parts meets in a task of its own.
+    """
+    cols = ["c", "n", "f0", "f1", "inner"]
+    side = lambda d, p: d.select("bit", "i", "j", *[F.col(x).alias(f"{p}_{x}") for x in cols])
+    left, right = bits, bits
+    if "s" in bits.columns:
+        own, each = F.pmod(F.xxhash64("c"), F.col("s")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("s") - 1))
+        left, right = bits.withColumns({"i": own, "j": each}), bits.withColumns({"j": own, "i": each})
+    first = (F.col("r_n") < F.col("l_n")) | ((F.col("r_n") == F.col("l_n")) & (F.col("r_c") < F.col("l_c")))
     near = F.col("r_n") >= F.col("l_n") * F.lit(t) - 1e-9
     apart = F.bit_count(F.col("l_f0").bitwiseXOR(F.col("r_f0"))) + F.bit_count(F.col("l_f1").bitwiseXOR(F.col("r_f1")))
     alike = apart <= (F.col("l_n") + F.col("r_n")) * F.lit((1 - t) / (1 + t)) + 1e-9
-    found = cut(l.join(r, "bit").where(first & near & alike & (F.col("l_id") != F.col("r_id"))).select(F.least("l_id", "r_id").alias("id_a"), F.greatest("l_id", "r_id").alias("id_b")).distinct())
-    need = found.select(F.col("id_a").alias("id")).union(found.select("id_b")).distinct()
-    held = cut(_only(sets, need).join(need, "id", "left_semi"))
-    a, b = (held.select(F.col("id").alias(f"id_{s}"), F.col("toks").alias(f"t_{s}")) for s in "ab")
-    both = found.join(a, "id_a").join(b, "id_b").withColumn("_i", F.size(F.array_intersect("t_a", "t_b")))
+    return side(left, "l").join(side(right, "r").where("r_inner"), ["bit", "i", "j"]).where(first & near & alike & (F.col("l_c") != F.col("r_c"))).select("l_c", "r_c")
+
+
+def class_pairs(sets: DataFrame, t: float) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): (id, c) of all records with tokens, and (c_a, c_b, similarity), c_a < c_b, of all similar classes of (id, toks)."""
+    members, counts = _surveyed(sets)
+    bits = cut(_bits(sets, t, counts))
+    hot = cut(bits.groupBy("bit").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > HOT).select("bit", F.ceil(F.col("k") / HOT).cast("int").alias("s")))
+    met = _met(bits.withColumns({"i": F.lit(0), "j": F.lit(0)}), t)
+    if hot.limit(1).count():
+        met = _met(bits.join(hot, "bit", "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0)}), t).unionByName(_met(bits.join(hot, "bit"), t))
+    found = cut(met.select(F.least("l_c", "r_c").alias("c_a"), F.greatest("l_c", "r_c").alias("c_b")).distinct())
+    need = cut(found.select(F.col("c_a").alias("c")).union(found.select("c_b")).distinct())
+    held = cut(_only(sets, need))
+    a, b = (held.select(F.col("c").alias(f"c_{s}"), F.col("toks").alias(f"t_{s}")) for s in "ab")
+    both = found.join(a, "c_a").join(b, "c_b").withColumn("_i", F.size(F.array_intersect("t_a", "t_b")))
     sim = F.col("_i") / (F.size("t_a") + F.size("t_b") - F.col("_i"))
-    return both.select("id_a", "id_b", sim.alias("similarity")).where(F.col("similarity") >= t).distinct()
+    return members, both.select("c_a", "c_b", sim.alias("similarity")).where(F.col("similarity") >= t)
 
 
-def similarity_groups(sets: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(id, group_id, n_links): one row per id; an id without a similar one is its own group with no links."""
-    deg = pairs.select(F.col("id_a").alias("id")).union(pairs.select("id_b")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    comp = components(pairs)
-    return sets.select("id").distinct().join(comp, "id", "left").join(deg, "id", "left").select("id", F.coalesce("component", "id").alias("group_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+def similar_pairs(sets: DataFrame, t: float) -> DataFrame:
+    """(id_a, id_b, similarity), id_a < id_b: the pairs of records of ``class_pairs``, those of equal sets included.
+
+    A class of k records alone gives k(k-1)/2 rows: where that is too much, take ``class_pairs`` or ``similarity_groups``.
+    """
+    members, pairs = class_pairs(sets, t)
+    own = lambda s: members.select(F.col("id").alias(f"i_{s}"), F.col("c").alias(f"c_{s}"))
+    across = pairs.join(own("a"), "c_a").join(own("b"), "c_b").select("i_a", "i_b", "similarity")
+    many = members.groupBy("c").count().where("count > 1").select("c")
+    twins = members.join(many, "c", "left_semi")
+    within = twins.select("c", F.col("id").alias("i_a")).join(twins.select("c", F.col("id").alias("i_b")), "c").where("i_a < i_b").select("i_a", "i_b", F.lit(1.0).alias("similarity"))
+    both = across.unionByName(within).where("i_a <> i_b")
+    return both.groupBy(F.least("i_a", "i_b").alias("id_a"), F.greatest("i_a", "i_b").alias("id_b")).agg(F.max("similarity").alias("similarity"))
+
+
+def similarity_groups(sets: DataFrame, t: float) -> DataFrame:
+    """(id, group_id, n_links): one row per id with the smallest id its links reach; without a similar record an id is its own group.
+
+    Links are counted over classes: a record has its class's other members and all members of the similar classes. Ids
+    without tokens have none. An id that comes with several sets counts once, with the smallest group and most links.
+    """
+    members, pairs = class_pairs(sets, t)
+    members, pairs = cut(members), cut(pairs)
+    size = members.groupBy("c").agg(F.count(F.lit(1)).alias("size"))
+    ends = pairs.select("c_a", "c_b").union(pairs.select("c_b", "c_a")).toDF("c", "other")
+    across = ends.join(size.withColumnRenamed("c", "other"), "other").groupBy("c").agg(F.sum("size").alias("across"))
+    comp = components(pairs, "c_a", "c_b").withColumnRenamed("id", "c")
+    own = members.join(size, "c").join(across, "c", "left").join(comp, "c", "left").withColumn("g", F.coalesce("component", "c"))
+    low = own.groupBy("g").agg(F.min("id").alias("group_id"))
+    rows = own.join(low, "g").groupBy("id").agg(F.min("group_id").alias("group_id"), F.max(F.col("size") - 1 + F.coalesce("across", F.lit(0))).alias("n_links"))
+    return sets.select("id").distinct().join(rows, "id", "left").select("id", F.coalesce("group_id", "id").alias("group_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 KINDS = {"cluster": 0.7, "pages": 0.6, "path": 0.7}

@@ -35,5 +35,10 @@ def sql() -> dict[str, str]:
         "p4_found": f"WITH {_REPEATS} SELECT DISTINCT cluster_uid FROM t JOIN c USING (cluster_uid) WHERE len(w) >= 12 AND n >= 0.3 * len(w)",
         "p4_shares": f"WITH {_REPEATS} SELECT cluster_uid, len(w) AS n_words, coalesce(n, 0) AS n_repeated, round(coalesce(n, 0) / len(w), 9) AS repeated_share FROM t LEFT JOIN c USING (cluster_uid) WHERE len(w) > 0",
         "p7_found": f"WITH {_SETS} SELECT * FROM f",
+        "p7_groups": f"""
+WITH RECURSIVE {_SETS}, e AS (SELECT record_kind AS kind, id_a AS a, id_b AS b FROM f UNION ALL SELECT record_kind, id_b, id_a FROM f), i AS (SELECT DISTINCT kind, id FROM z),
+g AS (SELECT kind, id, id AS low FROM i UNION SELECT e.kind, e.b, g.low FROM g JOIN e ON e.kind = g.kind AND e.a = g.id WHERE g.low < e.b),
+d AS (SELECT kind, a AS id, count(*) AS n FROM e GROUP BY 1, 2)
+SELECT g.kind AS record_kind, g.id, min(low) AS group_id, coalesce(any_value(d.n), 0) AS n_links FROM g LEFT JOIN d ON d.kind = g.kind AND d.id = g.id GROUP BY 1, 2""",
         "p8_found": f"WITH {_LEAKS} SELECT doc_id, item_id FROM f",
     }

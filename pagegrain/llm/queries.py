@@ -63,8 +63,7 @@ def p7_groups(spark, base):
     out = None
     for kind, t in near_duplicates.KINDS.items():
         sets = near_duplicates.record_sets(kind, *_records(spark, base))
-        pairs = near_duplicates.cut(near_duplicates.similar_pairs(sets, t))
-        part = near_duplicates.similarity_groups(sets, pairs).select(F.lit(kind).alias("record_kind"), "id", "group_id", "n_links")
+        part = near_duplicates.similarity_groups(sets, t).select(F.lit(kind).alias("record_kind"), "id", "group_id", "n_links")
         out = part if out is None else out.unionByName(part)
     return out
 

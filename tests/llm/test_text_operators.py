@@ -194,8 +194,9 @@ def brute_pairs(sets, t):
     return {(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= t}
 
 
-@pytest.mark.parametrize("t", [0.6, 0.7, 0.8])
-def test_similar_pairs_lose_nothing(make, t):
+@pytest.mark.parametrize(("t", "hot"), [(0.6, 2000), (0.7, 3), (0.8, 2000)])
+def test_similar_pairs_lose_nothing(make, monkeypatch, t, hot):
+    monkeypatch.setattr(near_duplicates, "HOT", hot)
     rnd = random.Random(int(t * 100))
     sets = {}
     for i in range(260):
@@ -216,7 +217,7 @@ def test_near_duplicate_records_and_groups(make):
     h = make([(1, "p"), (1, "q"), (2, "q"), (2, "p"), (2, None), (9, "p"), (9, "q")], "node_id long, page_hash string")
     assert rows(near_duplicates.near_duplicate_records(c, n, h)) == [("cluster", 1, 2), ("cluster", 1, 3), ("cluster", 2, 3), ("pages", 1, 2), ("path", 1, 2)]
     s = near_duplicates.record_sets("cluster", c, n, h)
-    g = near_duplicates.similarity_groups(s, near_duplicates.similar_pairs(s, 0.7))
+    g = near_duplicates.similarity_groups(s, 0.7)
     assert rows(g) == [(1, 1, 2), (2, 1, 2), (3, 1, 2)]
     assert near_duplicates.near_duplicate_records(c.limit(0), n.limit(0), h.limit(0)).count() == 0
 
@@ -313,3 +314,6 @@ def test_hot_group_of_copies(make):
     p = near_duplicates.similar_pairs(near_duplicates.word_sets(df, "cluster_uid", "text", 3, 24), 0.7)
     assert p.count() == 40 * 39 // 2
     assert p.agg(F.min("similarity")).first()[0] == 1.0
+    assert near_duplicates.class_pairs(near_duplicates.word_sets(df, "cluster_uid", "text", 3, 24), 0.7)[1].count() == 0
+    g = near_duplicates.similarity_groups(near_duplicates.word_sets(df, "cluster_uid", "text", 3, 24), 0.7)
+    assert rows(g.groupBy("n_links").count()) == [(0, 80), (39, 40)]
