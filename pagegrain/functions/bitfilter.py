@@ -1,8 +1,8 @@
 """A bit filter over 64-bit keys, to drop rows early that can't join.
 
-Its size follows from a count of the keys, 16 bits or more for each, between 128 kB and 64 MB: at 10**8 keys it still
-drops four in five of the rows that match none. Beyond that it drops less but loses nothing: what passes must still be
-joined with the keys themselves.
+Its size follows from a count of the keys, 16 bits or more for each, between 128 kB and 64 MB; a key sets three of them. Of
+the rows that match none it lets 0.5 % pass, at 10**8 keys 8 %. Beyond that it drops less but loses nothing: what passes
+must still be joined with the keys themselves.
 """
 
 from __future__ import annotations
@@ -22,8 +22,10 @@ PARTS = 8
 _U = np.uint64
 
 
-def _slots(keys: np.ndarray, size: int) -> np.ndarray:
-    return (mix64(keys) & _U(size - 1)).astype(np.int64)
+def _slots(keys: np.ndarray, size: int) -> Iterator[np.ndarray]:
+    h, mask = mix64(keys), _U(size - 1)
+    for x in (h, h >> _U(64 - MOST), (h * _U(0x9E3779B97F4A7C15)) >> _U(64 - MOST)):
+        yield (x & mask).astype(np.int64)
 
 
 def bits_for(n: int) -> int:
@@ -38,7 +40,8 @@ def build(df: DataFrame, column: str) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(size, np.bool_)
         for b in batches:
-            bits[_slots(b.column(0).to_numpy().view(_U), size)] = True
+            for at in _slots(b.column(0).to_numpy().view(_U), size):
+                bits[at] = True
         out = [zlib.compress(np.packbits(p).tobytes(), 1) for p in np.split(bits, PARTS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(out, pa.binary())], ["part", "bits"])
 
@@ -55,5 +58,7 @@ def build(df: DataFrame, column: str) -> np.ndarray:
 
 def probe(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which of the keys (any shape) may be in the filter."""
-    s = _slots(keys, 8 * len(bits))
-    return ((bits[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1).astype(np.bool_)
+    out = np.ones(keys.shape, np.bool_)
+    for s in _slots(keys, 8 * len(bits)):
+        out &= ((bits[s >> 3] >> (7 - (s & 7)).astype(np.uint8)) & 1).astype(np.bool_)
+    return out
