@@ -21,12 +21,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.textvec import chunks
+from ..operators.numbering import numbered
 from ..session import cut
 from .repetition import _encoder, default_vocabulary
 
 
 #: Most tokens of a shard, which one task shuffles; there are 64 shards at least.
 SHARD_TOKENS = 10**9
+#: Blocks whose sizes one window adds up.
+RUN = 4096
 
 
 def token_sizes(df: DataFrame, vocabulary: str | None = None) -> DataFrame:
@@ -37,7 +40,7 @@ def token_sizes(df: DataFrame, vocabulary: str | None = None) -> DataFrame:
         enc = _encoder(path)
         for batch in batches:
             for part in chunks(batch, "text"):
-                n = [len(enc.encode_ordinary(t)) if t else 0 for t in part.column("text").to_pylist()]
+                n = [len(x) for x in enc.encode_ordinary_batch([t or "" for t in part.column("text").to_pylist()], num_threads=1)]
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("source"), pa.array(n, pa.int64())], ["doc_id", "source", "n_tokens"])
 
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").mapInArrow(run, "doc_id long, source string, n_tokens long")
@@ -58,6 +61,30 @@ def quotas(have: dict[str, int], targets: dict[str, tuple[float, int]], total: i
     return {s: min(int(size * t / whole), r * have[s]) for s, (t, r) in live.items()}
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
+    """How many of ``draws`` from good + bad are good; exact for any size, while the library's own draw ends at 10**9.
+
+    A larger draw is made in bulk: each of the population is taken with the same chance, which leaves a uniform random
+    set of a size near ``draws``; the few too many or too few are put back or drawn in the same manner.
+    """
+    total = good + bad
+    if total < 10**9:
+        return int(rng.hypergeometric(good, bad, draws)) if draws else 0
+    if 2 * draws > total:
+        return good - hypergeometric(rng, good, bad, total - draws)
+    taken = 0
+    while draws > 1000:
+        p = draws / (good + bad)
+        x, y = int(rng.binomial(good, p)), int(rng.binomial(bad, p))
+        if x + y > draws:
+            return taken + x - hypergeometric(rng, x, y, x + y - draws)
+        taken, good, bad, draws = taken + x, good - x, bad - y, draws - x - y
+    for _ in range(draws):
+        hit = int(rng.integers(good + bad)) < good
+        taken, good, bad = taken + hit, good - hit, bad - (not hit)
+    return taken
+
+
 def split_blocks(counts: np.ndarray, shards: int, seed: int) -> np.ndarray:
     """shards x sources: how many blocks of each source each shard gets. Columns add up to ``counts``."""
     out = np.zeros((shards, len(counts)), np.int64)
@@ -70,8 +97,11 @@ def split_blocks(counts: np.ndarray, shards: int, seed: int) -> np.ndarray:
         total = int(left.sum())
         take = (total * (mid - lo) + (hi - lo) // 2) // (hi - lo)
         rng = np.random.default_rng([seed, lo, hi])
-        # the "marginals" draw needs no memory in proportion to the counts
-        some = rng.multivariate_hypergeometric(left, take, method="marginals") if total and total < 10**9 else np.floor(left * (take / max(total, 1))).astype(np.int64)
+        some, rest, need = np.zeros_like(left), total, take
+        for i, n in enumerate(left.tolist()):  # source by source, each against all that follow
+            rest -= n
+            some[i] = hypergeometric(rng, n, rest, need)
+            need -= int(some[i])
         split(lo, mid, some)
         split(mid, hi, left - some)
 
@@ -94,8 +124,7 @@ def mix(sizes: DataFrame, targets: DataFrame, shards: int | None = None, block_t
     if not want:
         return spark.createDataFrame([], "shard int, pos long, doc_id long, source string, copy int, n_tokens long")
     shards = shards or max(64, -(-sum(want.values()) // SHARD_TOKENS))
-    block = max(block_tokens, sum(want.values()) // 200_000)
-    plan = [(s, have[s], q, q // have[s], q - q // have[s] * have[s], max(1, math.ceil(have[s] / block))) for s, q in want.items()]
+    plan = [(s, have[s], q, q // have[s], q - q // have[s] * have[s], max(1, math.ceil(have[s] / block_tokens))) for s, q in want.items()]
     p = F.broadcast(spark.createDataFrame(plan, "source string, have long, quota long, passes int, rest long, n_blocks long"))  # a row per source with a target
     each = sizes.join(p, "source").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("passes") - F.when(F.col("rest") > 0, 0).otherwise(1))))
     each = each.withColumn("u", _unit(seed, 1)).withColumn("block", F.floor(F.col("u") * F.col("n_blocks")))
@@ -103,7 +132,12 @@ def mix(sizes: DataFrame, targets: DataFrame, shards: int | None = None, block_t
     part = each.where("copy = passes")
     # the partial pass: sizes of blocks, their running sum, and a running sum by document in the one block it ends in
     sums = part.groupBy("source", "block").agg(F.sum("n_tokens").alias("size"))
-    run = sums.withColumn("before", F.coalesce(F.sum("size").over(Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # in two levels: blocks within a run of blocks, and the runs of a source
+    run = sums.withColumn("_g", F.floor(F.col("block") / RUN))
+    ahead = (Window.unboundedPreceding, -1)
+    far = run.groupBy("source", "_g").agg(F.sum("size").alias("_s")).withColumn("_far", F.coalesce(F.sum("_s").over(Window.partitionBy("source").orderBy("_g").rowsBetween(*ahead)), F.lit(0))).drop("_s")
+    near = F.coalesce(F.sum("size").over(Window.partitionBy("source", "_g").orderBy("block").rowsBetween(*ahead)), F.lit(0))
+    run = run.withColumn("_near", near).join(far, ["source", "_g"]).select("source", "block", "size", (F.col("_near") + F.col("_far")).alias("before"))
     part = part.join(run, ["source", "block"]).where("before < rest")
     inside = F.sum("n_tokens").over(Window.partitionBy("source", "block").orderBy("u", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
     last = part.where("before + size > rest").withColumn("upto", inside).where(F.col("before") + F.col("upto") - F.col("n_tokens") / 2 <= F.col("rest"))
@@ -115,15 +149,17 @@ def mix(sizes: DataFrame, targets: DataFrame, shards: int | None = None, block_t
     names = sorted(counts)
     share = split_blocks(np.array([counts[s] for s in names]), shards, seed)
     ends = {s: np.cumsum(share[:, i]) for i, s in enumerate(names)}  # shards x sources numbers, whatever the documents
-    nth = F.row_number().over(Window.partitionBy("source").orderBy(F.xxhash64(F.lit(seed), "source", "copy", "block"), "copy", "block")) - 1
+    offset = dict(zip(names, np.concatenate([[0], np.cumsum([counts[s] for s in names])]).tolist()))
+    order = blocks.withColumn("_h", F.xxhash64(F.lit(seed), "source", "copy", "block"))
+    ranked = numbered(order, ["source", "_h", "copy", "block"], "nth")  # a source's blocks follow each other, from its offset on
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own, n = b.column(0).to_pylist(), b.column(3).to_pylist()
-            at = [int(np.searchsorted(ends[s], k, side="right")) for s, k in zip(own, n)]
+            at = [int(np.searchsorted(ends[s], k - offset[s], side="right")) for s, k in zip(own, n)]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(at, pa.int32())], ["source", "copy", "block", "shard"])
 
-    placed = blocks.select("source", F.col("copy").cast("int").alias("copy"), F.col("block").cast("long").alias("block"), nth.cast("long").alias("nth")).mapInArrow(place, "source string, copy int, block long, shard int")
+    placed = ranked.select("source", F.col("copy").cast("int").alias("copy"), F.col("block").cast("long").alias("block"), F.col("nth")).mapInArrow(place, "source string, copy int, block long, shard int")
     rows = drawn.join(placed, ["source", "copy", "block"])
     order = Window.partitionBy("shard").orderBy(F.xxhash64(F.lit(seed), F.lit(2), "doc_id", "copy"), "doc_id", "copy")
     return rows.select("shard", (F.row_number().over(order) - 1).cast("long").alias("pos"), "doc_id", "source", "copy", "n_tokens")

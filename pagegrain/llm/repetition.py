@@ -1,9 +1,12 @@
 """Share of a text's words that only repeat what the text has already said.
 
 A word is repeated when it lies in ``n`` consecutive words that already occurred, as ``n`` consecutive
-words, at an earlier position of the same text. Vocabulary fertility (characters per token, byte fallback,
-token entropy) tells broken or spammy text from ordinary text of its language, but says nothing about
-which words repeat, so the share comes from the n-grams themselves and fertility is a measure of its own.
+words, at an earlier position of the same text. Texts with a share of at least ``share`` are sought through tokeniser
+fertility: of T tokens with W words in a text, at least share * W were there before, and T tokens of which R were there
+before have an entropy of at most log2 T - 2 R / T, since c log2 c >= 2 (c - 1) for any count c. So the band
+``entropy <= log2 T - 2 share W / T`` rejects no such text, in whatever language or script; which words repeat in what
+is left only the n-grams themselves can say. Fertility alone (characters per token, byte fallback, token entropy, with
+bands per script) tells broken or spammy text from ordinary text of its script and is a measure of its own.
 
 Null and empty texts have no words and share 0; repeated rows keep their own result; extra columns pass through.
 """
@@ -14,6 +17,7 @@ import base64
 import math
 from collections.abc import Iterator
 from functools import cache, lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.textvec import Words, chunks, mix64
+from ..functions.textvec import Words, _tables, chunks, mix64
 
 _U = np.uint64
 
@@ -67,6 +71,64 @@ def repetition(df: DataFrame, text: str = "text", n: int = 4) -> DataFrame:
     return df.select(*keep).mapInArrow(run, schema)
 
 
+def word_tokens(w: Words, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(text, token) of the words of all texts, in lower case and with one blank before each; every distinct word is tokenised once."""
+    _, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
+    low = _tables()[1]
+    at = w.base[w.doc[first]]
+    size = w.end[first] - w.start[first]
+    off = np.cumsum(size + 1) - size - 1
+    cp = np.full(int((size + 1).sum()), 32, np.uint32)
+    into = np.repeat(off + 1 - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    cp[into] = low[w.cp[np.repeat(at + w.start[first] - (np.cumsum(size) - size), size) + np.arange(size.sum())]]
+    joined = cp.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+    words = [joined[a : a + n + 1] for a, n in zip(off.tolist(), size.tolist())]
+    toks = _encoder(path).encode_ordinary_batch(words, num_threads=1)
+    n = np.fromiter(map(len, toks), np.int64, len(toks))
+    flat = np.fromiter(chain.from_iterable(toks), np.int64, int(n.sum()))
+    begin = np.cumsum(n) - n
+    own = n[back]
+    idx = np.repeat(begin[back] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+    return np.repeat(w.doc, own), flat[idx]
+
+
+def token_measures(doc: np.ndarray, tok: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, entropy in bits) of each text, 0 where it has none."""
+    total = np.bincount(doc, minlength=n_texts)
+    order = np.lexsort((tok, doc))
+    d, t = doc[order], tok[order]
+    new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1])])) if len(d) else np.zeros(0, np.int64)
+    c = np.diff(np.append(new, len(d)))
+    log = np.bincount(d[new], c * np.log2(np.maximum(c, 1)), minlength=n_texts) if len(d) else np.zeros(n_texts)
+    safe = np.maximum(total, 1)
+    return total, np.maximum(0.0, np.log2(safe) - log / safe)
+
+
+def may_repeat(texts: list[str | None], share: float, path: str) -> np.ndarray:
+    """Which texts lie in the band that texts with such a share of repeated words can't leave."""
+    w = Words(texts)
+    doc, tok = word_tokens(w, path) if len(w.hash) else (w.doc, w.doc)
+    total, entropy = token_measures(doc, tok, w.n_texts)
+    return (total > 0) & (entropy <= np.log2(np.maximum(total, 1)) - 2 * share * w.counts() / np.maximum(total, 1) + 1e-9)
+
+
+def repeating_texts(df: DataFrame, key: str, text: str = "text", share: float = 0.3, n: int = 4, min_words: int = 12, vocabulary: str | None = None) -> DataFrame:
+    """(key): the rows with at least ``min_words`` words of which at least ``share`` are repeated, each once.
+
+    Fertility picks the candidates, without losing any; the n-grams of these decide.
+    """
+    path = vocabulary or default_vocabulary()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, text):
+                held = part.filter(pa.array(may_repeat(part.column(text).to_pylist(), share, path)))
+                words, rep = repeated_words(held.column(text).to_pylist(), n)
+                yield pa.RecordBatch.from_arrays([held.column(key).filter(pa.array((words >= min_words) & (rep >= share * words)))], [key])
+
+    return df.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias(key), text).mapInArrow(run, f"{key} long").distinct()
+
+
 @cache
 def _encoder(path: str):
     import public_tokenizers
@@ -104,18 +166,18 @@ def fertility(df: DataFrame, text: str = "text", vocabulary: str | None = None)
     schema = T.StructType([f for f in df.schema if f.name not in names] + [T.StructField(k, t) for k, t in extra])
     keep = [f.name for f in schema][: -len(extra)]
 
-    def one(t: str | None) -> tuple:
-        ids = np.asarray(_encoder(path).encode_ordinary(t), np.int64) if t else np.zeros(0, np.int64)
-        if not len(ids):
-            return 0, None, None, None
-        p = np.unique(ids, return_counts=True)[1] / len(ids)
-        return len(ids), len(t) / len(ids), float(_pieces(path)[ids].mean()), max(0.0, float(-(p * np.log2(p)).sum()))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, text):
-                rows = [one(t) for t in part.column(text).to_pylist()]
-                new = [pa.array([r[i] for r in rows], pa.int64() if i == 0 else pa.float64()) for i in range(4)]
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                toks = _encoder(path).encode_ordinary_batch(texts, num_threads=1)
+                n = np.fromiter(map(len, toks), np.int64, len(toks))
+                doc, tok = np.repeat(np.arange(len(n)), n), np.fromiter(chain.from_iterable(toks), np.int64, int(n.sum()))
+                total, entropy = token_measures(doc, tok, len(n))
+                safe, none = np.maximum(total, 1), total == 0
+                single = np.bincount(doc, _pieces(path)[tok], minlength=len(n)) if len(tok) else np.zeros(len(n))
+                chars = np.fromiter(map(len, texts), np.int64, len(texts))
+                new = [pa.array(total), *(pa.array(x, mask=none) for x in (chars / safe, single / safe, entropy))]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in keep] + new, [*keep, *names])
 
     return df.select(*keep).mapInArrow(run, schema)

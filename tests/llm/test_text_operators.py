@@ -42,6 +42,21 @@ def test_repetition_matches_brute_force(make):
     assert repetition.repetition(df.limit(0)).count() == 0
 
 
+def test_the_band_rejects_no_repeating_text(make):
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(NOUN) + rnd.choice(["", "s", "ly", "-é", "12"]) for _ in range(rnd.randrange(80))) for _ in range(150)]
+    texts += [t + ". " + " ".join(W(t)[: int(len(W(t)) * rnd.random())]).upper() for t in texts] + [None, "", "中文字 " * 30, "w " * 50_000, "x" * 20_000]
+    texts += [" ".join(rnd.sample("abcdefghijklmnopqrstuvwxyz", 16)) for _ in range(20)]
+    for share in (0.3, 0.6):
+        keep = repetition.may_repeat(texts, share, repetition.default_vocabulary())
+        want = [(n >= 12, n >= 12 and r >= share * n) for n, r in map(brute_repeats, texts)]
+        assert all(k or not hit for k, (_, hit) in zip(keep, want)) and not all(k for k, (long_, _) in zip(keep, want) if long_)
+    df = make([(i, t) for i, t in enumerate(texts)] * 2, "cluster_uid int, text string")
+    hits = {i for i, (n, r) in enumerate(map(brute_repeats, texts)) if n >= 12 and r >= 0.3 * n}
+    assert {r[0] for r in repetition.repeating_texts(df, "cluster_uid").collect()} == hits
+    assert repetition.repeating_texts(df.limit(0), "cluster_uid").count() == 0
+
+
 def test_fertility(make):
     df = make([("the cat sat on the mat " * 5,), ("中\U0001f600ก" * 20,), (None,), ("",)], "text string")
     plain, odd, none, empty = (r.asDict() for r in repetition.fertility(df).collect())
@@ -227,17 +242,48 @@ def test_leakage(make):
     docs = {1: "x " * 20 + item + " y", 2: " ".join(f"i{i}" for i in range(15, 30)) + " z " + " ".join(f"i{i}" for i in range(12)), 3: " ".join(f"i{i}" for i in range(9)), 4: None, 5: "", 6: item.upper().replace(" ", ", ")}
     d = make([(i, t, "e") for i, t in docs.items()] + [(1, docs[1], "e")], "doc_id long, text string, item_id string")
     e = make([(1, item, "s"), (2, "too short", "s"), (3, None, "s"), (1, item, "s")], "item_id long, text string, suite string")
-    got = {r.doc_id: (r.covered_words, r.n_tiles, r.longest) for r in leakage.leaked(d, e).collect()}
+    got = {r.doc_id: (r.covered_words, r.n_tiles, r.longest) for r in leakage.leaked(d, e, k=10).collect()}
     assert got == {1: (30, 1, 30), 2: (27, 2, 15), 6: (30, 1, 30)}
-    assert set(leakage.leaked(d, e, block=1).collect()) == set(leakage.leaked(d, e).collect())
-    assert {r.item_id: r.n_docs for r in leakage.leak_report(leakage.leaked(d, e), e).collect()} == {1: 3, 2: 0, 3: 0}
+    assert {r.item_id: (r.n_docs, r.searchable) for r in leakage.leak_report(leakage.leaked(d, e), e).collect()} == {1: (3, True), 2: (0, False), 3: (0, False)}
     assert leakage.leaked(d.limit(0), e).count() == leakage.leaked(d, e.limit(0)).count() == 0
 
 
-def test_tiling_marks_longest_first_and_once():
-    a, b = np.array([1, 2, 3, 4, 5, 6], np.uint64), np.array([4, 5, 6, 9, 1, 2, 3, 4, 5, 6], np.uint64)
-    assert leakage.tile(a, b, 3) == [(0, 4, 6)]
-    assert leakage.tile(np.array([7, 7, 7, 7], np.uint64), np.array([7, 7], np.uint64), 2) == [(0, 0, 2)]
+def test_reordered_passages_are_found_by_coverage(make):
+    item = [f"i{i}" for i in range(30)]
+    pieces = [item[i : i + 6] for i in range(0, 30, 6)]
+    e = make([(1, " ".join(item), "s")], "item_id long, text string, suite string")
+    d = make([(1, " z ".join(" ".join(x) for x in pieces[::-1])), (2, " ".join(pieces[0]) + " z " + " ".join(pieces[3])), (3, " y ".join(" ".join(x) for x in pieces[:4]))], "doc_id long, text string")
+    assert rows(leakage.leaked(d, e)) == [(1, 1, 30, 30, 5, 6), (3, 1, 30, 24, 4, 6)]
+    assert leakage.leaked(d, e, k=10, coverage=1.0).count() == 0
+
+
+def brute_tiles(item, doc, k):
+    """Longest free match first, found anew each time."""
+    free_i, free_d, out = [True] * len(item), [True] * len(doc), []
+    while True:
+        best = None
+        for a in range(len(item)):
+            for b in range(len(doc)):
+                n = 0
+                while a + n < len(item) and b + n < len(doc) and item[a + n] == doc[b + n] and free_i[a + n] and free_d[b + n]:
+                    n += 1
+                if n >= k and (best is None or n > best[2]):
+                    best = (a, b, n)
+        if best is None:
+            return out
+        out.append(best)
+        for x in range(best[2]):
+            free_i[best[0] + x] = free_d[best[1] + x] = False
+
+
+def test_tiling_matches_brute_force():
+    rnd = random.Random(12)
+    for _ in range(60):
+        item, doc = ([rnd.randrange(5) for _ in range(rnd.randrange(5, 40))] for _ in range(2))
+        for k in (2, 3):
+            seeds = [(a, b) for a in range(len(item) - k + 1) for b in range(len(doc) - k + 1) if item[a : a + k] == doc[b : b + k]]
+            got = leakage.tile(*np.array(seeds, np.int32).T, k) if seeds else []
+            assert sorted(got, key=lambda t: (-t[2], t[0], t[1])) == got and got == brute_tiles(item, doc, k)
 
 
 def test_quotas_and_splits():
@@ -248,6 +294,19 @@ def test_quotas_and_splits():
     assert m.sum(axis=0).tolist() == [100, 7, 0] and m.sum(axis=1).max() - m.sum(axis=1).min() <= 2 and (m >= 0).all()
 
 
+def test_large_draws_are_hypergeometric():
+    rng = np.random.default_rng(1)
+    good, bad, n = 3 * 10**9, 7 * 10**9, 2 * 10**9
+    x = np.array([mixing.hypergeometric(rng, good, bad, n) for _ in range(1500)], np.float64)
+    sd = (n * 0.3 * 0.7 * (good + bad - n) / (good + bad - 1)) ** 0.5
+    assert abs(x.mean() - 0.3 * n) < 4 * sd / len(x) ** 0.5 and abs(x.std() / sd - 1) < 0.08
+    y = np.array([mixing.hypergeometric(rng, 10**9, 2 * 10**9, 500) for _ in range(600)], np.float64)
+    assert abs(y.mean() - 500 / 3) < 2.5 and abs(y.std() / (500 * 2 / 9) ** 0.5 - 1) < 0.15
+    assert mixing.hypergeometric(rng, 10**10, 0, 10**9) == 10**9 and mixing.hypergeometric(rng, 5, 10**10, 10**10 + 5) == 5
+    m = mixing.split_blocks(np.array([2 * 10**9, 10**9, 3]), 5, 1)
+    assert m.sum(axis=0).tolist() == [2 * 10**9, 10**9, 3] and m.sum(axis=1).max() - m.sum(axis=1).min() <= 2 and (m >= 0).all()
+
+
 def test_mix(make):
     rnd = random.Random(8)
     sizes = make([(i, "big" if i % 3 else "small" if i % 2 else None, rnd.randrange(1, 200)) for i in range(3000)] + [(9999, "big", 0), (9998, "other", 50)], "doc_id long, source string, n_tokens long")
