@@ -1,7 +1,10 @@
 """Text decoded with the wrong encoding: found and repaired by joining tokens with garbled forms of clean ones.
 
-Every distinct corpus token with a character beyond ASCII is sent through all encoding chains; what comes out is
-joined by hash with the tokens themselves. A match is accepted when the supposed original is much the more common
+Every distinct corpus token with a character beyond ASCII is sent through all encoding chains: UTF-8 read as one of ten
+encodings up to three times over, in any mix of them, one one-byte encoding read as another, the two kinds one after the
+other in either order, and one-byte text read as UTF-8. What comes out is joined by hash with the tokens themselves; forms that
+are no token of the corpus are dropped by a bit filter where they are made. Deeper chains are reached through the forms in between that occur:
+an original that is itself garbled is followed to its own. A match is accepted when the supposed original is much the more common
 of the two, or when several tokens of one text are explained alike, so a source that is garbled in many rows is found too.
 For the latter tokens are counted once per distinct text. Inside tokens the same is done for runs of characters beyond ASCII, which repairs words whose clean form
 never occurs. Tables are keyed by distinct tokens, never by documents; nothing is collected.
@@ -19,16 +22,17 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import bitfilter
 from ..functions.textvec import chunks
 from ..session import cut
 
-#: Decoders that UTF-8 bytes are wrongly read with; one-byte encodings as (written, read); decoders that text is misread with twice.
+#: Decoders that UTF-8 bytes are wrongly read with; one-byte encodings as (written, read).
 UTF8_READ_AS = ("cp1252", "latin-1", "cp1250", "iso8859-2", "cp1251", "mac_roman", "cp437", "cp850", "iso8859-15", "koi8-r")
 ONE_BYTE = (("cp1252", "cp1250", "iso8859-2", "cp850", "cp437"), ("cp1252", "cp1250", "cp1251", "mac_roman", "cp437", "cp850", "iso8859-2"))
-TWICE = ("cp1252", "latin-1", "cp1250", "mac_roman", "cp437", "cp850", "cp1251")
 _RUN = re.compile(r"[^\x00-\x7f]+")
 
 
@@ -88,21 +92,36 @@ def garbled_forms(word: str) -> dict[str, str]:
         if form is not None and form != word and form not in out:
             out[form] = chain
 
-    once = {c: _misread(word, c) for c in UTF8_READ_AS}
-    for c, form in once.items():
-        put(form, f"utf-8>{c}")
-    for a in TWICE:
-        for b in TWICE:
-            put(twice := _misread(once[a], b), f"utf-8>{a}>{b}")
-            if a == b and len(word) <= 40:
-                put(_misread(twice, a), f"utf-8>{a}>{a}>{a}")
+    def read_on(forms: dict[str, str]) -> dict[str, str]:
+        """One more reading of UTF-8 bytes by each decoder; of equal results the first chain stays."""
+        step: dict[str, str] = {}
+        for form, chain in forms.items():
+            for c in UTF8_READ_AS:
+                step.setdefault(_misread(form, c), f"{chain}>{c}")
+        return step
+
+    swaps: dict[str, str] = {}
+    for a in ONE_BYTE[0]:
+        for b in ONE_BYTE[1]:
+            if a != b and (form := _swapped(word, a, b)) is not None and form != word:
+                swaps.setdefault(form, f"{a}>{b}")
+    once = read_on({word: "utf-8"})
+    twice = read_on(once)
+    for forms in (once, twice, read_on(twice)):
+        for form, chain in forms.items():
+            put(form, chain)
+    for form, chain in once.items():  # read wrongly, then swapped
+        for a in ONE_BYTE[0]:
+            for b in ONE_BYTE[1]:
+                if a != b:
+                    put(_swapped(form, a, b), f"{chain}; {a}>{b}")
+    for form, chain in read_on({form: f"utf-8>{chain}; utf-8" for form, chain in swaps.items()}).items():  # swapped, then read wrongly
+        put(form, chain)
     for a in ("cp1252", "mac_roman", "cp850", "iso8859-2", "cp1250"):
         if (form := _replaced(word, a)) and "\ufffd" in form:  # else it is UTF-8 and reading it so the repair
             put(form, f"{a}>utf-8")
-    for a in ONE_BYTE[0]:
-        for b in ONE_BYTE[1]:
-            if a != b:
-                put(_swapped(word, a, b), f"{a}>{b}")
+    for form, chain in swaps.items():
+        put(form, chain)
     return out
 
 
@@ -140,83 +159,130 @@ def document_tokens(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key).cast("long").alias(key), text, F.xxhash64(text).alias("same")).mapInArrow(run, f"{key} long, token string, n long, same long")
 
 
+def _hashes(words: list[str]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in words), np.uint64, len(words))
+
+
+def _filter(vocabulary: DataFrame) -> np.ndarray:
+    """The bit filter of the tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_hashes(b.column(0).to_pylist()).view(np.int64))], ["k"])
+
+    return bitfilter.build(vocabulary.select("token").mapInArrow(run, "k long"), "k")
+
+
 def _garble(vocabulary: DataFrame) -> DataFrame:
-    """(form, original, n_original, chain) of (token, n)."""
+    """(form, original, chain) of (token): the garbled forms that are tokens themselves, and maybe a few others.
+
+    The distinct tokens are spread over all cores, since each makes some hundred forms.
+    """
+    spark = vocabulary.sparkSession
+    sent = spark.sparkContext.broadcast(_filter(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                rows = [(f, t, n, c) for t, n in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) for f, c in garbled_forms(t).items()]
-                cols = list(zip(*rows)) if rows else [()] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.string()))], ["form", "original", "n_original", "chain"])
+                form, own, chain = [], [], []
+                for i, t in enumerate(part.column(0).to_pylist()):
+                    forms = garbled_forms(t)
+                    form += forms
+                    chain += forms.values()
+                    own += [i] * len(forms)
+                hit = pa.array(np.flatnonzero(bitfilter.probe(sent.value, _hashes(form))))
+                at_ = pa.array(own, pa.int32()).take(hit)
+                yield pa.RecordBatch.from_arrays([pa.array(form, pa.string()).take(hit), part.column(0).take(at_), pa.array(chain, pa.string()).take(hit)], ["form", "original", "chain"])
+
+    spread = vocabulary.select("token").repartition(2 * spark.sparkContext.defaultParallelism)
+    return spread.mapInArrow(run, "form string, original string, chain string")
+
+
+def _utf() -> F.Column:
+    """Does the chain read UTF-8 bytes as something else?"""
+    return F.col("chain").contains("utf-8>")
+
 
-    return vocabulary.select("token", "n").mapInArrow(run, "form string, original string, n_original long, chain string")
+def vocabulary(tokens: DataFrame) -> DataFrame:
+    """(token, n, n_texts): how often each token stands in all rows, and in all distinct texts."""
+    once = tokens.groupBy("token", "same", "n").agg(F.count(F.lit(1)).alias("rows"))
+    return once.groupBy("token").agg(F.sum(F.col("n") * F.col("rows")).alias("n"), F.sum("n").alias("n_texts"))
 
 
-def _words(tokens: DataFrame) -> DataFrame:
-    """(token, n) over all distinct texts."""
-    return tokens.select("token", "same", "n").distinct().groupBy("token").agg(F.sum("n").alias("n"))
+def explanations(words: DataFrame) -> DataFrame:
+    """(token, original, chain, counts of both) of the tokens that are a garbled form of another; ``words`` has (token, counts)."""
+    counts = [c for c in words.columns if c != "token"]
+    own = words.select(F.col("token").alias("original"), *[F.col(c).alias(f"{c}_original") for c in counts])
+    return cut(_garble(words).join(words.withColumnRenamed("token", "form"), "form").join(own, "original").withColumnRenamed("form", "token"))
 
 
-def explained_texts(tokens: DataFrame, key: str, least: int = 3) -> DataFrame:
+def _best(hits: DataFrame, n: str, *by: str) -> DataFrame:
+    """Per token (and ``by``) the most common original."""
+    best = hits.groupBy("token", *by).agg(F.max_by(F.struct("original", "chain"), F.struct(f"{n}_original", "original")).alias("b"))
+    return best.select("token", *by, F.col("b.original").alias("original"), F.col("b.chain").alias("chain"))
+
+
+def explained_texts(tokens: DataFrame, key: str, hits: DataFrame, least: int = 3) -> DataFrame:
     """(key, token, original, chain) of the texts in which several distinct tokens are garbled alike, however common that is.
 
     Alike: all UTF-8 chains, or all swaps of one-byte encodings. It takes ``least`` tokens, or two that are half of the
     text's. A word misread as UTF-8 bytes can't be the original of the other, so counts don't matter; which side of a swap is
-    the original only counts can tell: it must be the more common one.
+    the original only counts over distinct texts can tell: it must be the more common one.
     """
-    words = cut(_words(tokens))
-    utf = F.col("chain").startswith("utf-8>")
-    hit = _garble(words).join(words, F.col("form") == F.col("token")).where(utf | (F.col("token").rlike(r"\p{L}") & (F.col("n_original") > F.col("n"))))
-    best = hit.groupBy("token", F.when(utf, "utf-8").otherwise("swap").alias("kind")).agg(F.max_by(F.struct("original", "chain"), F.struct("n_original", "original")).alias("b"))
-    per = cut(tokens.select(key, "token").distinct().join(best, "token").select(key, "token", "kind", "b.original", "b.chain"))
+    some = hits.where(_utf() | (F.col("token").rlike(r"\p{L}") & (F.col("n_texts_original") > F.col("n_texts"))))
+    best = _best(some.withColumn("kind", F.when(_utf(), "utf-8").otherwise("swap")), "n_texts", "kind")
+    per = cut(tokens.select(key, "token").distinct().join(best, "token").select(key, "token", "kind", "original", "chain"))
     size = tokens.join(per.select(key).distinct(), key, "left_semi").groupBy(key).agg(F.countDistinct("token").alias("size"))
     many = per.groupBy(key, "kind").agg(F.count(F.lit(1)).alias("k")).join(size, key).where((F.col("k") >= least) | ((F.col("k") >= 2) & (2 * F.col("k") >= F.col("size"))))
     return per.join(many.select(key, "kind"), [key, "kind"], "left_semi").groupBy(key, "token").agg(F.min_by(F.struct("original", "chain"), F.struct(F.col("kind") != "utf-8", "original")).alias("b")).select(key, "token", "b.original", "b.chain")
 
 
-def _known_forms(vocabulary: DataFrame, ratio: float) -> DataFrame:
-    """(token, original, chain) of the tokens that are a garbled form of a token at least ``ratio`` times as common."""
-    forms = _garble(vocabulary)
-    hit = forms.join(vocabulary, forms["form"] == vocabulary["token"]).where(F.col("n_original") >= F.col("n") * ratio)
-    best = hit.groupBy("token").agg(F.max_by(F.struct("original", "chain"), F.struct("n_original", "original")).alias("b"))
-    return best.select("token", F.col("b.original").alias("original"), F.col("b.chain").alias("chain"))
-
+def repairs(words: DataFrame, hits: DataFrame, ratio: float = 2.0, swap_ratio: float = 20.0) -> DataFrame:
+    """(token, original, chain) of all garbled tokens of the ``vocabulary``, by its ``explanations``.
 
-def repairs(tokens: DataFrame, ratio: float = 2.0, swap_ratio: float = 20.0) -> DataFrame:
-    """(token, original, chain) of all garbled tokens among ``document_tokens``.
-
-    A form that only swaps one-byte encodings looks like an ordinary word, so its original must be ``swap_ratio``
-    times as common and the token must hold a letter or a replacement character. Tokens with a replacement character that
-    no original explains are lost: their original is null.
+    The original must be ``ratio`` times as common. A form that only swaps one-byte encodings looks like an ordinary word, so
+    there it must be ``swap_ratio`` times as common and the token must hold a letter or a replacement character. Tokens with
+    a replacement character that no original explains are lost: their original is null.
     """
-    words = cut(tokens.groupBy("token").agg(F.sum("n").alias("n")))
-    whole = _known_forms(words, ratio)
-    n = words.select(F.col("token").alias("_t"), F.col("n").alias("_n"))
-    utf = F.col("chain").startswith("utf-8>")
-    common = n.select(F.col("_t").alias("_o"), F.col("_n").alias("_on"))
+    enough = F.col("n_original") >= F.col("n") * ratio
     letters = F.col("token").rlike(r"[\p{L}�]")
-    whole = whole.join(n, F.col("token") == F.col("_t")).join(common, F.col("original") == F.col("_o")).where(utf | (letters & (F.col("_on") >= F.col("_n") * swap_ratio))).select("token", "original", "chain")
+    best = _best(hits.where(enough), "n")
+    n = hits.select("token", "original", "n", "n_original").distinct()
+    whole = best.join(n, ["token", "original"]).where(_utf() | (letters & (F.col("n_original") >= F.col("n") * swap_ratio))).select("token", "original", "chain")
 
-    runs = words.select("n", F.explode(F.regexp_extract_all("token", F.lit(r"([^\x00-\x7f]+)"), F.lit(1))).alias("token")).groupBy("token").agg(F.sum("n").alias("n"))
-    bad = _known_forms(runs, ratio).where((F.length("token") >= 2) & F.col("chain").startswith("utf-8>"))
+    runs = cut(words.select("n", F.explode(F.regexp_extract_all("token", F.lit(r"([^\x00-\x7f]+)"), F.lit(1))).alias("token")).groupBy("token").agg(F.sum("n").alias("n")))
+    bad = _best(explanations(runs).where(enough), "n").where((F.length("token") >= 2) & _utf())
     pieces = words.select("token", F.posexplode(F.regexp_extract_all("token", F.lit(r"([^\x00-\x7f]+|[\x00-\x7f]+)"), F.lit(1))).alias("at", "piece"))
     b = bad.select(F.col("token").alias("piece"), F.col("original").alias("_as"), "chain")
     hit = pieces.join(b.select("piece").distinct(), "piece", "left_semi").select("token").distinct()
     mended = pieces.join(hit, "token", "left_semi").join(b, "piece", "left").groupBy("token").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce("_as", "piece").alias("p")))), lambda x: x["p"]), "").alias("original"), F.max("chain").alias("chain")
     )
-    known = cut(whole.unionByName(mended.join(whole.select("token"), "token", "left_anti")))
+    known = _to_the_root(cut(whole.unionByName(mended.join(whole.select("token"), "token", "left_anti"))))
     lost = words.where(F.contains(F.col("token"), F.lit("\ufffd"))).join(known, "token", "left_anti").select("token", F.lit(None).cast("string").alias("original"), F.lit("lost").alias("chain"))
     return known.unionByName(lost)
 
 
+def _to_the_root(known: DataFrame) -> DataFrame:
+    """Originals that are garbled themselves give way to their own, chain by chain; a round doubles the steps. Tokens that explain each other stay as they are."""
+    up = lambda d: d.select(F.col("token").alias("original"), F.col("original").alias("_o"), F.col("chain").alias("_c"))
+    for _ in range(6):  # 64 misreadings one upon the other
+        deeper = known.join(up(known).where("original <> _o"), "original").where("token <> _o")
+        if not deeper.limit(1).count():
+            break
+        moved = deeper.select("token", F.col("_o").alias("original"), F.concat_ws("; ", "_c", "chain").alias("chain"))
+        known = cut(known.join(moved.select("token"), "token", "left_anti").unionByName(moved))
+    return known
+
+
 def garbled_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key): the rows that hold a garbled token, each once."""
     tokens = cut(document_tokens(df, key, text))
-    alone = tokens.join(repairs(tokens).select("token"), "token", "left_semi").select(key)
-    return alone.unionByName(explained_texts(tokens, key).select(key)).distinct()
+    words = cut(vocabulary(tokens))
+    hits = explanations(words)
+    alone = tokens.join(repairs(words, hits).select("token"), "token", "left_semi").select(key)
+    return alone.unionByName(explained_texts(tokens, key, hits).select(key)).distinct()
 
 
 def restored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -225,8 +291,10 @@ def restored(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     n_lost counts replacement characters left over: what stood there can't be told.
     """
     tokens = cut(document_tokens(df, key, text))
-    alone = cut(tokens.join(repairs(tokens), "token").select(key, "token", "original"))
-    alike = explained_texts(tokens, key).select(key, "token", "original").join(alone.where("original IS NOT NULL"), [key, "token"], "left_anti")
+    words = cut(vocabulary(tokens))
+    hits = explanations(words)
+    alone = cut(tokens.join(repairs(words, hits), "token").select(key, "token", "original"))
+    alike = explained_texts(tokens, key, hits).select(key, "token", "original").join(alone.where("original IS NOT NULL"), [key, "token"], "left_anti")
     own = alone.join(alike, [key, "token"], "left_anti").unionByName(alike).groupBy(key).agg(F.collect_list(F.struct("token", "original")).alias("pairs"))
     rows = df.select(F.col(key).cast("long").alias(key), text).join(own, key)
 

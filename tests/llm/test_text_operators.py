@@ -337,6 +337,13 @@ def test_garbled_forms_round_trip():
         twice = w.encode().decode("latin-1").encode().decode("latin-1")
         assert twice in forms
     assert mojibake.garbled_forms("plain") == {}
+    long_ = "é" + "abcdefgh" * 6
+    mis = lambda t, *codecs: t if not codecs else mis(t.encode().decode(codecs[0], "replace"), *codecs[1:])
+    forms = mojibake.garbled_forms(long_)
+    for c in (("latin-1",) * 3, ("latin-1", "cp437", "koi8-r"), ("cp850", "latin-1", "mac_roman")):
+        assert mis(long_, *c) in forms, c
+    assert mis(long_.encode("cp1252").decode("cp1250"), "latin-1") in forms and "utf-8" in forms[mis(long_.encode("cp1252").decode("mac_roman"), "latin-1")]
+    assert mis(long_, "latin-1").encode("cp1252", "replace").decode("mac_roman") in forms
 
 
 def test_mojibake(make):
@@ -376,3 +383,10 @@ def test_hot_group_of_copies(make):
     assert near_duplicates.class_pairs(near_duplicates.word_sets(df, "cluster_uid", "text", 3, 24), 0.7)[1].count() == 0
     g = near_duplicates.similarity_groups(near_duplicates.word_sets(df, "cluster_uid", "text", 3, 24), 0.7)
     assert rows(g.groupBy("n_links").count()) == [(0, 80), (39, 40)]
+
+
+def test_an_original_that_is_garbled_itself_is_followed(make):
+    mis = lambda t, n: t if not n else mis(t.encode().decode("latin-1"), n - 1)
+    docs = [(i, "Le procédé passé") for i in range(50)] + [(100 + i, mis("procédé", 3)) for i in range(10)] + [(200, "x " + mis("procédé", 5))]
+    got = {r.doc_id: r.restored_text for r in mojibake.restored(make(docs, "doc_id long, text string")).collect()}
+    assert got[200] == "x procédé" and got[100] == "procédé" and 0 not in got
