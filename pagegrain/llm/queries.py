@@ -44,10 +44,15 @@ def p5_found(spark, base):
 
 
 def p5_repaired(spark, base):
-    """Every text as a continuous paragraph."""
+    """Every text with its lines joined, words repaired and page furniture empty."""
     return scan_noise.repaired(read(spark, base, "text_clusters"), read(spark, base, "raw_ocr_responses"))
 
 
+def p5_paragraphs(spark, base):
+    """The repaired texts as the paragraphs of their documents, across texts and pages."""
+    return scan_noise.paragraphs(p5_repaired(spark, base))
+
+
 def _records(spark, base):
     return read(spark, base, "text_clusters", "cluster_uid", "text"), read(spark, base, "nodes", "id", "file_path"), read(spark, base, "page_hashes", "node_id", "page_hash")
 

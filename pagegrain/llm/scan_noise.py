@@ -3,7 +3,7 @@
 Candidates for a misread word are retrieved completely: a Levenshtein automaton over characters, in which the merges and
 splits that recognition makes (rn for m, cl for d) are one place as well, is run against tries of the corpus vocabulary.
 Words meet the vocabulary by what is left of both when characters are left out, which is complete for one wrong place in
-a word and for two from five characters on; shorter words would keep less than they lose. Where a single confusion of the table
+a word and for two from five characters on, shorter words would keep less than they lose; long words by one of five pieces. Where a single confusion of the table
 explains a word, a far more common candidate decides; any other candidate must also be far more common between the same
 two neighbouring words, so a rare word that merely looks like a common one stays. Words of one character have no candidates. Words broken over a line end are told from compounds by which form the corpus has. Running
 headers and footers are the short first lines that return on several pages of one document; page numbers are texts
@@ -20,7 +20,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import bitfilter
@@ -46,6 +46,7 @@ _BROKEN_END = re.compile(rf"[{_HYPHENS}][ \t]*\r?\n")
 _PAGE = re.compile(r"[^\w]*(?:(?:page|pagina|página|seite|folio|strona|str|pag|pág|p|s|f)\b\.?\s*)?(\d{1,6}|[ivxlcdm]{1,12})(?:\s*(?:of|/|von|de|sur|z|di)\s*\d{1,6})?[^\w]*", re.I)
 _ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 _LETTERS = re.compile(r"[^\W\d_]{2,}")
+_PARAGRAPH = re.compile(r"\n[^\S\n]*\n")
 _TRAILING = re.compile(r"[\s\d]+$")
 _SHAPED = re.compile(r"\||^\s*(?:\([A-Za-z0-9]{1,3}\)|[-*•])\s")
 
@@ -147,7 +148,7 @@ def _profile(texts: list[str], part: dict) -> list[tuple]:
         same = np.flatnonzero((w.doc[:-1] == w.doc[1:]) & hyphen[:-1] & ~newline[:-1] & (w.start[1:] == w.end[:-1] + 1))
         u, c = np.unique(_pair_key(w.hash[same], w.hash[same + 1]), return_counts=True)
         rows += [("pair", *[None] * 6, None, k, v, None) for k, v in zip(signed(u).tolist(), c.tolist())]
-        ok = np.flatnonzero(~piece & (w.end - w.start >= 2) & (w.end - w.start <= 40))
+        ok = np.flatnonzero(~piece & (w.end - w.start >= 2))
         u, first, c = np.unique(w.hash[ok], return_index=True, return_counts=True)
         for k, i, v in zip(signed(u).tolist(), ok[first].tolist(), c.tolist()):
             word = texts[w.doc[i]][w.start[i] : w.end[i]].lower()
@@ -157,7 +158,7 @@ def _profile(texts: list[str], part: dict) -> list[tuple]:
     for i, (t, *ident) in enumerate(zip(texts, *(part[k] for k in _KEYS))):
         if _BROKEN_END.search(t):
             sites += [(i, m[1], m[2], m[3]) for m in _BREAK.finditer(t)]
-        if len(t) < 40 and is_page_number(t, ident[4]):
+        if is_page_number(t, ident[4]):
             rows.append(("number", *ident, None, None, None, None, None))
         elif line := header_line(t):
             rows.append(("line", *ident, folded(line), None, None, None, "\n" in t.strip()))
@@ -278,12 +279,34 @@ def _put_back(word: str, most: int) -> dict[str, int]:
     return out
 
 
+#: Length from which words meet by equal pieces, of which two wrong places leave one whole, and not by what is left of them.
+LONG = 24
+PIECES = 5
+
+
+def _cuts(n: int) -> list[int]:
+    return [n * i // PIECES for i in range(PIECES + 1)]
+
+
 def meeting_forms(word: str, asked: bool) -> set[str]:
-    """What a word and the words it may be misread from have in common: at least one form, of ``word`` as asked and of each of those as known."""
-    if not asked:
-        return _left_out(word, 2)
-    most = 2 if len(word) >= TWO else 1
-    return {x for form, k in _put_back(word, most).items() for x in _left_out(form, most - k)}
+    """What a word and the words it may be misread from have in common: at least one form, of ``word`` as asked and of each of those as known.
+
+    A long word is cut into five pieces: a wrong place spoils two of them at most, as when a merge stands where they meet, and
+    moves the rest by one. So a word as asked gives, for every length the other may have, its pieces at every shift.
+    """
+    n, out = len(word), set()
+    if asked:
+        if n > LONG:
+            for m in range(n - 2, n + 3):
+                at = _cuts(m)
+                out |= {f"{m}:{i}:{word[a + d : b + d]}" for i, (a, b) in enumerate(zip(at[:-1], at[1:])) for d in range(-2, 3) if a + d >= 0 and b + d <= n}
+            return out
+        most = 2 if n >= TWO else 1
+        return {x for form, k in _put_back(word, most).items() for x in _left_out(form, most - k)}
+    if n > LONG - 2:
+        at = _cuts(n)
+        out |= {f"{n}:{i}:{word[a:b]}" for i, (a, b) in enumerate(zip(at[:-1], at[1:]))}
+    return out | _left_out(word, 2) if n <= LONG + 2 else out
 
 
 def _forms(words: DataFrame, asked: bool) -> DataFrame:
@@ -488,7 +511,7 @@ def _same_case(word: str, like: str) -> str:
 
 
 def repair_text(text: str, fixes: dict[str, str], joined: set[str], header: bool, number: bool) -> str:
-    """The text as a continuous paragraph. joined: the broken words, in lower case without their hyphen."""
+    """The text with the lines of each paragraph joined; blank lines stay between paragraphs. joined: the broken words, in lower case without their hyphen."""
     if number:
         return ""
     if header:
@@ -496,7 +519,40 @@ def repair_text(text: str, fixes: dict[str, str], joined: set[str], header: bool
     if _BROKEN_END.search(text):
         text = _BREAK.sub(lambda m: m[1] + m[3] if (m[1] + m[3]).lower() in joined else m[1] + "-" + m[3], text)
     text = re.sub(r"[^\W_]+", lambda m: _same_case(fixes[m[0].lower()], m[0]) if m[0].lower() in fixes else m[0], text)
-    return " ".join(text.split())
+    return "\n\n".join(" ".join(p.split()) for p in _PARAGRAPH.split(text) if p.strip())
+
+
+def paragraphs(fixed: DataFrame) -> DataFrame:
+    """(origin, document_id, page, item_id, n_parts, paragraph) of ``repaired`` texts: what goes on in the next text of the page, or on the next page, is one paragraph, found where it begins.
+
+    A text goes on if it ends in a hyphen or without an end mark and the one that follows begins in lower case; page furniture,
+    which is empty by now, doesn't stand between. Null documents and pages keep their texts apart.
+    """
+    ident = ["origin", "document_id", "page"]
+    rows = fixed.where("repaired_text <> ''").select(*ident, "item_id", F.col("repaired_text").alias("t")).distinct()
+    open_ = F.col("t").rlike(rf"[{_HYPHENS}]$") | ~F.col("t").rlike(r"[.!?:;…][\"'”’»)\]]*$")
+    w = Window.partitionBy(*ident).orderBy("item_id", "t")
+    rows = rows.withColumns({"open": open_, "low": F.col("t").rlike(r"^\p{Ll}"), "nth": F.row_number().over(w)})
+    rows = cut(rows.withColumn("before", F.lag("open").over(w)))
+    last = rows.groupBy(*ident).agg(F.max_by("open", "nth").alias("left_open")).select("origin", "document_id", (F.col("page") + 1).alias("page"), "left_open")
+    rows = rows.join(last, ident, "left").withColumn("on", F.col("low") & F.coalesce(F.when(F.col("nth") == 1, F.col("left_open")).otherwise(F.col("before")), F.lit(False)))
+    # the text a paragraph begins with: on the page, or where the paragraph that the page before leaves open begins
+    mark = F.when(~F.col("on"), F.struct(F.col("page").alias("p"), F.col("nth").alias("n")))
+    rows = cut(rows.withColumn("start", F.last(mark, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    tail = rows.groupBy(*ident).agg(F.max_by("start", "nth").alias("tail")).select("origin", "document_id", F.col("page").alias("to"), "tail")
+    need = cut(rows.where("start IS NULL").select(*ident).distinct().withColumn("to", F.col("page") - 1))
+    done = None
+    while need.limit(1).count():  # pages that lie in one paragraph from end to end pass it on
+        got = cut(need.join(tail, ["origin", "document_id", "to"]))
+        found = got.where("tail IS NOT NULL").select(*ident, "tail")
+        done = found if done is None else done.unionByName(found)
+        need = cut(got.where("tail IS NULL").select(*ident, (F.col("to") - 1).alias("to")))
+    if done is not None:
+        rows = rows.join(done, ident, "left").withColumn("start", F.coalesce("start", "tail")).drop("tail")
+    part = F.struct("page", "nth", "t", "item_id")
+    g = rows.groupBy("origin", "document_id", F.coalesce("start.p", "page").alias("page"), F.coalesce("start.n", "nth").alias("nth")).agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    glued = F.aggregate("parts", F.lit(""), lambda a, x: F.when(a == "", x["t"]).when(a.rlike(rf"[{_HYPHENS}]$"), F.concat(F.regexp_replace(a, rf"[{_HYPHENS}]$", ""), x["t"])).otherwise(F.concat(a, F.lit(" "), x["t"])))
+    return g.select("origin", "document_id", "page", F.col("parts")[0]["item_id"].alias("item_id"), F.size("parts").alias("n_parts"), glued.alias("paragraph"))
 
 
 def repaired(clusters: DataFrame, responses: DataFrame) -> DataFrame:

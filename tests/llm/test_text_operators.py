@@ -198,6 +198,31 @@ def test_misreadings_beyond_the_table(make):
     assert fixed[900] == fixed[901] == "Thus the keeper signs the seal before noon." and "may be moved" in fixed[902] and fixed[903] == wrong[3] and "its own meter" in fixed[904]
 
 
+def test_long_words_meet_whatever_is_wrong_in_two_places():
+    rnd = random.Random(8)
+    for n in (22, 23, 24, 25, 26, 27, 40, 90):
+        for _ in range(60):
+            w = "".join(rnd.choice("abcdmnrlie") for _ in range(n))
+            x = w
+            for _ in range(2):
+                i = rnd.randrange(len(x))
+                seen, meant = rnd.choice(scan_noise.CONFUSIONS)
+                x = rnd.choice([x[:i] + x[i + 1 :], x[:i] + "q" + x[i:], x[:i] + "q" + x[i + 1 :], x.replace(meant, seen, 1)])
+            if x != w:
+                assert scan_noise.meeting_forms(w, False) & scan_noise.meeting_forms(x, True), (w, x)
+                assert w in dict(scan_noise.candidates(scan_noise.build_trie([w]), x, 2))
+    assert len(scan_noise.meeting_forms("x" * 50_000, True)) < 200
+
+
+def test_paragraphs_go_on_over_texts_and_pages(make):
+    t = [("d", 1, 0, "A heading"), ("d", 1, 1, "The keeper signs the"), ("d", 1, 2, "ledger before noon."), ("d", 1, 3, "No crane may be mo-"), ("d", 2, 0, ""), ("d", 2, 1, "ved without"), ("d", 3, 0, "the seal"), ("d", 4, 5, "of the yard."), ("d", 4, 6, "every"), ("d", 6, 0, "lone end."), (None, None, 0, "x")]
+    df = make([("cluster", 1, i, d, p, x, 0) for d, p, i, x in t] + [("box", 1, 0, "d", 2, "ved alone.", 0)], "origin string, record_id long, item_id long, document_id string, page int, repaired_text string, n_fixed long")
+    got = [(r.page, r.item_id, r.n_parts, r.paragraph) for r in scan_noise.paragraphs(df).where("origin = 'cluster' AND document_id = 'd'").orderBy("page", "item_id").collect()]
+    assert got == [(1, 0, 1, "A heading"), (1, 1, 2, "The keeper signs the ledger before noon."), (1, 3, 4, "No crane may be moved without the seal of the yard."), (4, 6, 1, "every"), (6, 0, 1, "lone end.")]
+    assert scan_noise.paragraphs(df).count() == 7
+    assert scan_noise.repair_text("One para-\ngraph\nhere.\n \nTwo\nlines.", {}, {"paragraph"}, False, False) == "One paragraph here.\n\nTwo lines."
+
+
 def test_page_numbers():
     ok = [("- 4 -", 4), ("Page 4 of 9", 4), ("[12]", 12), ("xiv", 14), ("— 3 —", 3), ("Folio 7", 7), ("5 / 8", 5)]
     assert all(scan_noise.is_page_number(t, p) for t, p in ok)
