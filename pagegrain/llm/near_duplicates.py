@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..functions import bitfilter
 from ..functions.textvec import Words, chunks, distinct_per_text, mix64, signed
 from ..operators.components import components
-from ..session import cut
+from ..session import cut, spill
 
 _U = np.uint64
 BUCKETS = 1 << 20  # of the count sketch, which is all that is sent to every task: 4 bytes each
@@ -91,6 +91,12 @@ def _keys(classes: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(16), len(classes), [None, pa.py_buffer(np.ascontiguousarray(classes).tobytes())]).cast(pa.binary())
 
 
+def _firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first number of each class."""
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(b.column(0).to_pylist()), np.int64)[0::2])], ["k"])
+
+
 def _some(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``_arrays`` without empty sets."""
     ids, n, toks = _arrays(batch)
@@ -121,23 +127,25 @@ def _surveyed(sets: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return seen.where("part IS NULL").select("id", "c").distinct(), np.concatenate([by.get(i, np.zeros(BUCKETS // PARTS, np.int64)) for i in range(PARTS)])
 
 
-def _bits(sets: DataFrame, t: float, counts: np.ndarray) -> DataFrame:
-    """(bit, c, n, f0, f1, inner): the rarest tokens of each class, its size and sketch.
+def _bits(sets: DataFrame, t: float, counts: np.ndarray, twins: DataFrame) -> DataFrame:
+    """(bit, id, n, f0, f1, inner): the rarest tokens of each class under its representative's id, its size and sketch.
 
-    inner marks the tokens by which a set is found by those no smaller than itself.
+    inner marks the tokens by which a set is found by those no smaller than itself. Rows that may come from a class with
+    several members, which a bit filter tells, carry their class and are brought under the representative; the others, as a rule
+    nearly all, stand for themselves.
     """
-    sent = sets.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**31 - 1).astype(np.int32))
+    sent = sets.sparkSession.sparkContext.broadcast((np.minimum(counts, 2**31 - 1).astype(np.int32), bitfilter.build(cut(twins.select("c").distinct().mapInArrow(_firsts, "k long")), "k")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, n, toks = _some(batch)
+            ids, n, toks = _some(batch)
             if not len(toks):
                 continue
             cls = _classes(n, toks)
             first = np.unique(cls.view("u8,u8").ravel(), return_index=True)[1]  # equal sets of a batch go out once
             if len(first) < len(n):
                 lo = (np.cumsum(n) - n)[first]
-                n, cls = n[first], cls[first]
+                n, cls, ids = n[first], cls[first], ids[first]
                 toks = toks[np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())]
             rec = np.repeat(np.arange(len(n)), n)
             h = mix64(toks ^ _U(0xA5A5A5A5A5A5A5A5))
@@ -145,69 +153,69 @@ def _bits(sets: DataFrame, t: float, counts: np.ndarray) -> DataFrame:
             fold = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64).reshape(len(n), 2)
             outer = n - np.ceil(t * n - 1e-9).astype(np.int64) + 1
             inner = n - np.ceil(2 * t / (1 + t) * n - 1e-9).astype(np.int64) + 1
-            order = np.lexsort((h, sent.value[_bucket(toks)], rec))
+            order = np.lexsort((h, sent.value[0][_bucket(toks)], rec))
             rank = np.arange(len(order)) - (np.cumsum(n) - n)[rec[order]]
             keep = order[rank < outer[rec[order]]]
             rank = rank[rank < outer[rec[order]]]
             own = rec[keep]
-            cols = [pa.array(signed(toks[keep])), _keys(cls[own]), *(pa.array(x) for x in (n[own].astype(np.int32), fold[own, 0], fold[own, 1], rank < inner[own]))]
-            yield pa.RecordBatch.from_arrays(cols, ["bit", "c", "n", "f0", "f1", "inner"])
+            twin = bitfilter.probe(sent.value[1], cls[:, 0])
+            cls = _keys(cls).take(pa.array(np.arange(len(n)), mask=~twin)).take(pa.array(own))
+            cols = [pa.array(signed(toks[keep])), pa.array(ids[own]), cls, *(pa.array(x) for x in (n[own].astype(np.int32), fold[own, 0], fold[own, 1], rank < inner[own]))]
+            yield pa.RecordBatch.from_arrays(cols, ["bit", "id", "c", "n", "f0", "f1", "inner"])
 
-    return sets.mapInArrow(run, "bit long, c binary, n int, f0 long, f1 long, inner boolean").distinct()
+    held = spill(sets.mapInArrow(run, "bit long, id long, c binary, n int, f0 long, f1 long, inner boolean"))
+    rep = twins.groupBy("c").agg(F.min("id").alias("_rep"))
+    some = held.where("c IS NOT NULL").join(rep, "c", "left").withColumn("id", F.coalesce("_rep", "id")).drop("c", "_rep").distinct()
+    return held.where("c IS NULL").drop("c").unionByName(some)
 
 
 def _only(sets: DataFrame, need: DataFrame) -> DataFrame:
-    """(c, toks): one set of each needed class; what can't be needed is dropped before anything is shuffled."""
-    sent = sets.sparkSession.sparkContext.broadcast(bitfilter.build(need.select(F.xxhash64("c").alias("k")), "k"))
+    """(id, toks) of the needed records; what can't be needed is dropped before anything is shuffled."""
+    sent = sets.sparkSession.sparkContext.broadcast(bitfilter.build(need, "id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, n, toks = _some(batch)
-            if len(n):
-                own = batch.filter(pa.array(_arrays(batch)[1] > 0))
-                yield pa.RecordBatch.from_arrays([_keys(_classes(n, toks)), own.column(own.schema.get_field_index("toks"))], ["c", "toks"])
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(bitfilter.probe(sent.value, batch.column(2).to_numpy().view(_U))))
+            ids = batch.column(batch.schema.get_field_index("id")).to_numpy().view(_U)
+            yield batch.filter(pa.array(bitfilter.probe(sent.value, ids)))
 
-    held = sets.select("id", "toks").mapInArrow(run, "c binary, toks array<long>").select("c", "toks", F.xxhash64("c").alias("k")).mapInArrow(keep, "c binary, toks array<long>, k long")
-    return held.join(need.select("c"), "c", "left_semi").dropDuplicates(["c"]).select("c", "toks")
+    return sets.select("id", "toks").mapInArrow(run, "id long, toks array<long>").join(need, "id", "left_semi").dropDuplicates(["id"])
 
 
 def _met(bits: DataFrame, t: float) -> DataFrame:
-    """Pairs of classes that share a bit and pass the tests of size and sketch.
+    """Pairs of ids that share a bit and pass the tests of size and sketch.
 
     Bits with a column s are hot: their sets fall into s parts, and each pair of parts meets in a task of its own.
     """
-    cols = ["c", "n", "f0", "f1", "inner"]
-    side = lambda d, p: d.select("bit", "i", "j", *[F.col(x).alias(f"{p}_{x}") for x in cols])
-    left, right = bits, bits
+    cols, on, left, right = ["id", "n", "f0", "f1"], ["bit"], bits, bits.where("inner")
     if "s" in bits.columns:
-        own, each = F.pmod(F.xxhash64("c"), F.col("s")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("s") - 1))
-        left, right = bits.withColumns({"i": own, "j": each}), bits.withColumns({"j": own, "i": each})
-    first = (F.col("r_n") < F.col("l_n")) | ((F.col("r_n") == F.col("l_n")) & (F.col("r_c") < F.col("l_c")))
+        own, each = F.pmod(F.xxhash64("id"), F.col("s")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("s") - 1))
+        on, left, right = ["bit", "i", "j"], left.withColumns({"i": own, "j": each}), right.withColumns({"j": own, "i": each})
+    side = lambda d, p: d.select(*on, *[F.col(x).alias(f"{p}_{x}") for x in cols])
+    first = (F.col("r_n") < F.col("l_n")) | ((F.col("r_n") == F.col("l_n")) & (F.col("r_id") < F.col("l_id")))
     near = F.col("r_n") >= F.col("l_n") * F.lit(t) - 1e-9
     apart = F.bit_count(F.col("l_f0").bitwiseXOR(F.col("r_f0"))) + F.bit_count(F.col("l_f1").bitwiseXOR(F.col("r_f1")))
     alike = apart <= (F.col("l_n") + F.col("r_n")) * F.lit((1 - t) / (1 + t)) + 1e-9
-    return side(left, "l").join(side(right, "r").where("r_inner"), ["bit", "i", "j"]).where(first & near & alike & (F.col("l_c") != F.col("r_c"))).select("l_c", "r_c")
+    return side(left, "l").join(side(right, "r"), on).where(first & near & alike & (F.col("l_id") != F.col("r_id"))).select("l_id", "r_id")
 
 
 def class_pairs(sets: DataFrame, t: float) -> tuple[DataFrame, DataFrame]:
-    """(members, pairs): (id, c) of all records with tokens, and (c_a, c_b, similarity), c_a < c_b, of all similar classes of (id, toks)."""
+    """(twins, pairs): (id, rep) of the records whose set others have too, rep being the smallest of these; and
+    (id_a, id_b, similarity), id_a < id_b, of all similar sets of (id, toks), each under its rep or, where it has none, its id."""
     members, counts = _surveyed(sets)
-    bits = cut(_bits(sets, t, counts))
+    several = members.groupBy("c").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("k")).where("k > 1").select("c", "rep")
+    twins = cut(members.join(several, "c"))
+    bits = _bits(sets, t, counts, twins)
     hot = cut(bits.groupBy("bit").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") > HOT).select("bit", F.ceil(F.col("k") / HOT).cast("int").alias("s")))
-    met = _met(bits.withColumns({"i": F.lit(0), "j": F.lit(0)}), t)
+    met = _met(bits, t)
     if hot.limit(1).count():
-        met = _met(bits.join(hot, "bit", "left_anti").withColumns({"i": F.lit(0), "j": F.lit(0)}), t).unionByName(_met(bits.join(hot, "bit"), t))
-    found = cut(met.select(F.least("l_c", "r_c").alias("c_a"), F.greatest("l_c", "r_c").alias("c_b")).distinct())
-    need = cut(found.select(F.col("c_a").alias("c")).union(found.select("c_b")).distinct())
-    held = cut(_only(sets, need))
-    a, b = (held.select(F.col("c").alias(f"c_{s}"), F.col("toks").alias(f"t_{s}")) for s in "ab")
-    both = found.join(a, "c_a").join(b, "c_b").withColumn("_i", F.size(F.array_intersect("t_a", "t_b")))
+        met = _met(bits.join(hot, "bit", "left_anti"), t).unionByName(_met(bits.join(hot, "bit"), t))
+    found = cut(met.select(F.least("l_id", "r_id").alias("id_a"), F.greatest("l_id", "r_id").alias("id_b")).distinct())
+    need = cut(found.select(F.col("id_a").alias("id")).union(found.select("id_b")).distinct())
+    held = spill(_only(sets, need))
+    a, b = (held.select(F.col("id").alias(f"id_{s}"), F.col("toks").alias(f"t_{s}")) for s in "ab")
+    both = found.join(a, "id_a").join(b, "id_b").withColumn("_i", F.size(F.array_intersect("t_a", "t_b")))
     sim = F.col("_i") / (F.size("t_a") + F.size("t_b") - F.col("_i"))
-    return members, both.select("c_a", "c_b", sim.alias("similarity")).where(F.col("similarity") >= t)
+    return twins.select("id", "rep"), both.select("id_a", "id_b", sim.alias("similarity")).where(F.col("similarity") >= t)
 
 
 def similar_pairs(sets: DataFrame, t: float) -> DataFrame:
@@ -215,32 +223,29 @@ def similar_pairs(sets: DataFrame, t: float) -> DataFrame:
 
     A class of k records alone gives k(k-1)/2 rows: where that is too much, take ``class_pairs`` or ``similarity_groups``.
     """
-    members, pairs = class_pairs(sets, t)
-    own = lambda s: members.select(F.col("id").alias(f"i_{s}"), F.col("c").alias(f"c_{s}"))
-    across = pairs.join(own("a"), "c_a").join(own("b"), "c_b").select("i_a", "i_b", "similarity")
-    many = members.groupBy("c").count().where("count > 1").select("c")
-    twins = members.join(many, "c", "left_semi")
-    within = twins.select("c", F.col("id").alias("i_a")).join(twins.select("c", F.col("id").alias("i_b")), "c").where("i_a < i_b").select("i_a", "i_b", F.lit(1.0).alias("similarity"))
-    both = across.unionByName(within).where("i_a <> i_b")
-    return both.groupBy(F.least("i_a", "i_b").alias("id_a"), F.greatest("i_a", "i_b").alias("id_b")).agg(F.max("similarity").alias("similarity"))
+    twins, pairs = class_pairs(sets, t)
+    own = lambda s: twins.select(F.col("rep").alias(f"id_{s}"), F.col("id").alias(f"m_{s}"))
+    across = pairs.join(own("a"), "id_a", "left").join(own("b"), "id_b", "left").select(F.coalesce("m_a", "id_a").alias("x"), F.coalesce("m_b", "id_b").alias("y"), "similarity")
+    within = own("a").select(F.col("id_a").alias("rep"), F.col("m_a").alias("x")).join(own("b").select(F.col("id_b").alias("rep"), F.col("m_b").alias("y")), "rep").where("x < y").select("x", "y", F.lit(1.0).alias("similarity"))
+    return across.unionByName(within).where("x <> y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"), "similarity")
 
 
 def similarity_groups(sets: DataFrame, t: float) -> DataFrame:
     """(id, group_id, n_links): one row per id with the smallest id its links reach; without a similar record an id is its own group.
 
     Links are counted over classes: a record has its class's other members and all members of the similar classes. Ids
-    without tokens have none. An id that comes with several sets counts once, with the smallest group and most links.
+    without tokens have none.
     """
-    members, pairs = class_pairs(sets, t)
-    members, pairs = cut(members), cut(pairs)
-    size = members.groupBy("c").agg(F.count(F.lit(1)).alias("size"))
-    ends = pairs.select("c_a", "c_b").union(pairs.select("c_b", "c_a")).toDF("c", "other")
-    across = ends.join(size.withColumnRenamed("c", "other"), "other").groupBy("c").agg(F.sum("size").alias("across"))
-    comp = components(pairs, "c_a", "c_b").withColumnRenamed("id", "c")
-    own = members.join(size, "c").join(across, "c", "left").join(comp, "c", "left").withColumn("g", F.coalesce("component", "c"))
-    low = own.groupBy("g").agg(F.min("id").alias("group_id"))
-    rows = own.join(low, "g").groupBy("id").agg(F.min("group_id").alias("group_id"), F.max(F.col("size") - 1 + F.coalesce("across", F.lit(0))).alias("n_links"))
-    return sets.select("id").distinct().join(rows, "id", "left").select("id", F.coalesce("group_id", "id").alias("group_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    twins, pairs = class_pairs(sets, t)
+    pairs = cut(pairs)
+    size = twins.groupBy(F.col("rep").alias("id")).agg(F.count(F.lit(1)).alias("size"))
+    ends = pairs.select("id_a", "id_b").union(pairs.select("id_b", "id_a")).toDF("rep", "other")
+    across = ends.join(size.select(F.col("id").alias("other"), "size"), "other", "left").groupBy("rep").agg(F.sum(F.coalesce("size", F.lit(1))).alias("across"))
+    comp = components(pairs).select(F.col("id").alias("rep"), "component")
+    own = sets.select("id").distinct().join(twins, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
+    own = own.join(size.select(F.col("id").alias("rep"), "size"), "rep", "left").join(across, "rep", "left").join(comp, "rep", "left")
+    links = F.coalesce("size", F.lit(1)) - 1 + F.coalesce("across", F.lit(0))
+    return own.select("id", F.coalesce("component", "rep").alias("group_id"), links.cast("long").alias("n_links"))
 
 
 KINDS = {"cluster": 0.7, "pages": 0.6, "path": 0.7}
