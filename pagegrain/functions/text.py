@@ -129,18 +129,45 @@ def descriptors(title: Column | str, text: Column | str) -> list[Column]:
 def occurrences(text: Column | str, needle: Column | str) -> Column:
     """Start offsets of all non-overlapping exact occurrences, left to right; none of an empty needle.
 
-    The text is split at the needle; a part's offset is what the parts and needles before it add up to.
+    The text is split at the needle; the offsets are carried along in one pass over the parts.
     """
     t, n = _c(text), _c(needle)
     parts = F.split(t, F.concat(F.lit(r"\Q"), F.replace(n, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")), -1)
-    found = F.transform(
-        F.sequence(F.lit(1), F.size(parts) - 1),
-        lambda k: F.aggregate(F.slice(parts, F.lit(1), k), F.lit(0), lambda a, p: a + F.length(p)) + (k - 1) * F.length(n),
-    )
     none = F.array().cast("array<int>")
+    start = F.struct(F.lit(0).alias("at"), none.alias("found"))
+    step = lambda a, p: F.struct((a["at"] + F.length(p) + F.length(n)).alias("at"), F.array_append(a["found"], a["at"] + F.length(p)).alias("found"))
+    found = F.aggregate(F.slice(parts, F.lit(1), F.size(parts) - 1), start, step, lambda a: a["found"])
     return F.when(t.isNull() | n.isNull() | (n == "") | (F.size(parts) < 2), none).otherwise(found)
 
 
 def nearest(starts: Column | str, proposed: Column | str) -> Column:
     """The start closest to the proposed one, the earlier of two; null if there is none."""
     return F.array_min(F.transform(_c(starts), lambda s: F.struct(F.abs(s - _c(proposed)).alias("d"), s.alias("s"))))["s"]
+
+
+def clip(x: Column | str, chars: int, redact: str | None = None) -> Column:
+    """The first so many characters, after what matches ``redact`` has been blotted out; null stays null."""
+    t = F.regexp_replace(_c(x), redact, "█") if redact else _c(x)
+    return F.substring(t, 1, chars)
+
+
+def iso_utc(ts: Column | str) -> Column:
+    """A timestamp as ISO text in UTC, to the millisecond."""
+    return F.concat(F.date_format(F.to_utc_timestamp(_c(ts), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSS"), F.lit("+00:00"))
+
+
+def zero_of(kind) -> object:
+    """The empty value of a Spark type: empty text, list or map, 0, False; a struct has one for each field."""
+    from pyspark.sql import types as T
+
+    if isinstance(kind, T.StructType):
+        return {f.name: zero_of(f.dataType) for f in kind}
+    if isinstance(kind, T.ArrayType):
+        return []
+    if isinstance(kind, T.MapType):
+        return {}
+    if isinstance(kind, T.BooleanType):
+        return False
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return 0.0
+    return 0 if isinstance(kind, T.IntegralType) else "" if isinstance(kind, T.StringType) else None

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..session import cut
+from .hierarchy import heights, links
 from .numbering import numbered
 
 
@@ -56,28 +56,43 @@ def rewrite_edges(gedges: DataFrame, temp: DataFrame) -> DataFrame:
     return got.groupBy("id").agg(pick("s").alias("source_ids"), pick("t").alias("target_ids"))
 
 
-def insert_if_absent(target: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
-    """The rows of ``new`` that the target lacks, the first of repeated ids."""
-    return new.join(target.select(key), key, "left_anti").dropDuplicates([key])
+def insert_if_absent(target: DataFrame, new: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
+    """The rows of ``new`` that the target lacks; of repeated ids the first by ``order``, without one the smallest row."""
+    rest = [F.col(c) for c in new.columns if c != key]
+    by = F.struct(*([F.col(order)] if order else []), *rest)
+    one = new.groupBy(key).agg(F.min(F.struct(by.alias("by"), F.struct(*rest).alias("row")) if rest else F.lit(0)).alias("_b"))
+    got = one.join(target.select(key), key, "left_anti")
+    return got.select(key, *[F.col(f"_b.row.{c}").alias(c) for c in new.columns if c != key]).select(*new.columns)
+
+
+def edge_spans(gedges: DataFrame, gnodes: DataFrame) -> DataFrame:
+    """Edges with mentions: the child's spans, or the parent's where the child has none but the blank one."""
+    own = gnodes.select("id", F.filter("mentions", lambda m: m["source_cluster_id"].isNotNull()).alias("_m"))
+    child, parent = own.select(F.col("id").alias("_c"), F.col("_m").alias("_mc")), own.select(F.col("id").alias("_p"), F.col("_m").alias("_mp"))
+    j = gedges.join(child, F.col("target_ids")[0] == F.col("_c"), "left").join(parent, F.col("source_ids")[0] == F.col("_p"), "left")
+    return j.withColumn("mentions", F.when(F.size("_mc") > 0, F.col("_mc")).otherwise(F.col("_mp"))).select(*gedges.columns, "mentions")
+
+
+def legacy_graph(nodes: DataFrame, pointers: DataFrame, method: str = "semantic_document_parser_v1") -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) in the older form: inclusive ends, pages read from unit ids, texts in the summary (4,000 characters of them), parents' spans on the edges.
+
+    (id, label, summary, semantic_node_type, doc_id, kind, mentions) and (id, summary, source_id, target_id, mentions).
+    """
+    page = X.page_of_unit("source_cluster_id")
+    span = F.struct("ptr_ord", "source_cluster_id", page.alias("page_number"), "start_char", "end_char", F.coalesce("verbatim_text", F.lit("")).alias("excerpt"))
+    m = pointers.groupBy("node_id").agg(F.array_sort(F.collect_list(span)).alias("mentions"))
+    said = F.substring(F.array_join(F.col("mentions.excerpt"), "\n"), 1, 4000)
+    n = nodes.join(m, "node_id", "left")
+    none = F.col("parent_id").isNull() | (F.col("parent_id") == "")
+    out = n.select(F.col("node_id").alias("id"), F.col("title").alias("label"), F.concat("title", F.lit(":\n"), F.coalesce(said, F.lit(""))).alias("summary"), F.col("node_type").alias("semantic_node_type"), F.col("document_id").alias("doc_id"), F.when(none, "document_root").alias("kind"), "mentions")
+    e = graph_edges(nodes).select(F.col("source_ids")[0].alias("source_id"), F.col("target_ids")[0].alias("target_id"), "doc_id")
+    edge = e.join(m.select(F.col("node_id").alias("source_id"), "mentions"), "source_id", "left")
+    return out, edge.select(X.stable_id("legacy-edge", F.lit("HAS_CHILD"), "source_id", "target_id", "doc_id", F.lit(method)).alias("id"), F.concat("source_id", F.lit(" -> "), "target_id", F.lit(" (HAS_CHILD)")).alias("summary"), "source_id", "target_id", "mentions")
 
 
 def digest_waves(nodes: DataFrame) -> DataFrame:
-    """(node_id, wave): 0 for leaves, else one more than the highest child; ids on or above loops have none."""
-    n = cut(nodes.select("node_id", "parent_id").distinct())
-    kids = n.where("parent_id IS NOT NULL AND parent_id <> ''").join(n.select(F.col("node_id").alias("parent_id")).distinct(), "parent_id", "left_semi")
-    left = cut(kids.groupBy(F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("open")))
-    done = n.select("node_id").distinct().join(left.select("node_id"), "node_id", "left_anti").withColumn("wave", F.lit(0))
-    out, wave, k = done, cut(done), 0
-    while left.limit(1).count():
-        ready = kids.join(wave.select("node_id"), "node_id", "left_semi").groupBy(F.col("parent_id").alias("node_id")).agg(F.count(F.lit(1)).alias("got"))
-        after = cut(left.join(ready, "node_id", "left").withColumn("open", F.col("open") - F.coalesce("got", F.lit(0))).drop("got"))
-        k += 1
-        wave = cut(after.where("open = 0").select("node_id").withColumn("wave", F.lit(k)))
-        if not wave.limit(1).count():
-            break
-        out = out.unionByName(wave)
-        left = cut(after.where("open > 0"))
-    return out
+    """(node_id, wave): 0 for leaves, else one more than the highest child; ids on loops have none."""
+    return heights(links(nodes, "node_id", "parent_id")).select(F.col("id").alias("node_id"), F.col("height").cast("int").alias("wave"))
 
 
 def digest_payload(nodes: DataFrame, verbatim: DataFrame) -> DataFrame:

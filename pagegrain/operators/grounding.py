@@ -8,8 +8,10 @@ pointer is ``lost``, or ``unknown`` where its unit doesn't exist. Null starts an
 from __future__ import annotations
 
 import difflib
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +20,9 @@ from ..functions import text as X
 from ..functions.textvec import chunks
 
 
+_DARK = re.compile(r"\S+")
+
+
 def ground(pointers: DataFrame, units: DataFrame, unit: str = "source_cluster_id") -> DataFrame:
     """The pointers with tier, new_start, new_end and new_text. ``units`` has (unit, text), a row per unit."""
     p = pointers.join(units.select(unit, F.col("text").alias("_t"), F.lit(True).alias("_known")), unit, "left")
@@ -102,30 +107,49 @@ def threshold(n: int) -> float | None:
     return None if n <= 10 else 0.99 if n <= 20 else 0.95 if n <= 50 else 0.90 if n <= 100 else 0.85
 
 
-def collapsed_find(text: str, said: str) -> tuple[int, int] | None:
-    """First occurrence when runs of white space count as one blank, mapped back to offsets of the text."""
-    need = " ".join(said.split())
-    if not need:
-        return None
-    chars, where, gap = [], [], True
-    for i, c in enumerate(text):
-        if c.isspace():
-            if not gap:
-                chars.append(" "), where.append(i)
-            gap = True
-        else:
-            chars.append(c), where.append(i)
-            gap = False
-    at = "".join(chars).find(need)
-    return None if at < 0 else (where[at], where[at + len(need) - 1])
+class Collapsed:
+    """A text with runs of white space as one blank, and the way back to its own offsets."""
+
+    def __init__(self, text: str):
+        pieces = [(m.start(), m[0]) for m in _DARK.finditer(text)]
+        self.text = " ".join(p for _, p in pieces)
+        size = np.fromiter((len(p) + 1 for _, p in pieces), np.int64, len(pieces))
+        self._at = np.cumsum(size) - size
+        self._start = np.fromiter((s for s, _ in pieces), np.int64, len(pieces))
+        self._end = self._start + size - 1
+
+    def back(self, i: int) -> int:
+        """Where character ``i`` stands in the text itself; a blank stands where its run begins."""
+        k = int(np.searchsorted(self._at, i, side="right")) - 1
+        return int(min(self._start[k] + i - self._at[k], self._end[k]))
+
+
+def collapsed_find(text: str, said: str, near: int | None = None) -> tuple[int, int] | None:
+    """The occurrence nearest to ``near`` (the first, without one) when runs of white space count as one blank, as offsets of the text."""
+    need, c = " ".join(said.split()), Collapsed(text)
+    best, at = None, c.text.find(need) if need else -1
+    while at >= 0:
+        s = c.back(at)
+        if best is None or near is not None and abs(s - near) < abs(best[0] - near):
+            best = (s, c.back(at + len(need) - 1))
+        if near is None:
+            break
+        at = c.text.find(need, at + 1)
+    return best
 
 
 def fuzzy_find(text: str, said: str) -> tuple[int, int, float] | None:
-    """Best window by common subsequence over the longer length, else the longest equal block widened to the length.
+    """Best window by common subsequence over the longer length, else the longest equal block widened to the length; both texts collapsed.
 
     Windows are three quarters, once and five quarters as long, a tenth apart; the first of equals wins. Texts of 10
     characters and fewer have none.
     """
+    c, said = Collapsed(text), " ".join(said.split())
+    got = _fuzzy(c.text, said)
+    return None if got is None else (c.back(got[0]), c.back(got[1]), got[2])
+
+
+def _fuzzy(text: str, said: str) -> tuple[int, int, float] | None:
     need = threshold(len(said))
     if need is None or not text:
         return None
@@ -134,6 +158,8 @@ def fuzzy_find(text: str, said: str) -> tuple[int, int, float] | None:
     for size in dict.fromkeys((int(0.75 * len(said)), len(said), -(-5 * len(said) // 4))):
         for s in range(0, max(1, len(text) - size + 1), step):
             piece = text[s : s + size]
+            if min(len(piece), len(said)) < need * max(len(piece), len(said)):  # too short or long to reach what is asked
+                continue
             score = lcs_length(piece, said) / max(len(piece), len(said))
             if best is None or score > best[2]:
                 best = (s, s + len(piece) - 1, score)
@@ -161,15 +187,15 @@ def partial_ratio(a: str, b: str) -> float:
 
 def fuzzy_ground(lost: DataFrame, units: DataFrame, unit: str = "source_cluster_id") -> DataFrame:
     """For pointers that no exact tier grounds: (node_id, ptr_ord, unit, fuzzy_tier, fuzzy_start, fuzzy_end, score)."""
-    rows = lost.where("verbatim_text IS NOT NULL").select("node_id", "ptr_ord", unit, "verbatim_text").join(units.select(unit, "text"), unit).where("text IS NOT NULL")
+    rows = lost.where("verbatim_text IS NOT NULL").select("node_id", "ptr_ord", unit, "verbatim_text", "start_char").join(units.select(unit, "text"), unit).where("text IS NOT NULL")
     schema = f"node_id string, ptr_ord int, {unit} string, fuzzy_tier string, fuzzy_start int, fuzzy_end int, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 out = []
-                for n, o, u, v, t in zip(*(part.column(c).to_pylist() for c in ("node_id", "ptr_ord", unit, "verbatim_text", "text"))):
-                    if got := collapsed_find(t, v):
+                for n, o, u, v, t, at in zip(*(part.column(c).to_pylist() for c in ("node_id", "ptr_ord", unit, "verbatim_text", "text", "start_char"))):
+                    if got := collapsed_find(t, v, at):
                         out.append((n, o, u, "collapsed", *got, 1.0))
                     elif hit := fuzzy_find(t, v):
                         out.append((n, o, u, "fuzzy", *hit))
@@ -177,7 +203,7 @@ def fuzzy_ground(lost: DataFrame, units: DataFrame, unit: str = "source_cluster_
                 kinds = [pa.string(), pa.int32(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], [f.split()[0] for f in schema.split(", ")])
 
-    return rows.select("node_id", "ptr_ord", unit, "verbatim_text", "text").mapInArrow(run, schema)
+    return rows.select("node_id", "ptr_ord", unit, "verbatim_text", "text", "start_char").mapInArrow(run, schema)
 
 
 def completeness(leaf_text: DataFrame, source_text: DataFrame, key: str, accept: float = 98.0) -> DataFrame:
@@ -187,6 +213,9 @@ def completeness(leaf_text: DataFrame, source_text: DataFrame, key: str, accept:
     @F.pandas_udf("double")
     def score(a, b):
         squeeze = lambda s: "".join((s or "").split())
-        return a.combine(b, lambda x, y: 100.0 if squeeze(x) == squeeze(y) else partial_ratio(squeeze(x), squeeze(y)))
+        import pandas as pd
+
+        pairs = [(squeeze(x), squeeze(y)) for x, y in zip(a, b)]
+        return pd.Series([100.0 if x == y else partial_ratio(x, y) for x, y in pairs])
 
     return both.withColumn("score", score("src", "leaf")).select(key, "score", (F.col("score") >= accept).alias("complete"))

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from ..session import cut
 from .numbering import numbered
 
-BUCKETS = 64
+#: Consecutive numbers whose owners share a window when they have one parent.
+BUCKET = 4096
 
 
 def links(df: DataFrame, node: str, parent: str) -> DataFrame:
@@ -84,8 +85,11 @@ def loops(rows: DataFrame) -> DataFrame:
 
 
 def _keyed(tree: DataFrame) -> DataFrame:
-    """(id, k, p): ids and parents as numbers: consecutive, times four, plus two for a root; the lowest bit stays free."""
-    own = cut(numbered(tree, "id", "_n").select("id", "ptr", (F.col("_n") * 4 + F.when(F.col("ptr").isNull(), 2).otherwise(0)).alias("k")))
+    """(id, k, p): ids and parents as numbers: consecutive, times four, plus two for a root; the lowest bit stays free.
+
+    Numbers follow the column ord, where there is one, and the id, and so do siblings in the tour.
+    """
+    own = cut(numbered(tree, [*(["ord"] if "ord" in tree.columns else []), "id"], "_n").select("id", "ptr", (F.col("_n") * 4 + F.when(F.col("ptr").isNull(), 2).otherwise(0)).alias("k")))
     up = own.select(F.col("id").alias("ptr"), F.col("k").alias("p"))
     return cut(own.join(up, "ptr", "left").select("id", "k", "p"))
 
@@ -98,7 +102,7 @@ def _family(keyed: DataFrame) -> DataFrame:
     over one parent's children hold a bucket each and those over its buckets a row each.
     """
     parents = keyed.where("p IS NOT NULL").select(F.col("p").alias("k"), F.lit(True).alias("inner")).distinct()
-    kids = keyed.where("p IS NOT NULL").select("k", "p", F.pmod(F.col("k") / 4, F.lit(BUCKETS)).cast("int").alias("bucket")).join(parents, "k", "left")
+    kids = keyed.where("p IS NOT NULL").select("k", "p", F.floor(F.col("k") / (4 * BUCKET)).alias("bucket")).join(parents, "k", "left")
     kids = kids.withColumn("inner", F.coalesce("inner", F.lit(False)))
     w = Window.partitionBy("p", "bucket").orderBy("k")
     ahead, behind = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
@@ -171,15 +175,11 @@ def _ranked(tour: DataFrame) -> DataFrame:
     return whole.unionByName(cur.where(end).select("e", F.col("e").alias("last"), F.col("w").alias("hops"), "d"))
 
 
-def hierarchy(rows: DataFrame, separator: str = "/") -> DataFrame:
-    """(id, root, depth, path, ancestors, entry, exit, n_descendants) of every id whose line of parents ends.
-
-    Entry and exit number the tour of the node's tree from 0. A root is an id without a parent among the rows. Ids
-    on or below a loop are in ``loops`` and not here.
-    """
-    rows = cut(rows)
+def _placed(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(nodes, keyed, family): nodes is (k, r, depth, entry, exit) of every id whose line of parents ends, r being its root's number."""
     bad = loops(rows).select("id")
-    keyed = _keyed(rows.select("id").join(bad, "id", "left_anti").join(_known(rows), "id", "left"))
+    order = [c for c in ("ord",) if c in rows.columns]
+    keyed = _keyed(rows.select("id", *order).join(bad, "id", "left_anti").join(_known(rows), "id", "left"))
     family = cut(_family(keyed))
     ranked = cut(_ranked(_tour(keyed, family)))
     odd = F.col("e").bitwiseAND(F.lit(1)) == 1
@@ -195,13 +195,59 @@ def hierarchy(rows: DataFrame, separator: str = "/") -> DataFrame:
     entry = F.coalesce(F.col("_out") + 1 + 2 * (F.col("before") - F.col("prev.before")), F.col("_in") + 1 + 2 * F.col("before"))
     leaves = placed.select("k", "r", (F.col("depth") + 1).alias("depth"), entry.alias("entry"), (entry + 1).alias("exit"))
     alone = keyed.where("p IS NULL").join(inner.select("k"), "k", "left_anti").select("k", F.col("k").alias("r"), F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("entry"), F.lit(1).cast("long").alias("exit"))
-    nodes = inner.unionByName(leaves).unionByName(alone)
+    return inner.unionByName(leaves).unionByName(alone), keyed, family
+
+
+def hierarchy(rows: DataFrame, separator: str = "/") -> DataFrame:
+    """(id, root, depth, path, ancestors, entry, exit, n_descendants) of every id whose line of parents ends.
+
+    Entry and exit number the tour of the node's tree from 0. A root is an id without a parent among the rows. Ids
+    on or below a loop are in ``loops`` and not here.
+    """
+    nodes, keyed, family = _placed(cut(rows))
     own = nodes.join(_paths(keyed, family), "k")
     return own.select(
         "id", F.get("ancestry", F.lit(0)).alias("root"), "depth", F.array_join("ancestry", separator).alias("path"), F.slice("ancestry", 1, F.size("ancestry") - 1).alias("ancestors"), "entry", "exit", ((F.col("exit") - F.col("entry") - 1) / 2).cast("long").alias("n_descendants")
     )
 
 
+def tours(rows: DataFrame) -> DataFrame:
+    """(id, root, entry, exit) of ``hierarchy`` without the paths, which are as long as the trees are deep."""
+    nodes, keyed, _ = _placed(cut(rows))
+    names = keyed.select("k", "id")
+    return nodes.join(names, "k").join(names.select(F.col("k").alias("r"), F.col("id").alias("root")), "r").select("id", "root", "entry", "exit")
+
+
+def levels(rows: DataFrame) -> DataFrame:
+    """(id, depth, wave_order): each id's depth and its place among those of the same depth, as a walk breadth-first meets them.
+
+    ``rows`` is (id, parent[, ord]); siblings and roots come by ord and id. In a level the order of a walk breadth-first is
+    that of the tour, so both follow from the entries.
+    """
+    nodes, keyed, _ = _placed(cut(rows))
+    n = numbered(nodes.join(keyed.select("k", "id"), "k").select("id", "depth", "r", "entry"), ["depth", "r", "entry"], "_n")
+    first = n.groupBy(F.col("depth").alias("_d")).agg(F.min("_n").alias("_first"))
+    return n.join(first, F.col("depth") == F.col("_d")).select("id", "depth", (F.col("_n") - F.col("_first")).alias("wave_order"))
+
+
+def heights(rows: DataFrame) -> DataFrame:
+    """(id, height): steps to the farthest descendant, 0 for childless ids; none for ids on a loop.
+
+    In round k every id tells the one 2^k above it how far down it knows; the rounds are the logarithm of the height.
+    """
+    rows = cut(rows)
+    ring = loops(rows).where("on_loop").select("id")
+    free = cut(rows.select("id", "parent").join(ring, "id", "left_anti"))
+    cur = cut(free.select("id").join(_known(free), "id", "left").withColumn("h", F.lit(0).cast("long")))
+    step = 1
+    while cur.where("ptr IS NOT NULL").limit(1).count():
+        told = cur.where("ptr IS NOT NULL").groupBy(F.col("ptr").alias("id")).agg((F.max("h") + step).alias("_h"))
+        far = cur.select(F.col("id").alias("ptr"), F.col("ptr").alias("_next"))
+        cur = cut(cur.join(told, "id", "left").join(far, "ptr", "left").select("id", F.col("_next").alias("ptr"), F.greatest("h", F.coalesce("_h", F.lit(0))).alias("h")))
+        step *= 2
+    return cur.select("id", F.col("h").alias("height"))
+
+
 def _paths(keyed: DataFrame, family: DataFrame) -> DataFrame:
     """(k, id, ancestry): the ids from the root down to each; joined over 2^k ancestors a round, for childless nodes once at the end."""
     inner = family.select(F.col("p").alias("k")).distinct()

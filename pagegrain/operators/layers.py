@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..session import cut
+from .hierarchy import levels
 from .intervals import SHARD, interval_gaps, overlaps
 
 SPAN = "struct(source_cluster_id, start_char, end_char)"
@@ -117,29 +118,31 @@ def apply_edits(layer: DataFrame, edits: DataFrame) -> DataFrame:
     return kept.select("node_id", "node_type", "title").unionByName(new)
 
 
-def frontier(nodes: DataFrame, max_depth: int | None = None, expandable: Callable = lambda: F.lit(True)) -> DataFrame:
-    """(node_id, depth, wave_order): breadth-first from the nodes without a parent, one depth a round.
+def frontier(nodes: DataFrame, max_depth: int | None = None, expandable: Callable | None = None) -> DataFrame:
+    """(node_id, depth, wave_order): breadth-first from the nodes without a parent; wave_order counts within a depth, in arrival order.
 
-    Each round pops the whole smallest depth and queues its expandable children behind it; lineage is cut each round.
-    Nodes that no root reaches aren't visited.
+    ``expandable`` gives a condition on node_type: children of other nodes aren't queued. Nodes that no root reaches aren't
+    visited. Depths come from the Euler tours of ``hierarchy``, so the rounds are the logarithm of the depth and not the depth.
     """
-    n = cut(nodes.select("node_id", "parent_id", "node_type").distinct())
-    wave = cut(n.where("parent_id IS NULL OR parent_id = ''").select("node_id", "node_type", F.lit(0).alias("depth")))
-    out, depth = wave, 0
-    while wave.limit(1).count() and (max_depth is None or depth + 1 < max_depth):
-        ready = wave.where(expandable()).select(F.col("node_id").alias("parent_id"))
-        depth += 1
-        wave = cut(n.join(ready, "parent_id").select("node_id", "node_type", F.lit(depth).alias("depth")))
-        out = out.unionByName(wave)
-    return out.select("node_id", "depth")
-
-
-def grow(roots: DataFrame, propose: Callable, review: Callable, max_depth: int = 10, max_retries: int = 3, strategies: tuple[str, ...] = ("excerpt_first", "boundary_first")) -> tuple[DataFrame, list[dict]]:
+    cols = ["node_id", F.nullif("parent_id", F.lit("")).alias("parent_id"), "node_type", (F.col("ord") if "ord" in nodes.columns else F.lit(0)).alias("ord")]
+    n = nodes.where("node_id IS NOT NULL").select(*cols).groupBy("node_id").agg(F.min("parent_id").alias("parent_id"), F.min("node_type").alias("node_type"), F.min("ord").alias("ord"))
+    may = n.where(expandable()) if expandable else n
+    up = may.select(F.col("node_id").alias("parent_id"), F.lit(True).alias("_open"))
+    # who has a parent that is unknown or isn't opened becomes its own, and so falls out with all below it
+    lost = F.col("parent_id").isNotNull() & F.col("_open").isNull()
+    rows = n.join(up, "parent_id", "left").select(F.col("node_id").alias("id"), F.when(lost, F.col("node_id")).otherwise(F.col("parent_id")).alias("parent"), "ord")
+    out = levels(rows)
+    out = out.where(F.col("depth") < max_depth) if max_depth is not None else out
+    return out.select(F.col("id").alias("node_id"), F.col("depth").cast("int").alias("depth"), "wave_order")
+
+
+def grow(roots: DataFrame, propose: Callable, review: Callable, max_depth: int = 10, max_retries: int = 3, strategies: tuple[str, ...] = ("excerpt_first", "boundary_first"), flags: Callable | None = None) -> tuple[DataFrame, list[dict]]:
     """Grow a tree layer by layer with hooks: (nodes, history).
 
     ``propose(parents, strategy, attempt)`` gives children (node_id, parent_id, node_type, title, ord); ``review(parents, children)``
     says whether the layer satisfies. An unsatisfied layer is proposed again up to max_retries times; then the strategy
-    switches, once in the whole session; after that the run fails. Children are deduplicated before they are committed.
+    switches, once in the whole session; after that the run fails. Children are deduplicated before they are committed. ``flags(parents,
+    children)`` gives ``layer_flags``: a parent whose invariants don't hold overrides the review.
     """
     nodes = cut(roots)
     layer, at, switched, history = nodes, 0, False, []
@@ -150,7 +153,7 @@ def grow(roots: DataFrame, propose: Callable, review: Callable, max_depth: int =
         while True:
             children = cut(layer_dedupe(propose(layer, strategies[at], tries), layer))
             tries += 1
-            good = bool(review(layer, children))
+            good = bool(review(layer, children)) and (flags is None or not flags(layer, children).where("NOT satisfied").limit(1).count())
             history.append({"depth": depth, "strategy": strategies[at], "attempt": tries, "satisfied": good})
             if good:
                 break

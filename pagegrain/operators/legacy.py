@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as X
+from ..session import cut
+from .grounding import fuzzy_ground, ground
 
 LEGACY_UNIT = r"^p\d+_c\d+$"
 
@@ -88,13 +90,32 @@ def unescaped(c: Column | str) -> Column:
 
 
 def same_page_first(lost: DataFrame, units: DataFrame) -> DataFrame:
-    """Exact text of lost pointers sought in the other units of the document: (node_id, ptr_ord, unit, start), the same page first, then by unit id.
+    """Exact text of lost pointers sought in the units of their document: (node_id, ptr_ord, unit, start), their own unit first, then the same page, then by unit id.
 
     Units are joined by document; only pointers that nothing else anchors take part.
     """
     doc = lambda c: F.substring_index(c, "|", 1)
     p = lost.where("verbatim_text <> ''").select("node_id", "ptr_ord", "source_cluster_id", "verbatim_text", doc(F.col("source_cluster_id")).alias("_d"), X.page_of_unit("source_cluster_id").alias("_p"))
     u = units.where("text IS NOT NULL").select(F.col("source_cluster_id").alias("unit"), "text", doc(F.col("source_cluster_id")).alias("_d"), X.page_of_unit("source_cluster_id").alias("_q"))
-    hit = p.join(u, "_d").where((F.col("unit") != F.col("source_cluster_id")) & F.contains("text", "verbatim_text"))
-    best = F.min_by(F.struct("unit", (F.instr(F.col("text"), F.col("verbatim_text")) - 1).alias("start")), F.struct((F.col("_p") != F.col("_q")).alias("far"), "unit"))
+    hit = p.join(u, "_d").where(F.contains("text", "verbatim_text"))
+    order = F.struct((F.col("unit") != F.col("source_cluster_id")).alias("other"), (F.col("_p") != F.col("_q")).alias("far"), "unit")
+    best = F.min_by(F.struct("unit", (F.instr(F.col("text"), F.col("verbatim_text")) - 1).alias("start")), order)
     return hit.groupBy("node_id", "ptr_ord", "verbatim_text").agg(best.alias("b")).select("node_id", "ptr_ord", F.col("b.unit").alias("unit"), F.col("b.start").alias("start"))
+
+
+def ladder(pointers: DataFrame, units: DataFrame) -> DataFrame:
+    """(node_id, ptr_ord, tier, unit, start_char, end_char): every pointer by the first way that anchors it.
+
+    The span as it is, or an exact text in its unit; then its collapsed or nearly equal text there; then its exact text in
+    another unit of the page, or of the document. What nothing anchors is lost and has no unit.
+    """
+    g = cut(ground(pointers, units))
+    key = ["node_id", "ptr_ord", "verbatim_text"]
+    lost = g.where(F.col("tier").isin("lost", "unknown"))
+    exact = g.where(~F.col("tier").isin("lost", "unknown")).select("node_id", "ptr_ord", "tier", F.col("source_cluster_id").alias("unit"), F.col("new_start").alias("start_char"), F.col("new_end").alias("end_char"))
+    near = cut(fuzzy_ground(lost, units))
+    fuzzy = near.select("node_id", "ptr_ord", F.col("fuzzy_tier").alias("tier"), F.col("source_cluster_id").alias("unit"), F.col("fuzzy_start").alias("start_char"), F.col("fuzzy_end").alias("end_char"))
+    rest = cut(lost.join(near.select("node_id", "ptr_ord"), ["node_id", "ptr_ord"], "left_anti"))
+    there = same_page_first(rest, units).withColumnRenamed("start", "_s")
+    last = rest.select(*key).join(there, ["node_id", "ptr_ord"], "left").select("node_id", "ptr_ord", F.when(F.col("unit").isNull(), "lost").otherwise("elsewhere").alias("tier"), "unit", F.col("_s").alias("start_char"), (F.col("_s") + F.length("verbatim_text") - 1).alias("end_char"))
+    return exact.unionByName(fuzzy).unionByName(last)

@@ -71,3 +71,9 @@ def run_ladder(pages: DataFrame, models: list[str], hook: Callable, ok: Callable
         out = got if out is None else out.unionByName(got)
         rest = got.where("status = 'failed'").select(*pages.columns)
     return out
+
+
+def progress_export(state: DataFrame, stage: str = "ocr") -> DataFrame:
+    """(document_id, page_number, image_sha256, json_path, status) of a stage's pages that have an artifact; a null hash is empty."""
+    rows = state.where((F.col("stage") == stage) & F.col("artifact_path").isNotNull())
+    return rows.select("document_id", "page_number", F.coalesce("content_hash", F.lit("")).alias("image_sha256"), F.col("artifact_path").alias("json_path"), "status")

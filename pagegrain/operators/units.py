@@ -117,3 +117,77 @@ def page_text(pages: DataFrame, rest: bool = True) -> DataFrame:
 def named_boxes(df: DataFrame, box: str = "box_2d") -> DataFrame:
     """[y_min, x_min, y_max, x_max] as named columns."""
     return df.withColumns({n: F.col(box)[i].cast("double") for i, n in enumerate(("bb_y_min", "bb_x_min", "bb_y_max", "bb_x_max"))})
+
+
+def parser_input(pages: DataFrame) -> DataFrame:
+    """(document_id, pdf_page_num, printed_page_number, contains_table, texts, objects): pages as the parser reads them.
+
+    Units without a number get their place on the page, texts first; objects say description, else address, else image-region.
+    """
+    n = F.coalesce(F.size("OCR_text_clusters"), F.lit(0))
+    text = F.transform("OCR_text_clusters", lambda o, i: F.struct(F.coalesce(o["text"], F.lit("")).alias("text"), F.coalesce(o["cluster_number"], i).alias("cluster_number")))
+    thing = F.transform("non_text_objects", lambda o, i: F.struct(F.coalesce(F.nullif(o["description"], F.lit("")), F.lit("image-region")).alias("description"), F.coalesce(o["cluster_number"], i + n).alias("cluster_number")))
+    cols = ["document_id", "pdf_page_num", "printed_page_number", F.coalesce("contains_table", F.lit(False)).alias("contains_table")]
+    return pages.select(*cols, F.coalesce(text, F.array().cast("array<struct<text:string,cluster_number:int>>")).alias("texts"), F.coalesce(thing, F.array().cast("array<struct<description:string,cluster_number:int>>")).alias("objects")).distinct()
+
+
+def primary(collections: DataFrame, order: str) -> DataFrame:
+    """The first collection, as one row."""
+    return collections.orderBy(order).limit(1)
+
+
+def embedding_spaces(units: DataFrame) -> DataFrame:
+    """(collection_id, spaces): the default space of every collection, and image where one of its units is one."""
+    g = units.groupBy("collection_id").agg(F.bool_or(F.col("modality") == "image_region").alias("_i"))
+    return g.select("collection_id", F.when(F.col("_i"), F.array(F.lit("default_text"), F.lit("image"))).otherwise(F.array(F.lit("default_text"))).alias("spaces"))
+
+
+def response_checks(objects: DataFrame) -> DataFrame:
+    """(record_id, ids_ok): no number comes twice among a response's text boxes and objects; ``objects`` are those of ``nested.json_objects``."""
+    return objects.groupBy("record_id").agg((F.count(F.lit(1)) == F.countDistinct("object_id")).alias("ids_ok"))
+
+
+def refine_wanted(pages: DataFrame, least: int = 5) -> DataFrame:
+    """(page_id, wanted): pages with a table and enough clusters that no refined version was made of yet."""
+    n = F.coalesce(F.size("OCR_text_clusters"), F.lit(0))
+    return pages.select("page_id", (F.col("refined_version").isNull() & F.coalesce("contains_table", F.lit(False)) & (n >= least)).alias("wanted")).distinct()
+
+
+def text_kept(before: list[str | None], after: list[str | None]) -> bool:
+    """Does the refined text hold every cluster's text, nearly, as its length asks? Blank clusters don't count."""
+    from .grounding import partial_ratio
+
+    whole = " ".join(x or "" for x in after)
+    need = lambda n: 100 if n < 30 else 98 if n < 60 else 95
+    return all(b in whole or partial_ratio(b, whole) >= need(len(b)) for b in (x or "" for x in before) if b.strip())
+
+
+def refine_gate(pages: DataFrame) -> DataFrame:
+    """(page_id, preserved) of the pages with a refined version: is no text of the clusters lost in it?"""
+
+    @F.pandas_udf("boolean")
+    def kept(before, after):
+        import pandas as pd
+
+        return pd.Series([text_kept(list(b if b is not None else []), list(a if a is not None else [])) for b, a in zip(before, after)])
+
+    rows = pages.where("refined_version IS NOT NULL").select("page_id", F.col("OCR_text_clusters.text").alias("_b"), F.col("refined_version.OCR_text_clusters.text").alias("_a")).distinct()
+    return rows.select("page_id", kept("_b", "_a").alias("preserved"))
+
+
+def image_payloads(df: DataFrame) -> DataFrame:
+    """Adds file_name and content: what is to be stored for each page image; rows are (page_number, image_path, image_bytes_b64, filename).
+
+    An image with a path keeps its suffix and is read from there later (content is null); one with content is decoded; one with
+    neither fails. Pages without a number can't be told apart and fail too.
+    """
+    path, b64 = F.nullif("image_path", F.lit("")), F.nullif("image_bytes_b64", F.lit(""))
+    suffix = F.regexp_extract(path, r"(\.[^./]+)$", 1)
+    page = F.concat(F.lit("page_"), F.coalesce(F.col("page_number").cast("string"), F.raise_error(F.lit("an image without a page number"))))
+    name = F.when(path.isNotNull(), F.concat(page, F.coalesce(F.nullif(suffix, F.lit("")), F.lit(".png")))).when(b64.isNotNull(), F.coalesce("filename", F.concat(page, F.lit(".png")))).otherwise(F.raise_error(F.lit("an image needs a path or its content")))
+    return df.withColumns({"file_name": name, "content": F.when(path.isNull(), F.unbase64(b64))})
+
+
+def rasterised(files: DataFrame, hook, schema: str = "path string, page_number int, content binary") -> DataFrame:
+    """Page images of files (path, content) by ``hook``, which gets and gives pandas batches: there is no PDF reader here."""
+    return files.select("path", "content").mapInPandas(lambda parts: (hook(p) for p in parts), schema)

@@ -136,12 +136,57 @@ def canonical_files(nodes: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def non_duplicates_null_aware(nodes: DataFrame, ledger: DataFrame) -> DataFrame:
-    """NOT IN as SQL has it: one null hash in the ledger leaves nothing, and a node's own null hash is never sure to be absent."""
-    nulls = ledger.where("file_hash IS NULL").limit(1)
-    any_row = ledger.limit(1)
-    kept = nodes.join(ledger.select("file_hash").distinct(), "file_hash", "left_anti")
-    kept = kept.where("file_hash IS NOT NULL") if any_row.count() else kept
-    return kept.join(nulls.select(F.lit(1).alias("_n")), F.lit(True), "left_anti")  # at most one row
+    """NOT IN as SQL has it: one null hash in the ledger leaves nothing, and a node's own null hash is never sure to be absent.
+
+    An anti join on the hash and one row that says what the ledger holds, so no side of it has to fit a broadcast.
+    """
+    held = ledger.agg((F.count(F.lit(1)) > 0).alias("_any"), F.coalesce(F.bool_or(F.col("file_hash").isNull()), F.lit(False)).alias("_null"))
+    kept = nodes.join(ledger.where("file_hash IS NOT NULL").select("file_hash").distinct(), "file_hash", "left_anti")
+    return kept.join(F.broadcast(held)).where(~F.col("_any") | (~F.col("_null") & F.col("file_hash").isNotNull())).drop("_any", "_null").select(*nodes.columns)  # one row
+
+
+def chain_list(positions: DataFrame) -> DataFrame:
+    """(chain_id, n_nodes, head_id, tail_id) of every chain."""
+    return positions.groupBy("chain_id").agg(F.count(F.lit(1)).alias("n_nodes"), F.min_by("id", F.struct("position", "id")).alias("head_id"), F.max_by("id", F.struct("position", "id")).alias("tail_id"))
+
+
+def delete_chains(nodes: DataFrame, gone: DataFrame) -> DataFrame:
+    """The nodes without those of the chains; their page hashes stay where they are."""
+    return nodes.join(gone.select("chain_id").distinct(), "chain_id", "left_anti")
+
+
+def apply_additions(chains: DataFrame, additions: DataFrame) -> DataFrame:
+    """(chain_id, file_path, position) after the additions (seq, file_path, prev, next) to chains of the same form.
+
+    A file goes behind ``prev``, else before ``next``; without both it begins a chain of its own, numbered on from the highest.
+    Names stand for the first place that has them. A file may lean on one added with it; files whose neighbour never turns up are
+    left out. Of several files at one place the earlier stands nearer to the neighbour.
+    """
+    from .session import within
+
+    start = chains.agg(F.coalesce(F.max("chain_id"), F.lit(0)).alias("_top"))
+    own = additions.where("prev IS NULL AND next IS NULL").withColumn("_one", F.lit(1))
+    own = within(own, "_one", ["seq"], "_n").join(F.broadcast(start)).select((F.col("_top") + 1 + F.col("_n")).alias("chain_id"), "file_path", F.lit(0).cast("long").alias("position"))  # one row
+    now = cut(chains.select("chain_id", "file_path", F.col("position").cast("long").alias("position")).unionByName(own))
+    rest = cut(additions.where("prev IS NOT NULL OR next IS NOT NULL"))
+    while rest.limit(1).count():
+        place = now.groupBy(F.col("file_path").alias("_at")).agg(F.min(F.struct("chain_id", "position")).alias("_p"))
+        got = cut(rest.join(place, F.coalesce("prev", "next") == F.col("_at")))
+        if not got.limit(1).count():
+            break
+        after = F.col("prev").isNotNull()
+        # places between two old ones: behind one in the order of arrival, before one in the order against it
+        new = got.select(F.col("_p.chain_id").alias("chain_id"), "file_path", F.col("_p.position").alias("position"), F.when(after, 2).otherwise(0).alias("_side"), F.col("seq").alias("_seq"))
+        both = now.withColumns({"_side": F.lit(1), "_seq": F.lit(0).cast("long")}).unionByName(new.withColumn("_seq", F.col("_seq").cast("long")))
+        now = cut(within(both, "chain_id", ["position", "_side", "_seq", "file_path"], "_n").select("chain_id", "file_path", F.col("_n").alias("position")))
+        rest = cut(rest.join(got.select("seq"), "seq", "left_anti"))
+    return now
+
+
+def backfill(nodes: DataFrame, stored: DataFrame, hook, suffix: str = ".pdf") -> DataFrame:
+    """Page hashes with those of the files that have none yet, as ``hook`` computes them for (node_id, file_path): PDF files only."""
+    missing = nodes.where(F.lower("file_path").endswith(suffix)).select(F.col("id").alias("node_id"), "file_path").distinct().join(stored.select("node_id"), "node_id", "left_anti")
+    return replace_hashes(stored, hook(missing).select(*stored.columns))
 
 
 def folder_versions(files: DataFrame) -> DataFrame:

@@ -124,6 +124,21 @@ sp AS (SELECT node_id, list(source_cluster_id || ':' || start_char || ':' || end
 m AS (SELECT n.*, list_sort(list_distinct(coalesce(sp.spans, []))) AS spans FROM n LEFT JOIN sp USING (node_id))"""
 
 
+_GROUND = f"""
+WITH RECURSIVE {_UNITS}, {_PTR},
+g0 AS (SELECT q.*, u.source_cluster_id IS NOT NULL AS known, coalesce(u.text, '') AS text, coalesce(verbatim_text, '') AS v, CASE WHEN end_char >= 100000000 THEN -1 ELSE end_char END AS en FROM q LEFT JOIN u USING (source_cluster_id)),
+g1 AS (SELECT *, CASE WHEN en = -1 THEN length(text) ELSE greatest(en + 1, 0) END AS past FROM g0),
+g2 AS (SELECT *, CASE WHEN past > greatest(start_char, 0) THEN substring(text, greatest(start_char, 0) + 1, past - greatest(start_char, 0)) ELSE '' END AS actual FROM g1),
+g3 AS (SELECT *, {_squeeze("actual")} AS a, {_squeeze("v")} AS w FROM g2),
+g4 AS (SELECT *, CASE WHEN NOT known THEN 'unknown' WHEN start_char IS NULL OR end_char IS NULL THEN 'lost' WHEN a = w THEN 'same' WHEN actual <> '' AND (contains(w, a) OR contains(a, w)) THEN 'contain' ELSE 'open' END AS t0 FROM g3),
+occ AS (SELECT node_id, ptr_ord, source_cluster_id, start_char, v, text, strpos(text, v) - 1 AS pos FROM g4 WHERE t0 = 'open' AND v <> '' AND strpos(text, v) > 0
+  UNION ALL SELECT node_id, ptr_ord, source_cluster_id, start_char, v, text, pos + length(v) + strpos(substring(text, CAST(pos + length(v) + 1 AS BIGINT)), v) - 1 FROM occ WHERE strpos(substring(text, CAST(pos + length(v) + 1 AS BIGINT)), v) > 0),
+best AS (SELECT node_id, ptr_ord, source_cluster_id, start_char, v, pos FROM (SELECT *, row_number() OVER (PARTITION BY node_id, ptr_ord, source_cluster_id, start_char, v ORDER BY abs(pos - start_char), pos) AS k FROM occ) WHERE k = 1)"""
+
+
+_CHAINS = "WITH RECURSIVE f AS (SELECT DISTINCT id, chain_id, prev_id FROM nodes), w AS (SELECT chain_id, id, 0 AS position FROM f WHERE prev_id IS NULL OR NOT EXISTS (SELECT 1 FROM f g WHERE g.id = f.prev_id AND g.chain_id = f.chain_id) UNION ALL SELECT f.chain_id, f.id, w.position + 1 FROM f JOIN w ON f.prev_id = w.id AND f.chain_id = w.chain_id) "
+
+
 def _chars(x: str) -> str:
     return f"list_sum(list_transform(string_split(coalesce({x}, ''), ''), lambda c: CASE WHEN c = '' THEN 0 ELSE unicode(c) END))"
 
@@ -149,6 +164,14 @@ g AS (SELECT tree, id, id AS root, 0 AS depth, id AS path FROM l WHERE parent IS
   UNION ALL SELECT l.tree, l.id, g.root, g.depth + 1, g.path || '/' || l.id FROM l JOIN g ON l.tree = g.tree AND l.parent = g.id),
 c AS (SELECT a.tree, a.id, count(*) - 1 AS n FROM g a JOIN g b ON a.tree = b.tree AND a.root = b.root AND starts_with(b.path || '/', a.path || '/') GROUP BY 1, 2)
 SELECT g.tree, g.id AS member_id, g.root, CAST(g.depth AS BIGINT) AS depth, g.path, c.n AS n_descendants FROM g JOIN c USING (tree, id)""",
+        "p3_tours": """
+WITH RECURSIVE l AS (SELECT 'node' AS tree, node_id AS id, min(nullif(parent_id, '')) AS parent FROM semantic_nodes GROUP BY 2
+  UNION ALL SELECT 'run', run_id, min(nullif(parent_run_id, '')) FROM ingest_events WHERE run_id IS NOT NULL GROUP BY 2),
+g AS (SELECT tree, id, id AS root, 0 AS depth, id AS path, [id] AS way FROM l WHERE parent IS NULL OR (tree, parent) NOT IN (SELECT (tree, id) FROM l)
+  UNION ALL SELECT l.tree, l.id, g.root, g.depth + 1, g.path || '/' || l.id, list_append(g.way, l.id) FROM l JOIN g ON l.tree = g.tree AND l.parent = g.id),
+c AS (SELECT a.tree, a.id, count(*) - 1 AS n FROM g a JOIN g b ON a.tree = b.tree AND a.root = b.root AND starts_with(b.path || '/', a.path || '/') GROUP BY 1, 2),
+e AS (SELECT g.tree, g.id, g.root, 2 * (row_number() OVER (PARTITION BY g.tree, g.root ORDER BY way) - 1) - depth AS entry, n FROM g JOIN c USING (tree, id))
+SELECT tree, id AS member_id, root, entry, entry + 2 * n + 1 AS exit FROM e""",
         "p3_descendants": """
 WITH RECURSIVE l AS (SELECT 'node' AS tree, node_id AS id, min(nullif(parent_id, '')) AS parent FROM semantic_nodes GROUP BY 2
   UNION ALL SELECT 'run', run_id, min(nullif(parent_run_id, '')) FROM ingest_events WHERE run_id IS NOT NULL GROUP BY 2),
@@ -240,11 +263,55 @@ SELECT node_id, parent_id FROM z WHERE k = 1""",
         "mirror_guard": f"WITH {_SPANS}, pl AS (SELECT DISTINCT node_type, {title('title')} AS t, spans FROM m WHERE parent_id IS NULL OR parent_id = '' OR node_type = 'SECTION') SELECT node_id FROM m WHERE node_type NOT IN ('PAGE', 'DOCUMENT_ROOT') AND NOT EXISTS (SELECT 1 FROM pl WHERE pl.node_type = m.node_type AND pl.t IS NOT DISTINCT FROM {title('m.title')} AND pl.spans = m.spans)",
         "type_guard": f"WITH {_TREE} SELECT c.node_id, CASE WHEN c.node_type = 'KEY_VALUE_PAIR' AND p.node_type = 'KEY_VALUE_PAIR' THEN 'TEXT_FLOW' ELSE c.node_type END AS node_type FROM n c JOIN n p ON c.parent_id = p.node_id WHERE c.parent_id <> ''",
         "cud_apply": f"WITH {_TREE} SELECT node_id, node_type, CASE WHEN node_type = 'SECTION' THEN '[edited] ' || coalesce(title, '') ELSE title END AS title FROM n WHERE node_type <> 'TERM' UNION ALL SELECT DISTINCT document_id || '|summary', 'TEXT_FLOW', 'Summary' FROM n WHERE document_id IS NOT NULL",
-        "frontier_bfs": f"WITH RECURSIVE {_TREE}, w AS (SELECT node_id, 0 AS depth FROM n WHERE parent_id IS NULL OR parent_id = '' UNION ALL SELECT n.node_id, w.depth + 1 FROM n JOIN w ON n.parent_id = w.node_id) SELECT node_id, depth FROM w",
+        "frontier_bfs": f"""
+WITH RECURSIVE {_TREE}, w AS (SELECT node_id, 0 AS depth, [lpad(CAST(ord AS VARCHAR), 12, '0') || node_id] AS way FROM n WHERE parent_id IS NULL OR parent_id = '' UNION ALL SELECT n.node_id, w.depth + 1, list_append(w.way, lpad(CAST(n.ord AS VARCHAR), 12, '0') || n.node_id) FROM n JOIN w ON n.parent_id = w.node_id)
+SELECT node_id, depth, row_number() OVER (PARTITION BY depth ORDER BY way) - 1 AS wave_order FROM w""",
         "graph_nodes": f"""
 WITH {_TREE}, {_PTR}, sp AS (SELECT node_id, count(*) AS k, arg_min(greatest(end_char + 1, start_char + greatest(length(coalesce(verbatim_text, '')), 1)), (ptr_ord, source_cluster_id, start_char)) AS f FROM q WHERE start_char IS NOT NULL AND end_char IS NOT NULL GROUP BY 1)
 SELECT node_id AS id, title AS label, node_type AS semantic_node_type, document_id AS doc_id, coalesce(k, 1) AS n_spans, coalesce(f, 1) AS first_end FROM n LEFT JOIN sp USING (node_id)""",
         "graph_edges": f"WITH {_TREE} SELECT sha256('edge' || chr(31) || coalesce(nullif(parent_id, ''), 'root') || chr(31) || coalesce(nullif(node_id, ''), 'root')) AS id, 'HAS_CHILD' AS relation, parent_id AS source_id, node_id AS target_id, document_id AS doc_id FROM (SELECT DISTINCT node_id, parent_id, document_id FROM n) WHERE parent_id IN (SELECT node_id FROM n)",
+        "init_session": f"WITH {_UNITS} SELECT regexp_extract(source_cluster_id, '^(.*)\\|p\\d+_t\\d+$', 1) || '|root' AS node_id, CAST(row_number() OVER (PARTITION BY regexp_extract(source_cluster_id, '^(.*)\\|p\\d+_t\\d+$', 1) ORDER BY source_cluster_id) - 1 AS INT) AS ptr_ord, source_cluster_id, -1 AS end_char, length(coalesce(text, '')) AS n_chars FROM u",
+        "page_units_order": """
+WITH s AS (SELECT DISTINCT document_id, pdf_page_num, OCR_text_clusters, non_text_objects FROM split_pages), t AS (SELECT document_id AS d, pdf_page_num AS p, unnest(OCR_text_clusters) AS o FROM s), i AS (SELECT document_id AS d, pdf_page_num AS p, unnest(non_text_objects) AS o FROM s),
+u AS (SELECT d, p, o.cluster_number AS c, d || '|p' || p || '_t' || o.cluster_number AS unit_id FROM t UNION ALL SELECT d, p, o.cluster_number, d || '|p' || p || '_i' || o.cluster_number FROM i)
+SELECT unit_id, row_number() OVER (PARTITION BY d ORDER BY p, c, unit_id) - 1 AS place FROM u""",
+        "parser_inputs": """
+WITH s AS (SELECT DISTINCT document_id, pdf_page_num, printed_page_number, coalesce(contains_table, false) AS contains_table, coalesce(OCR_text_clusters, []) AS t, coalesce(non_text_objects, []) AS o FROM split_pages),
+z AS (SELECT DISTINCT document_id, pdf_page_num, printed_page_number, contains_table, list_transform(t, lambda x: coalesce(x.text, '')) AS tt, list_transform(t, lambda x, i: coalesce(x.cluster_number, i - 1)) AS tn,
+  list_transform(o, lambda x: coalesce(nullif(x.description, ''), 'image-region')) AS oo, list_transform(o, lambda x, i: coalesce(x.cluster_number, i - 1 + len(t))) AS oc FROM s)
+SELECT document_id, pdf_page_num, contains_table, md5(array_to_string(tt, '|')) AS texts, array_to_string(tn, '|') AS text_numbers, array_to_string(oo, '|') AS objects, array_to_string(oc, '|') AS object_numbers FROM z""",
+        "primary_collection": "SELECT min(collection_id) AS collection_id FROM documents",
+        "embedding_spaces": "SELECT document_id AS collection_id, CASE WHEN bool_or(coalesce(len(non_text_objects), 0) > 0) THEN 'default_text,image' ELSE 'default_text' END AS spaces FROM split_pages WHERE coalesce(len(OCR_text_clusters), 0) + coalesce(len(non_text_objects), 0) > 0 GROUP BY 1",
+        "refine_wanted": "SELECT DISTINCT page_id, refined_version IS NULL AND coalesce(contains_table, false) AND coalesce(len(OCR_text_clusters), 0) >= 5 AS wanted FROM split_pages",
+        "prepare_frontier": f"""
+WITH {_TREE}, {_PTR}, c AS (SELECT node_id, count(*) AS k FROM q GROUP BY 1), z AS (SELECT document_id AS collection_id, node_id AS parent_node_id, level_from_root AS depth, CAST(ord AS BIGINT) AS "order", title, min(level_from_root) OVER (PARTITION BY document_id) AS low FROM n WHERE document_id IS NOT NULL AND level_from_root IS NOT NULL)
+SELECT collection_id, parent_node_id, depth, "order", coalesce(title, parent_node_id) AS title, coalesce(k, 0) AS n_pointers, 0 AS retry_count FROM z LEFT JOIN c ON c.node_id = parent_node_id WHERE depth = low""",
+        "enqueue_next": f"""
+WITH {_TREE}, z AS (SELECT document_id AS c, node_id AS p, level_from_root AS depth, CAST(ord AS BIGINT) AS o, min(level_from_root) OVER (PARTITION BY document_id) AS low FROM n WHERE document_id IS NOT NULL AND level_from_root IS NOT NULL),
+r AS (SELECT c AS collection_id, p AS parent_node_id, depth, o AS "order" FROM z WHERE depth > low), m AS (SELECT collection_id, max("order") + 1 AS last FROM r GROUP BY 1),
+k AS (SELECT z.c, n.node_id, z.depth + 1 AS depth, row_number() OVER (PARTITION BY z.c ORDER BY z.o, n.ord, n.node_id) - 1 AS i FROM z JOIN n ON n.parent_id = z.p WHERE z.depth = low AND z.depth + 1 < 3 AND n.node_type <> 'KEY_VALUE_PAIR')
+SELECT * FROM r UNION ALL SELECT c, node_id, k.depth, i + coalesce(last, 0) FROM k LEFT JOIN m ON m.collection_id = k.c""",
+        "commit_layer": f"""
+WITH {_TREE}, z AS (SELECT DISTINCT node_id, nullif(parent_id, '') AS parent_id, node_type, level_from_root FROM n), t AS (SELECT * FROM z WHERE node_type IN ('PAGE', 'DOCUMENT_ROOT'))
+SELECT node_id, level_from_root FROM t UNION ALL SELECT c.node_id, u.l + 1 FROM z c JOIN (SELECT node_id, any_value(level_from_root) AS l FROM t GROUP BY 1) u ON u.node_id = c.parent_id WHERE c.node_type NOT IN ('PAGE', 'DOCUMENT_ROOT') AND c.node_id NOT IN (SELECT node_id FROM t)""",
+        "prompt_view": f"""
+WITH {_TREE}, {_PTR}, v AS (SELECT node_id, list(left(coalesce(verbatim_text, ''), 120) || CASE WHEN length(coalesce(verbatim_text, '')) > 120 THEN '…' ELSE '' END ORDER BY ptr_ord, source_cluster_id, start_char NULLS FIRST, end_char NULLS FIRST)[1:2] AS l FROM q GROUP BY 1)
+SELECT parent_id, row_number() OVER (PARTITION BY parent_id ORDER BY ord, n.node_id) - 1 AS local_id, n.node_id, coalesce(len(l), 0) AS n_shown, md5(array_to_string(l, '|')) AS shown FROM n LEFT JOIN v USING (node_id) WHERE parent_id <> ''""",
+        "unmatched_ids": "SELECT node_id, 'extra' AS side FROM (SELECT DISTINCT node_id FROM node_pointers WHERE node_id IS NOT NULL AND node_id NOT IN (SELECT node_id FROM semantic_nodes WHERE node_id IS NOT NULL)) UNION ALL SELECT node_id, 'missing' FROM (SELECT DISTINCT node_id FROM semantic_nodes WHERE node_id IS NOT NULL AND node_id NOT IN (SELECT node_id FROM node_pointers WHERE node_id IS NOT NULL))",
+        "cud_loop": f"""
+WITH {_TREE}, l AS (SELECT document_id AS c, node_id, node_type, title, row_number() OVER (PARTITION BY document_id ORDER BY ord, node_id) AS i FROM n WHERE document_id IS NOT NULL AND parent_id <> ''),
+f AS (SELECT c, min(i) AS i FROM l WHERE node_type = 'SECTION' AND title IS NOT NULL GROUP BY c, {title('title')}), z AS (SELECT l.c, l.node_type, CASE WHEN f.i IS NOT NULL THEN 1 ELSE 0 END AS e FROM l LEFT JOIN f ON f.c = l.c AND f.i = l.i WHERE l.node_type <> 'TERM' UNION ALL SELECT DISTINCT c, 'TEXT_FLOW', 0 FROM l WHERE node_type <> 'TERM')
+SELECT c AS collection_id, node_type, count(*) AS n, sum(e) AS n_edited FROM z GROUP BY 1, 2""",
+        "edge_spans": f"""
+WITH {_TREE}, {_PTR}, sp AS (SELECT node_id, count(*) AS k FROM q WHERE start_char IS NOT NULL AND end_char IS NOT NULL AND source_cluster_id IS NOT NULL GROUP BY 1)
+SELECT sha256('edge' || chr(31) || coalesce(nullif(e.parent_id, ''), 'root') || chr(31) || coalesce(nullif(e.node_id, ''), 'root')) AS id, coalesce(a.k, b.k, 0) AS n_spans FROM (SELECT DISTINCT node_id, parent_id, document_id FROM n) e LEFT JOIN sp a ON a.node_id = e.node_id LEFT JOIN sp b ON b.node_id = e.parent_id WHERE parent_id IN (SELECT node_id FROM n)""",
+        "legacy_graph_nodes": f"""
+WITH {_TREE}, {_PTR}, sp AS (SELECT node_id, count(*) AS k, left(string_agg(coalesce(verbatim_text, ''), chr(10) ORDER BY ptr_ord, source_cluster_id, start_char NULLS FIRST, end_char NULLS FIRST), 4000) AS t, list(source_cluster_id ORDER BY ptr_ord, source_cluster_id, start_char NULLS FIRST)[1] AS u FROM q GROUP BY 1)
+SELECT node_id AS id, CASE WHEN parent_id IS NULL OR parent_id = '' THEN 'document_root' END AS kind, md5(title || ':' || chr(10) || coalesce(t, '')) AS summary, coalesce(k, 0) AS n_spans, CAST(nullif(regexp_extract(u, '(?:^|\\|)p(\\d+)_', 1), '') AS INT) AS first_page FROM n LEFT JOIN sp USING (node_id)""",
+        "legacy_graph_edges": f"""
+WITH {_TREE}, {_PTR}, sp AS (SELECT node_id, count(*) AS k FROM q GROUP BY 1)
+SELECT sha256('legacy-edge' || chr(31) || 'HAS_CHILD' || chr(31) || parent_id || chr(31) || e.node_id || chr(31) || coalesce(nullif(document_id, ''), 'root') || chr(31) || 'semantic_document_parser_v1') AS id, parent_id || ' -> ' || e.node_id || ' (HAS_CHILD)' AS summary, coalesce(k, 0) AS n_spans FROM (SELECT DISTINCT node_id, parent_id, document_id FROM n) e LEFT JOIN sp ON sp.node_id = e.parent_id WHERE parent_id IN (SELECT node_id FROM n)""",
+        "children_in_order": f"WITH {_TREE} SELECT parent_id, string_agg(node_id, ',' ORDER BY ord, node_id) AS children FROM n WHERE parent_id <> '' GROUP BY 1",
         "graph_roundtrip": f"WITH {_TREE} SELECT node_id, CASE WHEN parent_id IN (SELECT node_id FROM n) THEN parent_id END AS parent_id, node_type, title, level_from_root FROM n",
         "temp_ids": "SELECT node_id AS id, 'nn:' || row_number() OVER (ORDER BY node_id) AS temp_id FROM (SELECT DISTINCT node_id FROM semantic_nodes)",
         "temp_edges": f"""
@@ -274,16 +341,38 @@ SELECT chain_id, id, row_number() OVER c - 1 AS position, lag(id) OVER c AS prev
         "exact_duplicates": "WITH f AS (SELECT DISTINCT id, file_hash FROM nodes WHERE file_hash IS NOT NULL), g AS (SELECT file_hash, min(id) AS m FROM f GROUP BY 1) SELECT file_hash, id, m AS duplicate_of FROM f JOIN g USING (file_hash) WHERE id <> m",
         "duplicate_texts": "WITH g AS (SELECT text, min(doc_id) AS m FROM documents WHERE text IS NOT NULL GROUP BY 1) SELECT doc_id, m AS first_id FROM documents JOIN g USING (text) WHERE doc_id <> m",
         "canonical_files": f"WITH {_LEDGER} SELECT DISTINCT id, file_path FROM f WHERE file_path NOT IN (SELECT file_name FROM k WHERE file_name IS NOT NULL)",
-        "non_duplicate_hash": f"WITH {_LEDGER} SELECT DISTINCT id, file_hash FROM f WHERE file_hash NOT IN (SELECT file_hash FROM k)",
+        "non_duplicate_hash": f"""
+WITH {_LEDGER}, d AS (SELECT DISTINCT id, file_hash FROM f)
+SELECT 'as it is' AS ledger, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM d WHERE file_hash NOT IN (SELECT file_hash FROM k)
+UNION ALL SELECT 'with a null', count(*), CAST(sum(id) AS BIGINT) FROM d WHERE file_hash NOT IN (SELECT file_hash FROM k UNION ALL SELECT NULL)
+UNION ALL SELECT 'empty', count(*), CAST(sum(id) AS BIGINT) FROM d WHERE file_hash NOT IN (SELECT file_hash FROM k WHERE false)""",
         "canonical_page_stats": f"WITH {_LEDGER}, {_HASH}, v AS (SELECT DISTINCT id, chain_id, file_path FROM nodes WHERE file_path NOT IN (SELECT file_name FROM k WHERE file_name IS NOT NULL)) SELECT chain_id, count(*) AS n_files, CAST(sum(n) AS BIGINT) AS n_pages, max(n) AS most_pages FROM v JOIN hl ON hl.node_id = v.id GROUP BY 1",
-        "missing_in_chain": "SELECT DISTINCT file_path FROM page_hashes WHERE NOT EXISTS (SELECT 1 FROM nodes WHERE nodes.file_path = page_hashes.file_path)",
+        "missing_in_chain": "SELECT DISTINCT file_path FROM nodes WHERE file_path NOT IN (SELECT file_path FROM nodes WHERE file_hash IS NOT NULL)",
+        "chain_list": _CHAINS + "SELECT chain_id, count(*) AS n_nodes, arg_min(id, (position, id)) AS head_id, arg_max(id, (position, id)) AS tail_id FROM w GROUP BY 1",
+        "chain_apply": _CHAINS.rstrip() + """,
+z AS (SELECT w.chain_id, file_path, position FROM w JOIN (SELECT DISTINCT id, file_path FROM nodes) USING (id)), hd AS (SELECT chain_id AS c, min(file_path) AS p FROM z WHERE position = 0 GROUP BY 1),
+rf AS (SELECT hd.c, arg_min(z.chain_id, (z.chain_id, z.position)) AS chain_id, arg_min(z.position, (z.chain_id, z.position)) AS position FROM hd JOIN z ON z.file_path = hd.p GROUP BY 1),
+y AS (SELECT chain_id, file_path, position AS a, 0 AS b, 0 AS d FROM z UNION ALL SELECT chain_id, 'behind/' || c, position, c * 2, 1 FROM rf UNION ALL SELECT chain_id, 'before/' || c, position, c * 2, 0.5 FROM rf)
+SELECT chain_id, file_path, row_number() OVER (PARTITION BY chain_id ORDER BY a, d > 0, b, d, file_path) - 1 AS position FROM y UNION ALL SELECT (SELECT max(chain_id) + 1 FROM z), 'own/0', 0""",
+        "backfill_needs": """
+WITH h AS (SELECT DISTINCT node_id, page_num, page_hash FROM page_hashes WHERE page_num > 0), m AS (SELECT DISTINCT id AS node_id FROM nodes WHERE lower(file_path) LIKE '%.pdf' AND id NOT IN (SELECT node_id FROM h WHERE node_id IS NOT NULL)),
+a AS (SELECT node_id, page_num FROM h WHERE node_id NOT IN (SELECT node_id FROM m) OR node_id IS NULL UNION ALL SELECT node_id, 0 FROM m) SELECT node_id, count(*) AS n_rows, min(page_num) AS first_page FROM a GROUP BY 1""",
+        "duplicate_names": "SELECT name, count(*) AS n FROM (SELECT DISTINCT id, file_path, split_part(file_path, '/', -1) AS name FROM nodes) GROUP BY 1 HAVING count(*) > 1",
+        "gapped_subsequence": f"""
+WITH RECURSIVE {_HASH}, q AS (SELECT node_id, list(page_hash ORDER BY page_num) AS s FROM h GROUP BY 1), pr AS (SELECT DISTINCT id AS small_id, next_id AS big_id FROM nodes WHERE next_id IS NOT NULL),
+j AS (SELECT small_id, big_id, coalesce(x.s, []) AS a, coalesce(y.s, []) AS b FROM pr LEFT JOIN q x ON x.node_id = small_id LEFT JOIN q y ON y.node_id = big_id),
+w AS (SELECT small_id, big_id, a, b, 0 AS i, 0 AS k FROM j UNION ALL SELECT small_id, big_id, a, b, i + 1, CASE WHEN k < len(a) AND a[k + 1] = b[i + 1] THEN k + 1 ELSE k END FROM w WHERE i < len(b))
+SELECT small_id, big_id, max(k) = any_value(len(a)) AS is_subsequence FROM w GROUP BY 1, 2""",
         "attempt_numbers": f"WITH {_ATTEMPTS} SELECT id, CAST(row_number() OVER (PARTITION BY document_id, page_number, stage ORDER BY id) AS INT) AS attempt_index FROM att",
         "attempt_latest": f"WITH {_ATTEMPTS} SELECT la.document_id, la.page_number, la.stage, la.attempt_count, att.status, att.model_name FROM la JOIN att ON att.id = la.mid",
         "ocr_state_completion": f"WITH {_ATTEMPTS}, s AS (SELECT la.document_id, att.status FROM la JOIN att ON att.id = la.mid) SELECT document_id, count(*) AS total_pages, count(*) FILTER (WHERE status = 'completed') AS completed, count(*) > 0 AND count(*) FILTER (WHERE status = 'completed') = count(*) AS is_completed FROM s GROUP BY 1",
         "skip_pages": """
 WITH p AS (SELECT DISTINCT document_id, pdf_page_num, page_id, incomplete_text FROM split_pages), done AS (SELECT * FROM p WHERE NOT coalesce(incomplete_text, false))
 SELECT p.document_id, count(*) AS n_pages, count(*) FILTER (WHERE d.page_id = p.page_id) AS n_skipped FROM p LEFT JOIN done d ON d.document_id = p.document_id AND d.pdf_page_num = p.pdf_page_num GROUP BY 1""",
-        "candidate_ladder": f"WITH {_ATTEMPTS} SELECT document_id, page_number, arg_min_null(model_name, CASE WHEN status = 'completed' THEN id END) AS model_name, count(*) AS n_tried, bool_or(status = 'completed') AS succeeded FROM att GROUP BY 1, 2",
+        "candidate_ladder": f"""
+WITH {_ATTEMPTS}, c AS (SELECT *, row_number() OVER (PARTITION BY document_id, page_number ORDER BY id) - 1 AS k FROM att)
+SELECT document_id, page_number, arg_min_null(model_name, CASE WHEN status = 'completed' THEN k END) AS model_name, coalesce(min(CASE WHEN status = 'completed' THEN k END), count(*)) AS n_failed, bool_or(status = 'completed') AS succeeded FROM c GROUP BY 1, 2""",
+        "progress_export": f"WITH {_ATTEMPTS} SELECT la.document_id, la.page_number, '' AS image_sha256, 'page_' || la.page_number || '.json' AS json_path, att.status FROM la JOIN att ON att.id = la.mid WHERE la.stage = 'ocr' AND att.status = 'completed'",
         "input_fingerprints": "SELECT count(DISTINCT document_id) AS n_documents, count(DISTINCT document_id) AS n_fingerprints FROM split_pages",
         "event_cost": f"WITH {_EVENTS} SELECT id, regexp_replace(model_name, '^models/', '') AS model, round(token_count * 0.00000125 / 1000, 12) AS cost, false AS priced FROM ev WHERE event_name = 'llm_end'",
         "listed_prices": f"""
@@ -303,23 +392,19 @@ w AS (SELECT collection_id, doc_id, tokens, k, 0 AS batch, 450 + tokens + 15 AS
 SELECT collection_id, doc_id, tokens, batch FROM w""",
         "index_entries": f"WITH {_TREE} SELECT node_id, substring(coalesce(title, ''), 1, 120) AS title, least(12, len(list_distinct(list_filter(regexp_split_to_array(lower(coalesce(title, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: length(w) > 2)))) AS n_keywords, {_TOK.format('title')} AS tokens FROM n",
         "short_ids": f"WITH {_TREE} SELECT node_id, 'nid:' || row_number() OVER (PARTITION BY document_id ORDER BY ord, node_id) || ':' || coalesce(title, '') AS short_id FROM n WHERE document_id IS NOT NULL",
+        "clipped_texts": "SELECT doc_id, left(regexp_replace(text, '[0-9]+', '█', 'g'), 200) AS clipped FROM documents",
         "fake_embedding": f"WITH v AS (SELECT doc_id, length(coalesce(title, '')) AS n, CAST(coalesce({_chars('title')}, 0) AS BIGINT) AS s FROM documents) SELECT doc_id, CAST((n + 1) % 97 + 1 + s % 13 AS DOUBLE) AS v0, CAST((n + 51) % 97 + 1 + s % 13 AS DOUBLE) AS v50, CAST((n + 100) % 97 + 1 + s % 13 AS DOUBLE) AS v99, CAST(s % 97 + 1 AS DOUBLE) AS tiny FROM v",
         "search_descriptors": r"SELECT doc_id, len(list_filter(regexp_split_to_array(lower(coalesce(title, '')), '[^\p{L}\p{N}_]+'), lambda w: w <> '')) AS n_title_tokens, len(regexp_extract_all(coalesce(text, ''), '\d+(?:\.\d+)?')) AS n_numbers, len(regexp_extract_all(coalesce(text, ''), '\d{1,2}/\d{1,2}/\d{2,4}')) AS n_dates, least(3000, length(coalesce(text, ''))) AS excerpt_chars FROM documents",
         "unit_pages": r"SELECT CAST(regexp_extract(source_cluster_id, '(?:^|\|)p(\d+)_', 1) AS INT) AS page, count(*) AS n, count(*) FILTER (WHERE end_char = -1 OR end_char >= 100000000) AS n_open FROM node_pointers WHERE source_cluster_id IS NOT NULL GROUP BY 1",
         "fuzzy_thresholds": "SELECT CASE WHEN length(verbatim_text) <= 10 THEN NULL WHEN length(verbatim_text) <= 20 THEN 0.99::DOUBLE WHEN length(verbatim_text) <= 50 THEN 0.95 WHEN length(verbatim_text) <= 100 THEN 0.9 ELSE 0.85 END AS threshold, CASE WHEN length(verbatim_text) < 30 THEN 100 WHEN length(verbatim_text) < 60 THEN 98 ELSE 95 END AS preserve, count(*) AS n FROM node_pointers WHERE verbatim_text IS NOT NULL GROUP BY 1, 2",
-        "ground_pointers": f"""
-WITH RECURSIVE {_UNITS}, {_PTR},
-g0 AS (SELECT q.*, u.source_cluster_id IS NOT NULL AS known, coalesce(u.text, '') AS text, coalesce(verbatim_text, '') AS v, CASE WHEN end_char >= 100000000 THEN -1 ELSE end_char END AS en FROM q LEFT JOIN u USING (source_cluster_id)),
-g1 AS (SELECT *, CASE WHEN en = -1 THEN length(text) ELSE greatest(en + 1, 0) END AS past FROM g0),
-g2 AS (SELECT *, CASE WHEN past > greatest(start_char, 0) THEN substring(text, greatest(start_char, 0) + 1, past - greatest(start_char, 0)) ELSE '' END AS actual FROM g1),
-g3 AS (SELECT *, {_squeeze("actual")} AS a, {_squeeze("v")} AS w FROM g2),
-g4 AS (SELECT *, CASE WHEN NOT known THEN 'unknown' WHEN start_char IS NULL OR end_char IS NULL THEN 'lost' WHEN a = w THEN 'same' WHEN actual <> '' AND (contains(w, a) OR contains(a, w)) THEN 'contain' ELSE 'open' END AS t0 FROM g3),
-occ AS (SELECT node_id, ptr_ord, source_cluster_id, start_char, v, text, strpos(text, v) - 1 AS pos FROM g4 WHERE t0 = 'open' AND v <> '' AND strpos(text, v) > 0
-  UNION ALL SELECT node_id, ptr_ord, source_cluster_id, start_char, v, text, pos + length(v) + strpos(substring(text, CAST(pos + length(v) + 1 AS BIGINT)), v) - 1 FROM occ WHERE strpos(substring(text, CAST(pos + length(v) + 1 AS BIGINT)), v) > 0),
-best AS (SELECT node_id, ptr_ord, source_cluster_id, start_char, v, pos FROM (SELECT *, row_number() OVER (PARTITION BY node_id, ptr_ord, source_cluster_id, start_char, v ORDER BY abs(pos - start_char), pos) AS k FROM occ) WHERE k = 1)
+        "ground_pointers": _GROUND + """
 SELECT g4.node_id, g4.ptr_ord, g4.source_cluster_id, CASE WHEN t0 <> 'open' THEN t0 WHEN pos IS NOT NULL THEN 'search' ELSE 'lost' END AS tier,
   CAST(CASE WHEN t0 = 'same' THEN g4.start_char WHEN t0 = 'contain' THEN greatest(g4.start_char, 0) WHEN t0 = 'open' THEN pos END AS INT) AS new_start, CAST(CASE WHEN t0 = 'same' THEN end_char WHEN t0 = 'contain' THEN greatest(past - 1, -1) WHEN t0 = 'open' THEN pos + length(g4.v) - 1 END AS INT) AS new_end
 FROM g4 LEFT JOIN best b ON b.node_id = g4.node_id AND b.ptr_ord = g4.ptr_ord AND b.source_cluster_id = g4.source_cluster_id AND b.start_char IS NOT DISTINCT FROM g4.start_char AND b.v = g4.v AND g4.t0 = 'open'""",
+        "layer_repair": _GROUND + """,
+v4 AS (SELECT g4.node_id, g4.verbatim_text, g4.end_char, g4.actual, CASE WHEN t0 <> 'open' THEN t0 WHEN pos IS NOT NULL THEN 'search' ELSE 'lost' END AS tier, greatest(past - 1, -1) AS ne
+  FROM g4 LEFT JOIN best b ON b.node_id = g4.node_id AND b.ptr_ord = g4.ptr_ord AND b.source_cluster_id = g4.source_cluster_id AND b.start_char IS NOT DISTINCT FROM g4.start_char AND b.v = g4.v AND g4.t0 = 'open')
+SELECT node_id, count(*) AS n_pointers, count(*) FILTER (WHERE tier = 'search' OR (tier = 'contain' AND (actual <> coalesce(verbatim_text, '') OR ne <> end_char))) AS n_changed, bool_and(tier NOT IN ('lost', 'unknown')) AS repaired FROM v4 GROUP BY 1""",
         "legacy_unit_ids": "SELECT DISTINCT node_id, ptr_ord, CASE WHEN EXISTS (SELECT 1 FROM text_clusters t WHERE t.document_id || '|p' || t.pdf_page_num || '_t' || t.cluster_number = source_cluster_id) THEN source_cluster_id ELSE replace(split_part(source_cluster_id, '|', 2), '_t', '_c') END AS source_cluster_id FROM node_pointers WHERE source_cluster_id IS NOT NULL",
         "legacy_units": """
 WITH s AS (SELECT DISTINCT document_id, pdf_page_num, OCR_text_clusters AS t, non_text_objects AS o FROM split_pages)
@@ -331,5 +416,13 @@ WITH {_PAGES}, z AS (SELECT doc_id, page_number, page_text AS t, list_filter(str
 y AS (SELECT doc_id, page_number, t, ls[1] AS f, ls[-1] AS l, (length(t) - length(replace(t, ls[1], ''))) / length(ls[1]) AS nf, (length(t) - length(replace(t, ls[-1], ''))) / length(ls[-1]) AS nl FROM z),
 x AS (SELECT *, CASE WHEN nf = 0 THEN 'start not found' WHEN nf > 1 THEN 'start is not unique' WHEN nl = 0 THEN 'end not found' WHEN nl > 1 THEN 'end is not unique' WHEN strpos(t, l) + length(l) - 2 < strpos(t, f) - 1 THEN 'end before start' END AS error FROM y)
 SELECT doc_id, page_number, CASE WHEN error IS NULL THEN CAST(strpos(t, f) - 1 AS INT) END AS span_start, CASE WHEN error IS NULL THEN CAST(strpos(t, l) + length(l) - 2 AS INT) END AS span_end, error FROM x""",
+        "leaf_completeness": f"""
+WITH {_BLOCKS}, lf AS (SELECT b.doc_id, string_agg(substring(page_text, CAST(start_char + 1 AS BIGINT), CAST(end_char - start_char + 1 AS BIGINT)), '' ORDER BY b.page_number, seq) AS t FROM b JOIN p ON p.doc_id = b.doc_id AND p.page_number = b.page_number GROUP BY 1),
+wh AS (SELECT doc_id, string_agg(page_text, '' ORDER BY page_number) AS t FROM p GROUP BY 1) SELECT doc_id, {_squeeze("wh.t")} = {_squeeze("lf.t")} AS complete FROM wh LEFT JOIN lf USING (doc_id)""",
     }
+    out["validation_gate"] = f"WITH c AS ({out['overall_coverage']}) SELECT coverage, coverage >= 0.99 AS passed, CASE WHEN coverage < 0.99 THEN printf('text coverage below threshold: %.3f < %.3f', coverage, 0.99) END AS error FROM c"
+    out["review_layer"] = f"""
+WITH so AS ({out["sibling_overlaps"]}), dc AS ({out["duplicate_children"]}), cg AS ({out["coverage_gaps"]}), o AS (SELECT DISTINCT node_id, document_id FROM semantic_nodes WHERE document_id IS NOT NULL),
+x AS (SELECT parent_id, 1 AS a, 0 AS b, 0 AS c FROM so UNION ALL SELECT parent_id, 0, 1, 0 FROM dc UNION ALL SELECT parent_id, 0, 0, 1 FROM cg), y AS (SELECT document_id, sum(a) AS a, sum(b) AS b, sum(c) AS c FROM x JOIN o ON o.node_id = x.parent_id GROUP BY 1)
+SELECT document_id AS collection_id, coalesce(a + b + c, 0) = 0 AS satisfied, coalesce(c, 0) = 0 AS coverage_ok, CAST(coalesce(a, 0) AS BIGINT) AS n_overlaps, CAST(coalesce(c, 0) AS BIGINT) AS n_gaps, 1 AS tries FROM (SELECT DISTINCT document_id FROM o) LEFT JOIN y USING (document_id)"""
     return out

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..functions import text as X
-from ..operators import batching, graph, grounding, hierarchy, intervals, layers, legacy, nested, segment, state, telemetry, units, versions
+from ..operators import batching, graph, grounding, hierarchy, intervals, layers, legacy, nested, segment, session, state, telemetry, units, versions
 from ..session import cut
 from ..sources.tables import read_table as read
 
@@ -40,9 +40,9 @@ def p3_found(spark, base) -> DataFrame:
     return hierarchy.loop_members(read(spark, base, "semantic_nodes", "node_id", "parent_id"), read(spark, base, "ingest_events", "run_id", "parent_run_id"))
 
 
-def _trees(spark, base):
-    yield "node", hierarchy.hierarchy(hierarchy.links(read(spark, base, "semantic_nodes", "node_id", "parent_id"), "node_id", "parent_id"))
-    yield "run", hierarchy.hierarchy(hierarchy.links(read(spark, base, "ingest_events", "run_id", "parent_run_id"), "run_id", "parent_run_id"))
+def _trees(spark, base, form=hierarchy.hierarchy):
+    yield "node", form(hierarchy.links(read(spark, base, "semantic_nodes", "node_id", "parent_id"), "node_id", "parent_id"))
+    yield "run", form(hierarchy.links(read(spark, base, "ingest_events", "run_id", "parent_run_id"), "run_id", "parent_run_id"))
 
 
 def p3_hierarchy(spark, base) -> DataFrame:
@@ -57,7 +57,7 @@ def p3_hierarchy(spark, base) -> DataFrame:
 def p3_tours(spark, base) -> DataFrame:
     """Entry and exit of every node and run in the tour of its tree: descendants lie between."""
     out = None
-    for tree, h in _trees(spark, base):
+    for tree, h in _trees(spark, base, hierarchy.tours):
         part = h.select(F.lit(tree).alias("tree"), F.col("id").alias("member_id"), "root", "entry", "exit")
         out = part if out is None else out.unionByName(part)
     return out
@@ -290,8 +290,10 @@ def layer_repair(spark, base) -> DataFrame:
 
 
 def fuzzy_ground(spark, base) -> DataFrame:
-    """Fuzzy spans for the pointers no exact tier anchors."""
-    return grounding.fuzzy_ground(cut(_grounded(spark, base)).where("tier = 'lost'"), _cluster_units(spark, base))
+    """Fuzzy spans for pointers whose texts were copied badly: every blank doubled, and in long ones the sixth character wrong."""
+    p = read(spark, base, "node_pointers").distinct().where("start_char IS NOT NULL AND end_char IS NOT NULL AND verbatim_text <> ''")
+    bad = F.when(F.length("verbatim_text") > 25, F.concat(F.substring("verbatim_text", 1, 5), F.lit("#"), F.substring(F.col("verbatim_text"), F.lit(7), F.length("verbatim_text")))).otherwise(F.col("verbatim_text"))
+    return grounding.fuzzy_ground(p.withColumn("verbatim_text", F.replace(bad, F.lit(" "), F.lit("  "))), _cluster_units(spark, base))
 
 
 def delimiter_resolve(spark, base) -> DataFrame:
@@ -392,8 +394,130 @@ def cud_apply(spark, base) -> DataFrame:
 
 
 def frontier_bfs(spark, base) -> DataFrame:
-    """Depth of every node that a root reaches."""
-    return layers.frontier(read(spark, base, "semantic_nodes"))
+    """Depth of every node that a root reaches, and its place in that depth."""
+    return layers.frontier(_tree(spark, base))
+
+
+# the review session
+
+
+def _session_units(spark, base) -> DataFrame:
+    c = read(spark, base, "text_clusters", "document_id", "pdf_page_num", "cluster_number", "text").where("document_id IS NOT NULL")
+    return c.select(F.col("document_id").alias("collection_id"), _unit_key().alias("unit_id"), F.lit("ocr_text").alias("modality"), "text").distinct()
+
+
+def init_session(spark, base) -> DataFrame:
+    """The pointers of the roots that a parse begins with."""
+    p = session.init_session(_session_units(spark, base))[1]
+    return p.select("node_id", "ptr_ord", "source_cluster_id", "end_char", F.length("verbatim_text").alias("n_chars"))
+
+
+def page_units_order(spark, base) -> DataFrame:
+    """Place of every OCR unit in its document."""
+    u = units.with_unit_ids(units.ocr_units(read(spark, base, "split_pages", "document_id", "pdf_page_num", "OCR_text_clusters", "non_text_objects")), ["cluster_number"])
+    return session.page_units(u).select("unit_id", "place")
+
+
+def parser_inputs(spark, base) -> DataFrame:
+    """Pages as the parser reads them, texts and numbers joined."""
+    p = units.parser_input(read(spark, base, "split_pages", "document_id", "pdf_page_num", "printed_page_number", "contains_table", "OCR_text_clusters", "non_text_objects"))
+    said = lambda c, f: F.array_join(F.transform(c, lambda o: o[f].cast("string")), "|")
+    return p.select("document_id", "pdf_page_num", "contains_table", F.md5(said("texts", "text")).alias("texts"), said("texts", "cluster_number").alias("text_numbers"), said("objects", "description").alias("objects"), said("objects", "cluster_number").alias("object_numbers"))
+
+
+def primary_collection(spark, base) -> DataFrame:
+    """The first collection of the documents."""
+    return units.primary(read(spark, base, "documents", "doc_id", "collection_id").where("collection_id IS NOT NULL").select("collection_id").distinct(), "collection_id")
+
+
+def embedding_spaces(spark, base) -> DataFrame:
+    """The spaces that every document's units are embedded in."""
+    u = units.ocr_units(read(spark, base, "split_pages", "document_id", "pdf_page_num", "OCR_text_clusters", "non_text_objects"))
+    return units.embedding_spaces(u).select("collection_id", F.array_join("spaces", ",").alias("spaces"))
+
+
+def refine_wanted(spark, base) -> DataFrame:
+    """Pages whose tables are worth refining."""
+    return units.refine_wanted(read(spark, base, "split_pages", "page_id", "contains_table", "OCR_text_clusters", "refined_version"))
+
+
+def refine_gate(spark, base) -> DataFrame:
+    """Do the refined versions hold all text of their pages?"""
+    return units.refine_gate(read(spark, base, "split_pages", "page_id", "OCR_text_clusters", "refined_version"))
+
+
+def _frontier_items(spark, base) -> DataFrame:
+    n = _tree(spark, base).where("document_id IS NOT NULL AND level_from_root IS NOT NULL")
+    return n.select(F.col("document_id").alias("collection_id"), F.col("node_id").alias("parent_node_id"), F.col("level_from_root").alias("depth"), F.col("ord").cast("long").alias("order"))
+
+
+def _popped(spark, base) -> tuple[DataFrame, DataFrame]:
+    p = read(spark, base, "node_pointers").distinct()
+    return session.prepare_frontier(_frontier_items(spark, base), _tree(spark, base), p)
+
+
+def prepare_frontier(spark, base) -> DataFrame:
+    """The smallest depth of every document's nodes taken as a frontier, with titles and pointers."""
+    return _popped(spark, base)[0]
+
+
+def enqueue_next(spark, base) -> DataFrame:
+    """That frontier after its first layer: the rest and the expandable children behind it."""
+    layer, rest = _popped(spark, base)
+    return session.enqueue(rest, cut(layer), _tree(spark, base).where("parent_id <> ''").select("parent_id", "node_id", "node_type", "ord"), 3)
+
+
+def review_layer(spark, base) -> DataFrame:
+    """Every document's tree taken as one layer, and what the invariants say of it."""
+    n = _tree(spark, base)
+    layer = n.where("document_id IS NOT NULL").select(F.col("document_id").alias("collection_id"), F.col("node_id").alias("parent_node_id"), F.lit(0).alias("depth"), F.lit(0).alias("retry_count"))
+    kids = n.where("parent_id <> ''").select("parent_id", F.col("node_id").alias("child_id"), "title", "ord")
+    spans = _resolved(spark, base).select(F.col("node_id").alias("parent_id"), "source_cluster_id", "start_char", "end_char")
+    r = session.review_layer(layer, kids, cut(_child_pointers(spark, base)), spans, _cluster_units(spark, base).where("text IS NOT NULL"))
+    return r.select("collection_id", "satisfied", "coverage_ok", "n_overlaps", "n_gaps", "tries")
+
+
+def commit_layer(spark, base) -> DataFrame:
+    """Roots and pages with all other nodes committed below them as one layer."""
+    n = _tree(spark, base).select("node_id", F.nullif("parent_id", F.lit("")).alias("parent_id"), "node_type", "title", "level_from_root").distinct()
+    top = n.where("node_type IN ('PAGE', 'DOCUMENT_ROOT')")
+    return session.commit_layer(top, n.where("node_type NOT IN ('PAGE', 'DOCUMENT_ROOT')").drop("level_from_root")).select("node_id", "level_from_root")
+
+
+def validation_gate(spark, base) -> DataFrame:
+    """Would the tree pass at 99 of 100 characters covered?"""
+    return session.validation_gate(intervals.cover_ratio(_coverage(spark, base))).select(F.round("coverage", 9).alias("coverage"), "passed", "error")
+
+
+def prompt_view(spark, base) -> DataFrame:
+    """Children as a model sees them: number, number of pointers shown and their clipped texts."""
+    n = _tree(spark, base).where("parent_id <> ''")
+    p = read(spark, base, "node_pointers", "node_id", "ptr_ord", "source_cluster_id", "start_char", "end_char", "verbatim_text").distinct()
+    v = session.prompt_view(n, p)
+    return v.select("parent_id", "local_id", "node_id", F.coalesce(F.size("pointers"), F.lit(0)).alias("n_shown"), F.md5(F.array_join(F.col("pointers.verbatim_text"), "|")).alias("shown"))
+
+
+def unmatched_ids(spark, base) -> DataFrame:
+    """Nodes with pointers that aren't in the tree, and nodes of the tree without any."""
+    return session.unmatched_ids(read(spark, base, "node_pointers", "node_id"), read(spark, base, "semantic_nodes", "node_id"), "node_id")
+
+
+def cud_loop(spark, base) -> DataFrame:
+    """Children of every document edited in rounds: terms deleted by number and sections renamed by type and title, then a summary added, then nothing more."""
+    n = _tree(spark, base).where("document_id IS NOT NULL AND parent_id <> ''").select(F.col("document_id").alias("collection_id"), "node_id", "parent_id", "node_type", "title", "ord")
+    layer = session.within(n, "collection_id", ["ord", "node_id"], "local_id").select("collection_id", "local_id", "parent_id", "node_type", "title", F.array("node_id").alias("spans"))
+    null = F.lit(None).cast("string")
+
+    def propose(now: DataFrame, done: int) -> DataFrame:
+        if done == 0:
+            gone = now.where("node_type = 'TERM'").select("collection_id", F.col("local_id").alias("seq"), F.lit("DELETE_NODE").alias("edit_type"), F.col("local_id").cast("string").alias("target_id"), null.alias("target_type"), null.alias("target_title"), null.alias("parent_id"), null.alias("node_type"), null.alias("title"), F.lit(True).alias("valid"))
+            name = now.where("node_type = 'SECTION'").select("collection_id", "title").distinct().select("collection_id", F.lit(0).cast("long").alias("seq"), F.lit("EDIT_NODE").alias("edit_type"), null.alias("target_id"), F.lit("SECTION").alias("target_type"), F.col("title").alias("target_title"), null.alias("parent_id"), null.alias("node_type"), F.concat(F.lit("[edited] "), F.lower(X.strip("title"))).alias("title"), F.lit(True).alias("valid"))
+            return gone.unionByName(name)
+        add = now.select("collection_id").distinct().select("collection_id", F.lit(0).cast("long").alias("seq"), F.lit("ADD_NODE").alias("edit_type"), null.alias("target_id"), null.alias("target_type"), null.alias("target_title"), null.alias("parent_id"), F.lit("TEXT_FLOW").alias("node_type"), F.lit("Summary").alias("title"), F.lit(True).alias("valid"))
+        return add if done == 1 else add.limit(0)
+
+    out, _ = session.edit_loop(layer, propose)
+    return out.groupBy("collection_id", "node_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("title").startswith("[edited] ")).alias("n_edited"))
 
 
 # graphs
@@ -410,6 +534,32 @@ def graph_edges(spark, base) -> DataFrame:
     return graph.graph_edges(read(spark, base, "semantic_nodes")).select("id", "relation", F.col("source_ids")[0].alias("source_id"), F.col("target_ids")[0].alias("target_id"), "doc_id")
 
 
+def edge_spans(spark, base) -> DataFrame:
+    """Spans on the edges: the child's, else the parent's."""
+    p = read(spark, base, "node_pointers").distinct().where("start_char IS NOT NULL AND end_char IS NOT NULL")
+    n = _tree(spark, base)
+    e = graph.edge_spans(graph.graph_edges(n), graph.graph_nodes(n, p))
+    return e.select("id", F.size("mentions").alias("n_spans"))
+
+
+def legacy_graph_nodes(spark, base) -> DataFrame:
+    """Nodes in the older form of export."""
+    n, _ = graph.legacy_graph(_tree(spark, base), read(spark, base, "node_pointers").distinct())
+    return n.select("id", "kind", F.md5("summary").alias("summary"), F.coalesce(F.size("mentions"), F.lit(0)).alias("n_spans"), F.col("mentions")[0]["page_number"].alias("first_page"))
+
+
+def legacy_graph_edges(spark, base) -> DataFrame:
+    """Edges in the older form of export, with their parents' spans."""
+    _, e = graph.legacy_graph(_tree(spark, base), read(spark, base, "node_pointers").distinct())
+    return e.select("id", "summary", F.coalesce(F.size("mentions"), F.lit(0)).alias("n_spans"))
+
+
+def children_in_order(spark, base) -> DataFrame:
+    """Every parent's children in arrival order."""
+    n = _tree(spark, base).where("parent_id <> ''")
+    return n.groupBy("parent_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "node_id"))), lambda x: x["node_id"]), ",").alias("children"))
+
+
 def graph_roundtrip(spark, base) -> DataFrame:
     """The tree read back from its payload."""
     n = _tree(spark, base)
@@ -524,8 +674,14 @@ def canonical_files(spark, base) -> DataFrame:
 
 
 def non_duplicate_hash(spark, base) -> DataFrame:
-    """Files whose hash the ledger lacks, with SQL's NOT IN."""
-    return versions.non_duplicates_null_aware(read(spark, base, "nodes", "id", "file_hash").distinct(), _ledger(spark, base)).select("id", "file_hash")
+    """How many files' hashes a ledger lacks, with SQL's NOT IN: the duplicate ledger, the same with a null hash, and an empty one."""
+    n, ledger = read(spark, base, "nodes", "id", "file_hash").distinct(), cut(_ledger(spark, base))
+    null = ledger.limit(1).withColumn("file_hash", F.lit(None).cast("string"))
+    out = None
+    for name, held in (("as it is", ledger), ("with a null", ledger.unionByName(null)), ("empty", ledger.limit(0))):
+        part = versions.non_duplicates_null_aware(n, held).agg(F.lit(name).alias("ledger"), F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def canonical_page_stats(spark, base) -> DataFrame:
@@ -536,9 +692,41 @@ def canonical_page_stats(spark, base) -> DataFrame:
 
 
 def missing_in_chain(spark, base) -> DataFrame:
-    """Hashed files that no chain holds."""
-    h = read(spark, base, "page_hashes", "node_id", "file_path").select("file_path").distinct()
-    return h.join(read(spark, base, "nodes", "file_path"), "file_path", "left_anti")
+    """Files that stand in no chain from its head on, once the files of unknown hash are gone from it, by name."""
+    n = read(spark, base, "nodes", "id", "chain_id", "prev_id", "file_path", "file_hash").distinct()
+    kept = n.where("file_hash IS NOT NULL").select("file_path").distinct()
+    return n.select("file_path").distinct().join(kept, "file_path", "left_anti")
+
+
+def chain_list(spark, base) -> DataFrame:
+    """Every chain with its size, head and tail."""
+    return versions.chain_list(versions.chain_positions(read(spark, base, "nodes", "id", "chain_id", "prev_id")))
+
+
+def chain_apply(spark, base) -> DataFrame:
+    """The chains with a file put behind the head of each, another before that one, and a chain of its own for a last file."""
+    n = read(spark, base, "nodes", "id", "chain_id", "prev_id", "file_path").distinct()
+    pos = cut(versions.chain_positions(n).join(n.select("id", "file_path"), "id"))
+    head = pos.where("position = 0").select("chain_id", "file_path")
+    first = head.groupBy("chain_id").agg(F.min("file_path").alias("p"))
+    added = lambda tag, seq, prev, nxt: first.select((F.col("chain_id") * 2 + seq).alias("seq"), F.concat(F.lit(f"{tag}/"), F.col("chain_id").cast("string")).alias("file_path"), prev.cast("string").alias("prev"), nxt.cast("string").alias("next"))
+    behind = added("behind", 0, F.col("p"), F.lit(None))
+    before = added("before", 1, F.lit(None), F.concat(F.lit("behind/"), F.col("chain_id").cast("string")))
+    own = spark.range(1).select(F.lit(-1).cast("long").alias("seq"), F.lit("own/0").alias("file_path"), F.lit(None).cast("string").alias("prev"), F.lit(None).cast("string").alias("next"))
+    return versions.apply_additions(pos.select("chain_id", "file_path", "position"), behind.unionByName(before).unionByName(own))
+
+
+def backfill_needs(spark, base) -> DataFrame:
+    """Files without page hashes after a backfill that hashes the path of every PDF file without any: how many rows each had and has."""
+    n, h = read(spark, base, "nodes", "id", "file_path"), read(spark, base, "page_hashes", "node_id", "page_num", "page_hash").where("page_num > 0").distinct()
+    hook = lambda m: m.select("node_id", F.lit(0).alias("page_num"), F.sha2("file_path", 256).alias("page_hash"))
+    return versions.backfill(n, h, hook).groupBy("node_id").agg(F.count(F.lit(1)).alias("n_rows"), F.min("page_num").alias("first_page"))
+
+
+def duplicate_names(spark, base) -> DataFrame:
+    """File names, without their folders, that several files have."""
+    n = read(spark, base, "nodes", "id", "file_path").distinct().select(F.element_at(F.split("file_path", "/"), -1).alias("name"))
+    return n.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
 # state and telemetry
@@ -577,8 +765,14 @@ def skip_pages(spark, base) -> DataFrame:
 
 def candidate_ladder(spark, base) -> DataFrame:
     """Per document and page the first model in order that succeeded."""
-    a = state.numbered_attempts(_attempt_log(spark, base), ["id"]).groupBy("document_id", "page_number").agg(F.min_by("model_name", F.when(F.col("status") == "completed", F.col("id"))).alias("model_name"), F.count(F.lit(1)).alias("n_tried"), F.max((F.col("status") == "completed").cast("int")).alias("ok"))
-    return a.select("document_id", "page_number", "model_name", "n_tried", (F.col("ok") == 1).alias("succeeded"))
+    w = Window.partitionBy("document_id", "page_number").orderBy("id")
+    return state.first_success(_attempt_log(spark, base).withColumn("candidate", F.row_number().over(w) - 1))
+
+
+def progress_export(spark, base) -> DataFrame:
+    """What is done of the OCR stage: pages with an artifact, which only completed ones have."""
+    log = _attempt_log(spark, base).withColumn("artifact_path", F.when(F.col("status") == "completed", F.format_string("page_%d.json", "page_number"))).withColumn("content_hash", F.lit(None).cast("string"))
+    return state.progress_export(state.latest(log, "id"))
 
 
 def input_fingerprints(spark, base) -> DataFrame:
@@ -661,6 +855,11 @@ def short_ids(spark, base) -> DataFrame:
     return batching.short_ids(_tree(spark, base).where("document_id IS NOT NULL"), "document_id", ["ord", "node_id"]).select("node_id", "short_id")
 
 
+def clipped_texts(spark, base) -> DataFrame:
+    """The first 200 characters of every document, numbers blotted out."""
+    return read(spark, base, "documents", "doc_id", "text").select("doc_id", X.clip("text", 200, r"[0-9]+").alias("clipped"))
+
+
 def fake_embedding(spark, base) -> DataFrame:
     """First, middle and last value of each document title's stand-in vector."""
     v = read(spark, base, "documents", "doc_id", "title").withColumn("v", X.hashed_embedding("title", 100))
@@ -714,9 +913,10 @@ def flags_as_words(spark, base) -> DataFrame:
     return f.groupBy("contains_table", "incomplete_text").agg(F.count(F.lit(1)).alias("n"))
 
 
-def lost_elsewhere(spark, base) -> DataFrame:
-    """Texts of lost pointers found in another unit of their document."""
-    return legacy.same_page_first(cut(_grounded(spark, base)).where("tier IN ('lost', 'unknown')"), _cluster_units(spark, base))
+def legacy_ladder(spark, base) -> DataFrame:
+    """How many pointers each rung of the older ladder anchors."""
+    p = read(spark, base, "node_pointers").distinct()
+    return legacy.ladder(p, _cluster_units(spark, base)).groupBy("tier").agg(F.count(F.lit(1)).alias("n"))
 
 
 #: What isn't a query of its own.
