@@ -46,11 +46,8 @@ def _step(cur: DataFrame) -> DataFrame:
     return cur.join(b, cur["ptr"] == b["_at"]).select("id", F.col("_next").alias("ptr"))
 
 
-def loops(rows: DataFrame) -> DataFrame:
-    """(id, loop_id, on_loop) of every id whose line of parents never ends; loop_id is the loop's smallest id.
-
-    ``rows`` is what ``links`` gives. A parent that is no row ends the line; an id that is its own parent is a loop.
-    """
+def _endless(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(links, ends, n): all links among the rows, and (id, ptr) of the n ids whose line of parents never ends, with where it is after many steps."""
     first = cut(_known(rows))
     cur, n = first, first.count()
     while n:  # all lines of 2^k steps; if as many remain at twice the length, none of them ends
@@ -59,6 +56,15 @@ def loops(rows: DataFrame) -> DataFrame:
         done, cur, n = m == n, after, m
         if done:
             break
+    return first, cur, n
+
+
+def loops(rows: DataFrame) -> DataFrame:
+    """(id, loop_id, on_loop) of every id whose line of parents never ends; loop_id is the loop's smallest id.
+
+    ``rows`` is what ``links`` gives. A parent that is no row ends the line; an id that is its own parent is a loop.
+    """
+    first, cur, n = _endless(rows)
     if not n:
         return rows.select("id", F.col("id").alias("loop_id"), F.lit(True).alias("on_loop")).limit(0)
     image = cur.select("ptr").distinct()
@@ -177,9 +183,10 @@ def _ranked(tour: DataFrame) -> DataFrame:
 
 def _placed(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(nodes, keyed, family): nodes is (k, r, depth, entry, exit) of every id whose line of parents ends, r being its root's number."""
-    bad = loops(rows).select("id")
+    known, bad, n = _endless(rows)
     order = [c for c in ("ord",) if c in rows.columns]
-    keyed = _keyed(rows.select("id", *order).join(bad, "id", "left_anti").join(_known(rows), "id", "left"))
+    free = rows.select("id", *order)
+    keyed = _keyed((free.join(bad.select("id"), "id", "left_anti") if n else free).join(known, "id", "left"))
     family = cut(_family(keyed))
     ranked = cut(_ranked(_tour(keyed, family)))
     odd = F.col("e").bitwiseAND(F.lit(1)) == 1
