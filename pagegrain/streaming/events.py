@@ -35,10 +35,17 @@ def append_sink(df: DataFrame, path: str, checkpoint: str, every: str = "1 secon
 
 
 def drain(df: DataFrame, table: str, checkpoint: str, mode: str = "complete") -> DataFrame:
-    """Run everything that is there now through the query and give the result as a table."""
-    q = df.writeStream.format("memory").queryName(table).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+    """Run everything that is there now through the query and give the result as a table, kept beside the checkpoint under the name.
+
+    In complete mode each batch replaces the result, otherwise it is added to it; nothing passes through the driver.
+    """
+    path = f"{checkpoint}-{table}"
+    write = lambda batch, _: batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+    empty = df.sparkSession.createDataFrame([], df.schema)
+    empty.write.mode("append").parquet(path)  # a stream without a batch has an empty result
+    q = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
     q.awaitTermination()
-    return df.sparkSession.table(table)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 class AttemptCounter(StatefulProcessor):
