@@ -131,6 +131,35 @@ def test_copies_cut_to_any_share_are_found(make):
     assert truncation._copies(df, cands).count() < 40  # equal texts are one, and a group's longest stand for it
 
 
+def test_the_longest_text_hides_no_copy(make):
+    rnd = random.Random(31)
+    words = [rnd.choice(NOUN) + str(rnd.randrange(1000)) for _ in range(100)]
+    texts = {1: " ".join(words[:60]), 2: " ".join(words[:65]) + ".", 3: " ".join(words[:55] + words[80:93]) + "."}
+    assert truncation.goes_on(texts[1], texts[2]) and not truncation.goes_on(texts[1], texts[3])
+    df = make([(u, u, f"d{u}", 1, 0, t, "m") for u, t in texts.items()], CL)
+    assert {r.cluster_uid: r.evidence for r in truncation.truncated(df).collect()} == {1: "copy"}
+
+
+def test_copies_match_all_pairs(make, monkeypatch):
+    monkeypatch.setattr(truncation, "BLOCK", 1)  # many rounds
+    rnd = random.Random(32)
+    texts = []
+    for _ in range(12):
+        base = [rnd.choice(NOUN) + str(rnd.randrange(30)) for _ in range(rnd.choice([30, 60, 90]))]
+        for _ in range(12):
+            some = list(base)
+            for _ in range(rnd.choice([0, 0, 1, 2])):
+                some[rnd.randrange(len(some))] = "edited" + str(rnd.randrange(3))
+            some = [rnd.choice(NOUN) for _ in range(rnd.choice([0, 0, 3, 30]))] + some
+            texts.append(" ".join(some[: int(len(some) * rnd.choice([0.4, 0.7, 0.9, 1]))]) + rnd.choice(["", "."]))
+    texts += [None, "", "a b", "w " * 30, "w " * 50 + ".", " ".join(map(str, range(20_000))), " ".join(map(str, range(30_000))) + "."]
+    n = [len(W(t)) for t in texts]
+    want = {i for i, a in enumerate(texts) if n[i] >= 10 and not a.endswith(".") and any(n[j] > n[i] and truncation.goes_on(a, b) for j, b in enumerate(texts))}
+    df = make([(i, i, f"d{i}", 1, 0, t, "m") for i, t in enumerate(texts)] * 2, CL)
+    assert {r.cluster_uid for r in truncation.truncated(df).collect() if r.evidence == "copy"} == want
+    assert len(want) > 20
+
+
 RAW = "response_id long, document_id string, pdf_page_num int, response_json string"
 
 
