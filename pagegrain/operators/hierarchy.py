@@ -225,16 +225,59 @@ def tours(rows: DataFrame) -> DataFrame:
     return nodes.join(names, "k").join(names.select(F.col("k").alias("r"), F.col("id").alias("root")), "r").select("id", "root", "entry", "exit")
 
 
+#: Codes of ancestors that a place in the tree holds before one code stands for it.
+WIDEST = 64
+
+
+def _coded(df: DataFrame, by: list[str], name: str) -> DataFrame:
+    """Adds ``name``: numbers with gaps in the order of the columns, no two alike; the bits from the 34th on are the partition."""
+    return cut(df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(name, F.monotonically_increasing_id()))
+
+
+def _ways(inner: DataFrame) -> DataFrame:
+    """(id, depth, way) of the ids whose line of parents ends at one without; of two in one depth, the walk meets the one of the smaller way first.
+
+    A way has the codes from the root down, joined over 2^k ancestors a round. An id's code is its own and only ids of
+    one depth are compared, whose ways are of one length, so a code in the order of the ways can stand for each of them.
+    """
+    own = _coded(inner, ["ord", "id"], "k").select("id", "parent", "k", F.array("k").alias("way"))
+    up = own.select(F.col("id").alias("parent"), F.col("k").alias("ptr"))
+    none = F.lit(None).cast("long")
+    cur = own.where("parent IS NULL").select("id", "k", none.alias("ptr"), F.lit(0).cast("long").alias("depth"), "way")
+    cur = cut(cur.unionByName(own.join(up, "parent").select("id", "k", "ptr", F.lit(1).cast("long").alias("depth"), "way")))
+    width, n = 1, -1
+    while True:
+        m = cur.where("ptr IS NOT NULL").count()
+        if m in (0, n):  # if as many lines go on at twice the length, none of them ends
+            return cur.where("ptr IS NULL").select("id", "depth", "way")
+        b = cur.select(F.col("k").alias("_at"), F.col("ptr").alias("_next"), F.col("depth").alias("_d"), F.col("way").alias("_way"))
+        moved = cur.where("ptr IS NOT NULL").join(b, F.col("ptr") == F.col("_at")).select("id", "k", F.col("_next").alias("ptr"), (F.col("depth") + F.col("_d")).alias("depth"), F.concat("_way", "way").alias("way"))
+        cur, width, n = cur.where("ptr IS NULL").unionByName(moved), 2 * width, m
+        if width < WIDEST:
+            cur = cut(cur)
+        else:
+            cur, width = _coded(cur, ["way"], "_c").select("id", "k", "ptr", "depth", F.array("_c").alias("way")), 1
+
+
 def levels(rows: DataFrame) -> DataFrame:
     """(id, depth, wave_order): each id's depth and its place among those of the same depth, as a walk breadth-first meets them.
 
-    ``rows`` is (id, parent[, ord]); siblings and roots come by ord and id. In a level the order of a walk breadth-first is
-    that of the tour, so both follow from the entries.
+    ``rows`` is (id, parent[, ord][, open]), a row per id; siblings and roots come by ord and id. The walk starts at the ids without
+    a parent and doesn't go on from ids that aren't open; what it doesn't meet is left out. Childless ids take no part in the rounds:
+    in a level all follow the places of their parents.
     """
-    nodes, keyed, _ = _placed(cut(rows))
-    n = numbered(nodes.join(keyed.select("k", "id"), "k").select("id", "depth", "r", "entry"), ["depth", "r", "entry"], "_n")
-    first = n.groupBy(F.col("depth").alias("_d")).agg(F.min("_n").alias("_first"))
-    return n.join(first, F.col("depth") == F.col("_d")).select("id", "depth", (F.col("_n") - F.col("_first")).alias("wave_order"))
+    have = rows.columns
+    rows = cut(rows.select("id", "parent", F.col("ord") if "ord" in have else F.lit(0).alias("ord"), F.col("open") if "open" in have else F.lit(True).alias("open")))
+    below = rows.where("parent IS NOT NULL")
+    inner = rows.where("open").join(below.select(F.col("parent").alias("id")).distinct(), "id", "left_semi").select("id", "parent", "ord")
+    up = _coded(_ways(inner), ["depth", "way"], "up").select(F.col("id").alias("parent"), (F.col("depth") + 1).alias("depth"), "up")
+    met = rows.where("parent IS NULL").select("id", F.lit(0).cast("long").alias("depth"), F.lit(-1).cast("long").alias("up"), "ord").unionByName(below.join(up, "parent").select("id", "depth", "up", "ord"))
+    at = _coded(met, ["up", "ord", "id"], "_n").select("id", "depth", "_n", F.shiftright("_n", 33).alias("_p"))
+    # in a partition a level is a run of numbers; it goes on from those of the partitions before
+    per = at.groupBy("depth", "_p").agg(F.min("_n").alias("_first"), F.count(F.lit(1)).alias("_count"))
+    ahead = Window.partitionBy("depth").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("depth", "_p", (F.coalesce(F.sum("_count").over(ahead), F.lit(0)) - F.col("_first")).alias("_shift"))
+    return at.join(per, ["depth", "_p"]).select("id", "depth", (F.col("_n") + F.col("_shift")).alias("wave_order"))
 
 
 def heights(rows: DataFrame) -> DataFrame:

@@ -122,16 +122,12 @@ def frontier(nodes: DataFrame, max_depth: int | None = None, expandable: Callabl
     """(node_id, depth, wave_order): breadth-first from the nodes without a parent; wave_order counts within a depth, in arrival order.
 
     ``expandable`` gives a condition on node_type: children of other nodes aren't queued. Nodes that no root reaches aren't
-    visited. Depths come from the Euler tours of ``hierarchy``, so the rounds are the logarithm of the depth and not the depth.
+    visited. The rounds of ``levels`` are the logarithm of the depth and not the depth.
     """
-    cols = ["node_id", F.nullif("parent_id", F.lit("")).alias("parent_id"), "node_type", (F.col("ord") if "ord" in nodes.columns else F.lit(0)).alias("ord")]
-    n = nodes.where("node_id IS NOT NULL").select(*cols).groupBy("node_id").agg(F.min("parent_id").alias("parent_id"), F.min("node_type").alias("node_type"), F.min("ord").alias("ord"))
-    may = n.where(expandable()) if expandable else n
-    up = may.select(F.col("node_id").alias("parent_id"), F.lit(True).alias("_open"))
-    # who has a parent that is unknown or isn't opened becomes its own, and so falls out with all below it
-    lost = F.col("parent_id").isNotNull() & F.col("_open").isNull()
-    rows = n.join(up, "parent_id", "left").select(F.col("node_id").alias("id"), F.when(lost, F.col("node_id")).otherwise(F.col("parent_id")).alias("parent"), "ord")
-    out = levels(rows)
+    n = nodes.where("node_id IS NOT NULL").groupBy(F.col("node_id").alias("id")).agg(
+        F.min(F.nullif("parent_id", F.lit(""))).alias("parent"), F.min(F.col("ord") if "ord" in nodes.columns else F.lit(0)).alias("ord"), *([F.min("node_type").alias("node_type")] if expandable else [])
+    )
+    out = levels(n.withColumn("open", F.coalesce(expandable(), F.lit(False))) if expandable else n)
     out = out.where(F.col("depth") < max_depth) if max_depth is not None else out
     return out.select(F.col("id").alias("node_id"), F.col("depth").cast("int").alias("depth"), "wave_order")
 

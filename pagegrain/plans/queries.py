@@ -316,10 +316,14 @@ def leaf_completeness(spark, base) -> DataFrame:
 # layers
 
 
+def _arrivals(n: DataFrame) -> DataFrame:
+    """Semantic nodes with an arrival order."""
+    return n.withColumn("ord", F.coalesce(F.regexp_extract("node_id", r"(\d+)$", 1).try_cast("int"), F.lit(0)))
+
+
 def _tree(spark, base) -> DataFrame:
     """Distinct semantic nodes with an arrival order."""
-    n = read(spark, base, "semantic_nodes").distinct()
-    return n.withColumn("ord", F.coalesce(F.regexp_extract("node_id", r"(\d+)$", 1).try_cast("int"), F.lit(0)))
+    return _arrivals(read(spark, base, "semantic_nodes").distinct())
 
 
 def _child_pointers(spark, base) -> DataFrame:
@@ -395,7 +399,7 @@ def cud_apply(spark, base) -> DataFrame:
 
 def frontier_bfs(spark, base) -> DataFrame:
     """Depth of every node that a root reaches, and its place in that depth."""
-    return layers.frontier(_tree(spark, base))
+    return layers.frontier(_arrivals(read(spark, base, "semantic_nodes")))  # repeated rows don't matter there
 
 
 # the review session

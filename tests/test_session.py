@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagegrain.functions import text as X
-from pagegrain.operators import graph, grounding, layers, legacy, session, units, versions
+from pagegrain.operators import graph, grounding, hierarchy, layers, legacy, session, units, versions
 from pagegrain.operators.hierarchy import heights, levels, links
 
 LAYER = "collection_id string, local_id long, parent_id string, node_type string, title string, spans array<string>"
@@ -124,6 +124,37 @@ def test_frontier_order_limits_and_what_is_not_reached(make):
     assert rows(layers.frontier(n, expandable=lambda: F.col("node_type") != "KEY_VALUE_PAIR").select("node_id")) == [("a",), ("a1",), ("b",), ("b1",), ("r",)]
 
 
+def test_frontier_takes_few_jobs_and_matches_a_walk(make, spark, monkeypatch):
+    rnd = random.Random(5)
+    parent = {f"n{i}": f"n{rnd.randrange(i)}" if i > 3 else None for i in range(80)} | {f"c{i}": f"c{i - 1}" if i else "" for i in range(37)} | {f"d{i}": f"d{i - 1}" if i else "c2" for i in range(36)} | {"x": "y", "y": "x", "z": "x", "s": "s", "o": "gone", "o1": "o"}
+    rows_ = [(k, p, rnd.choice("PQ") if k[0] == "n" else "P", rnd.randrange(3)) for k, p in parent.items()]
+    kids = {}
+    for k, p, _, o in rows_:
+        kids.setdefault(p or "", []).append((o, k))
+    kind = {r[0]: r[2] for r in rows_}
+
+    def walk(opens):
+        layer, depth, out = [k for _, k in sorted(kids[""])], 0, []
+        while layer:
+            out += [(k, depth, i) for i, k in enumerate(layer)]
+            layer, depth = [c for k in layer if opens(k) for _, c in sorted(kids.get(k, []))], depth + 1
+        return sorted(out)
+
+    n = make(rows_ + rows_[:9], "node_id string, parent_id string, node_type string, ord int")
+    for widest in (2, 4, 64):
+        monkeypatch.setattr(hierarchy, "WIDEST", widest, raising=False)
+        assert sorted(tuple(r) for r in layers.frontier(n).collect()) == walk(lambda k: True)
+    assert sorted(tuple(r) for r in layers.frontier(n, expandable=lambda: F.col("node_type") == "P").collect()) == walk(lambda k: kind[k] == "P")
+    flat = make([(f"{d}.{i}", f"{d}.{(i - 1) // 3}" if i else None, "P", i) for d in range(5) for i in range(50)], "node_id string, parent_id string, node_type string, ord int")
+    spark.sparkContext.setJobGroup("flat", "frontier of flat trees")
+    try:
+        assert layers.frontier(flat).count() == 250
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("flat"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs <= 80, jobs
+
+
 def test_heights_match_brute_force(make):
     rnd = random.Random(2)
     parent = {f"n{i}": f"n{rnd.randrange(i)}" if i else None for i in range(60)} | {f"c{i}": f"c{i - 1}" if i else None for i in range(33)} | {"x": "y", "y": "x", "z": "x", "s": "s"}
